@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.functions import paths
 from docweave.functions.media import has_content, kept_content, media_format
+from docweave.joins import lookup_join
 from docweave.operators import metadata as meta
 from docweave.schema import conform
 
@@ -67,9 +68,9 @@ def file_documents(
 
 def inherit_fields(records: DataFrame, documents: DataFrame, key: str) -> DataFrame:
     """Sub-records with every field of their document but content and those they set."""
-    own = set(records.columns) - {key}
-    rest = [c for c in documents.columns if c == key or (c not in own and c != "content")]
-    return records.join(documents.select(*rest), key, "left")
+    own = [c for c in records.columns if c != key]
+    rest = [c for c in documents.columns if c not in own and c != "content"]
+    return lookup_join(records, documents.select(*rest), [key], [F.col(c) for c in own])
 
 
 def quarantine(parsed: DataFrame, error: Column) -> tuple[DataFrame, DataFrame]:

@@ -79,23 +79,38 @@ def sheet_rows(cells: DataFrame, legacy: bool = False) -> DataFrame:
     column without header is named after its letters, and of columns sharing a
     header the last one wins. ``legacy`` applies the rules of the old binary
     format: quotes are dropped and ``DT`` in a header reads ``date``.
+
+    Cells meet once, by row (a row is as wide as its sheet); the header is then
+    picked from those rows and joined back, spread over rows of a large sheet.
     """
-    named = header_join(cells)
-    if legacy:
-        named = named.withColumn("value", F.replace("value", F.lit('"'), F.lit(""))).withColumn(
-            "header", F.replace(F.replace("header", F.lit('"'), F.lit("")), F.lit("DT"), F.lit("date"))
-        )
-        kept = not_blank(F.col("value")).isNotNull()
-    else:
-        kept = F.col("value").isNotNull()
-    by_row = named.where(kept).groupBy(*SHEET, "row").agg(
-        F.collect_list(F.struct("header", "col_no", "value")).alias("_cells")
+    by_row = cells.where(F.col("row").isNotNull()).groupBy(*SHEET, "row").agg(
+        F.collect_list(F.struct("col_no", "col", "value")).alias("_cells")
+    )
+    filled = F.exists("_cells", lambda e: not_blank(e["value"]).isNotNull())
+    headers = by_row.where(filled).groupBy(*SHEET).agg(
+        F.min("row").alias("_header_row"), F.min_by("_cells", "row").alias("_header")
     )
+    headers = headers.withColumn("_names", _filled(F.col("_header"))).drop("_header")
+    placed = lookup_join(by_row, headers, SHEET, [F.col("row")], how="inner").where(
+        F.col("row") > F.col("_header_row")
+    )
+
+    def named(e: Column) -> Column:
+        own = not_blank(F.get("_names", e["col_no"] - 1))
+        name = F.coalesce(own, F.concat(F.lit("column_"), e["col"]))
+        value = e["value"]
+        if legacy:
+            name = F.replace(F.replace(name, F.lit('"'), F.lit("")), F.lit("DT"), F.lit("date"))
+            value = not_blank(F.replace(value, F.lit('"'), F.lit("")))
+        return F.struct(name.alias("header"), e["col_no"].alias("col_no"), value.alias("value"))
+
+    entries = F.filter(F.transform("_cells", named), lambda e: e["value"].isNotNull())
+    rows = placed.select(*SHEET, "row", entries.alias("_entries")).where(F.size("_entries") > 0)
     record = F.map_from_entries(
-        F.transform(_last_per_header(F.col("_cells")), lambda e: F.struct(e["header"], e["value"]))
+        F.transform(_last_per_header(F.col("_entries")), lambda e: F.struct(e["header"], e["value"]))
     )
-    in_order = F.sort_array(F.transform("_cells", lambda e: F.struct(e["col_no"], e["value"])))
-    return by_row.select(
+    in_order = F.sort_array(F.transform("_entries", lambda e: F.struct(e["col_no"], e["value"])))
+    return rows.select(
         *SHEET,
         F.col("row").alias("row_number"),
         record.alias("record"),

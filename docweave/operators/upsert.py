@@ -19,12 +19,20 @@ def latest_by_id(df: DataFrame, key: str | Sequence[str], order: Sequence[str])
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 
+def latest_of(incoming: DataFrame, order: Sequence[str] = (), key: str = "unique_id") -> DataFrame:
+    """One row per id of a batch; without an order, one picked the same way each time."""
+    if order:
+        return latest_by_id(incoming, key, order)
+    tied = incoming.withColumn("_tie", F.xxhash64(F.to_json(F.struct(*incoming.columns))))
+    return latest_by_id(tied, key, ["_tie"]).drop("_tie")
+
+
 def upsert(stored: DataFrame, incoming: DataFrame, key: str = "unique_id", order: Sequence[str] = ()) -> DataFrame:
     """``stored`` with the documents of ``incoming`` added or replacing theirs.
 
     Only incoming rows are de-duplicated; stored rows are kept unless their id
-    comes in again. With a small batch the anti join is a broadcast by size.
+    comes in again. Catalyst broadcasts the ids of a small batch by its size.
     """
-    newest = latest_by_id(incoming, key, order) if order else incoming.dropDuplicates([key])
+    newest = latest_of(incoming, order, key)
     kept = stored.join(newest.select(key), key, "left_anti")
     return kept.unionByName(newest)

@@ -8,12 +8,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from docweave.functions.text import strip
-from docweave.operators.upsert import latest_by_id, upsert
+from docweave.operators.upsert import latest_of, upsert
 from docweave.schema import DOCUMENT
 from docweave.session import new_path
 
 PARTITIONS = ("database_nm", "table_nm")
 
+# Longest list of folders turned into a scan filter.
+FOLDER_LIST = 500
+
 
 def write_documents(documents: DataFrame, path: str, mode: str = "append") -> None:
     """Store documents, a folder per database and table.
@@ -39,6 +42,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def only_folders_of(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Stored rows in the folders that ``incoming`` writes to.
+
+    A short list of folders becomes a filter that prunes the scan; a long one is
+    joined instead.
+    """
+    touched = incoming.select(*PARTITIONS).distinct()
+    named = touched.limit(FOLDER_LIST + 1).collect()
+    if len(named) > FOLDER_LIST:
+        return stored.join(touched, list(PARTITIONS), "left_semi")
+    match = F.lit(False)
+    for row in named:
+        same = [F.col(c).eqNullSafe(F.lit(row[c])) for c in PARTITIONS]
+        match = match | (same[0] & same[1])
+    return stored.where(match)
+
+
 def upsert_documents(
     incoming: DataFrame, path: str, order: Sequence[str] = (), staging: str | None = None
 ) -> None:
@@ -49,15 +69,13 @@ def upsert_documents(
     one plan and a failure leaves the staged rows behind.
     """
     spark = incoming.sparkSession
-    newest = latest_by_id(incoming, "unique_id", order) if order else incoming.dropDuplicates(["unique_id"])
+    newest = latest_of(incoming, order)
     newest = newest.select(*[f.name for f in DOCUMENT.fields])
     if not exists(spark, path):
         write_documents(newest, path, mode="errorifexists")
         return
     staging = staging or new_path(spark, "staged")
-    # the folders named by the batch: a list as long as the catalog at most
-    touched = newest.select(*PARTITIONS).distinct()
-    stored = read_documents(spark, path).join(F.broadcast(touched), list(PARTITIONS), "left_semi")
+    stored = only_folders_of(read_documents(spark, path), newest)
     write_documents(upsert(stored.select(*newest.columns), newest), staging, mode="errorifexists")
     read_documents(spark, staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *PARTITIONS

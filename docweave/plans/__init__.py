@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("table_queries", "search_queries", "file_queries", "record_queries")
+_MODULES = ("table_queries", "search_queries", "file_queries", "record_queries", "format_queries", "layout_queries")
 
 
 def all_queries():

@@ -16,9 +16,10 @@ from docweave.sources import folder, markup
 
 
 def _encode_sql(c: str) -> str:
+    # form encoding keeps the star and encodes the tilde; DuckDB's does the opposite
     return (
         f"array_to_string(list_transform(string_split(rtrim({c}, '/'), '/'), "
-        f"lambda s: replace(url_encode(s), '%3A', ':')), '/')"
+        f"lambda s: replace(replace(replace(url_encode(s), '%3A', ':'), '%2A', '*'), '~', '%7E')), '/')"
     )
 
 

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import email
-import email.header
-import email.policy
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from docweave.functions.text import strip
 
@@ -67,19 +64,24 @@ def read_mailbox(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-@F.pandas_udf("string")
-def decode_words(values: pd.Series) -> pd.Series:
+def decode_words(c: Column) -> Column:
     """Decode encoded words of header values."""
 
-    def one(value):
-        if value is None or "=?" not in value:
-            return value
-        try:
-            return str(email.header.make_header(email.header.decode_header(value)))
-        except (LookupError, ValueError):
-            return value
+    @F.pandas_udf(T.StringType())
+    def decoded(values: pd.Series) -> pd.Series:
+        from email.header import decode_header, make_header
 
-    return values.map(one)
+        def one(value):
+            if value is None or "=?" not in value:
+                return value
+            try:
+                return str(make_header(decode_header(value)))
+            except (LookupError, ValueError):
+                return value
+
+        return values.map(one)
+
+    return decoded(c)
 
 
 def header_values(headers: Column, name: str) -> Column:
@@ -141,13 +143,15 @@ def mime_parts(messages: DataFrame, path: str = "path", content: str = "content"
             yield part, depth
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from email import message_from_string
+
         names = [c.split()[0] for c in PARTS.split(", ")]
         for batch in batches:
             out = []
             for where, raw in zip(batch["path"], batch["content"]):
                 if raw is None:
                     continue
-                message = email.message_from_string(raw, policy=email.policy.compat32)
+                message = message_from_string(raw)
                 for number, (part, depth) in enumerate(leaves(message, 0), start=1):
                     charset = part.get_content_charset()
                     text = None

@@ -49,7 +49,8 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str) -> str | None:
     a = sorted(([_norm(r[i]) for i in gi] for r in got), key=repr)
     b = sorted(([_norm(r[i]) for i in wi] for r in want), key=repr)
     if len(a) != len(b):
-        only = [x for x in map(repr, a) if x not in set(map(repr, b))][:1], [x for x in map(repr, b) if x not in set(map(repr, a))][:1]
+        sa, sb = {repr(x) for x in a}, {repr(x) for x in b}
+        only = sorted(sa - sb)[:1], sorted(sb - sa)[:1]
         return f"{name}: rows {len(a)} / {len(b)} {str(only)[:600]}"
     for x, y in zip(a, b):
         if repr(x) != repr(y):

@@ -3,17 +3,19 @@
 Input is ``glyphs(doc_id, page, seq, ch, x, y, w, h, space_w, font, font_size)``.
 The rules carry running state from glyph to glyph, so each page is read in
 order. :func:`arrange` brings pages together with one shuffle and one sort;
-every step after it is narrow and streams through Arrow batches, holding the
-state of the current page and never the page itself.
+every step after it is narrow and streams through Arrow batches, holding only
+the state of the current page.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from docweave.functions.text import list_item_kind, rtl_count, rtl_dominant
 
@@ -26,10 +28,24 @@ LINE_TOLERANCE = 0.1
 DROP = 2.5
 INDENT = 2.0
 
+# Side of the cells that kept glyphs are filed by.
+CELL = 8.0
+
 
 def arrange(glyphs: DataFrame) -> DataFrame:
     """Pages gathered, glyphs in drawing order: the one shuffle of the layout steps."""
-    return glyphs.repartition(*PAGE).sortWithinPartitions(*PAGE, "seq")
+    return gather_pages(glyphs).sortWithinPartitions(*PAGE, "seq")
+
+
+def gather_pages(glyphs: DataFrame) -> DataFrame:
+    """Glyphs of a page in one partition.
+
+    The number of partitions is given outright: left open, AQE would merge them
+    by size, but the work per row here is far above that of a plain shuffle.
+    """
+    spark = glyphs.sparkSession
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return glyphs.repartition(width, *PAGE)
 
 
 def reorder(arranged: DataFrame, by_position: bool = False) -> DataFrame:
@@ -42,65 +58,98 @@ def reorder(arranged: DataFrame, by_position: bool = False) -> DataFrame:
 def sort_glyphs(glyphs: DataFrame) -> DataFrame:
     """Glyphs with their rank by position on the page."""
 
-    def rank() -> Callable:
-        n = 0
+    def stage(schema: T.StructType) -> Stage:
+        def start() -> Callable:
+            rank = 0
 
-        def step(row):
-            nonlocal n
-            n += 1
-            return [(*row, n)]
+            def step(row):
+                nonlocal rank
+                rank += 1
+                return ((*row, rank),)
 
-        return step
+            return step
 
-    out = T.StructType([*glyphs.schema.fields, T.StructField("rank", T.IntegerType())])
-    return scan_pages(reorder(glyphs.repartition(*PAGE), by_position=True), rank, out)
+        return Stage(start, T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())]))
 
+    return scan_pages(reorder(gather_pages(glyphs), by_position=True), stage)
 
-def scan_pages(
-    arranged: DataFrame, start: Callable, schema: T.StructType, keys: Sequence[str] = PAGE, closes: bool = False
-) -> DataFrame:
-    """Run ``start()``'s step over the rows of each page, in their order.
 
-    A step takes a row and gives the rows to emit; with ``closes`` it is called
-    once more with ``None`` at the end of a page. State lives in the step.
+@dataclass(frozen=True)
+class Stage:
+    """One rule run over the rows of each page.
+
+    ``start()`` gives a step, which holds the state of one page, takes a row and
+    gives the rows to emit. With ``closes`` the step is called once more with
+    ``None`` at the end of a page.
     """
-    names = arranged.columns
-    at = [names.index(k) for k in keys]
-    columns = schema.fieldNames()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, step, out = None, None, []
+    start: Callable
+    schema: T.StructType
+    closes: bool = False
+
+
+def _values(column: pa.Array) -> list:
+    # the array route is much faster but has no nulls in numbers and no nesting
+    if column.null_count or pa.types.is_nested(column.type):
+        return column.to_pylist()
+    return column.to_numpy(zero_copy_only=False).tolist()
 
-        def frame() -> pd.DataFrame:
-            made = pd.DataFrame(out, columns=columns, dtype=object)
+
+def scan_pages(arranged: DataFrame, *builders: Callable[[T.StructType], Stage]) -> DataFrame:
+    """Run rules over arranged pages, all in one pass over the Arrow batches.
+
+    Each builder gets the schema it reads and gives its stage; rows go from one
+    stage to the next without leaving the task.
+    """
+    schema = arranged.schema
+    stages = []
+    for build in builders:
+        stages.append(build(schema))
+        schema = stages[-1].schema
+    names = arranged.columns
+    at = [names.index(k) for k in PAGE]
+    starts = [(s.start, s.closes) for s in stages]
+    out_names = schema.fieldNames()
+    out_types = to_arrow_schema(schema).types
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, steps, out = None, [], []
+
+        def push(rows, level: int) -> None:
+            for step in steps[level:]:
+                rows = [made for row in rows for made in step(row)]
+                if not rows:
+                    return
+            out.extend(rows)
+
+        def close() -> None:
+            for level, (_, closes) in enumerate(starts):
+                if closes and steps:
+                    push(steps[level](None), level + 1)
+
+        def batch_of() -> pa.RecordBatch:
+            columns = list(zip(*out))
             out.clear()
-            return made
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, out_types)], names=out_names)
 
         for batch in batches:
-            for row in zip(*[batch[c].tolist() for c in names]):
-                key = tuple(row[i] for i in at)
+            for row in zip(*[_values(column) for column in batch.columns]):
+                key = tuple([row[i] for i in at])
                 if key != current:
-                    if closes and step is not None:
-                        out.extend(step(None))
-                    current, step = key, start()
-                out.extend(step(row))
+                    close()
+                    current, steps = key, [start() for start, _ in starts]
+                push((row,), 0)
             if out:
-                yield frame()
-        if closes and step is not None:
-            out.extend(step(None))
+                yield batch_of()
+        close()
         if out:
-            yield frame()
-
-    return arranged.mapInPandas(run, schema)
+            yield batch_of()
 
+    return arranged.mapInArrow(run, schema)
 
-def drop_overprints(arranged: DataFrame) -> DataFrame:
-    """Without glyphs printed again over an equal one already kept.
 
-    Two equal glyphs less than a third of a character width apart in both
-    directions are one. Only kept glyphs count, so the rule is sequential.
-    """
-    i = {c: n for n, c in enumerate(arranged.columns)}
+def overprint_stage(schema: T.StructType) -> Stage:
+    i = {c: n for n, c in enumerate(schema.fieldNames())}
     ch_, x_, y_, w_ = i["ch"], i["x"], i["y"], i["w"]
 
     def start() -> Callable:
@@ -109,20 +158,27 @@ def drop_overprints(arranged: DataFrame) -> DataFrame:
         def step(row):
             ch, x, y = row[ch_], row[x_], row[y_]
             near = row[w_] / len(ch) / 3.0
-            # kept glyphs are filed by whole units, so only close cells are looked at
-            reach = int(near) + 1
-            cx, cy = int(x // 1), int(y // 1)
-            for gx in range(cx - reach, cx + reach + 1):
-                for gy in range(cy - reach, cy + reach + 1):
+            # kept glyphs are filed by cells, so only close ones are looked at
+            for gx in range(int((x - near) // CELL), int((x + near) // CELL) + 1):
+                for gy in range(int((y - near) // CELL), int((y + near) // CELL) + 1):
                     for kx, ky in kept.get((ch, gx, gy), ()):
                         if x - near <= kx < x + near and y - near <= ky < y + near:
                             return ()
-            kept.setdefault((ch, cx, cy), []).append((x, y))
+            kept.setdefault((ch, int(x // CELL), int(y // CELL)), []).append((x, y))
             return (row,)
 
         return step
 
-    return scan_pages(arranged, start, arranged.schema)
+    return Stage(start, schema)
+
+
+def drop_overprints(arranged: DataFrame) -> DataFrame:
+    """Without glyphs printed again over an equal one already kept.
+
+    Two equal glyphs less than a third of a character width apart in both
+    directions are one. Only kept glyphs count, so the rule is sequential.
+    """
+    return scan_pages(arranged, overprint_stage)
 
 
 def assign_sections(glyphs: DataFrame, beads: str | None = "beads") -> DataFrame:
@@ -150,7 +206,7 @@ def assign_sections(glyphs: DataFrame, beads: str | None = "beads") -> DataFrame
 
 def is_mark(ch: str) -> bool:
     """A single accent: combining mark, modifier letter or modifier symbol."""
-    return len(ch) == 1 and unicodedata.category(ch) in ("Mn", "Lm", "Sk")
+    return len(ch) == 1 and (ch > "\x7f" or ch in "^`") and unicodedata.category(ch) in ("Mn", "Lm", "Sk")
 
 
 def with_mark(base: str, mark: str) -> str:
@@ -159,9 +215,8 @@ def with_mark(base: str, mark: str) -> str:
     return unicodedata.normalize("NFC", base + combining)
 
 
-def merge_marks(arranged: DataFrame) -> DataFrame:
-    """Accents merged with the glyph just before or after that they lie within."""
-    i = {c: n for n, c in enumerate(arranged.columns)}
+def mark_stage(schema: T.StructType) -> Stage:
+    i = {c: n for n, c in enumerate(schema.fieldNames())}
     section = i.get("section")
     box = [i[c] for c in ("x", "y", "w", "h")]
 
@@ -194,17 +249,16 @@ def merge_marks(arranged: DataFrame) -> DataFrame:
 
         return step
 
-    return scan_pages(arranged, start, arranged.schema, closes=True)
+    return Stage(start, schema, closes=True)
 
 
-def place_glyphs(arranged: DataFrame) -> DataFrame:
-    """Line number of each glyph and whether a space comes before it.
+def merge_marks(arranged: DataFrame) -> DataFrame:
+    """Accents merged with the glyph just before or after that they lie within."""
+    return scan_pages(arranged, mark_stage)
 
-    A glyph opens a line when it does not overlap the band of the current one.
-    A space is due when it starts beyond the end of the last glyph by more than
-    half a space width or three tenths of a character width, whichever is less.
-    """
-    i = {c: n for n, c in enumerate(arranged.columns)}
+
+def place_stage(schema: T.StructType) -> Stage:
+    i = {c: n for n, c in enumerate(schema.fieldNames())}
     ch_, x_, y_, w_, h_, sp_, f_, fs_ = (i[c] for c in ("ch", "x", "y", "w", "h", "space_w", "font", "font_size"))
     section_ = i.get("section")
 
@@ -240,10 +294,18 @@ def place_glyphs(arranged: DataFrame) -> DataFrame:
 
         return step
 
-    out = T.StructType(
-        [*arranged.schema.fields, T.StructField("line_no", T.IntegerType()), T.StructField("space_before", T.BooleanType())]
-    )
-    return scan_pages(arranged, start, out)
+    placed = [T.StructField("line_no", T.IntegerType()), T.StructField("space_before", T.BooleanType())]
+    return Stage(start, T.StructType([*schema.fields, *placed]))
+
+
+def place_glyphs(arranged: DataFrame) -> DataFrame:
+    """Line number of each glyph and whether a space comes before it.
+
+    A glyph opens a line when it does not overlap the band of the current one.
+    A space is due when it starts beyond the end of the last glyph by more than
+    half a space width or three tenths of a character width, whichever is less.
+    """
+    return scan_pages(arranged, place_stage)
 
 
 def _overlap(y1: float, h1: float, y2: float, h2: float) -> bool:
@@ -263,9 +325,8 @@ _LINE_FIELDS = [
 ]
 
 
-def lines(placed: DataFrame) -> DataFrame:
-    """One row per line, with its words in drawing order and its measures."""
-    i = {c: n for n, c in enumerate(placed.columns)}
+def line_stage(schema: T.StructType) -> Stage:
+    i = {c: n for n, c in enumerate(schema.fieldNames())}
     section_ = i.get("section")
 
     def start() -> Callable:
@@ -308,11 +369,22 @@ def lines(placed: DataFrame) -> DataFrame:
 
         return step
 
-    keys = [f for f in placed.schema.fields if f.name in PAGE]
-    return scan_pages(placed, start, T.StructType([*keys, *_LINE_FIELDS]), closes=True)
+    keys = [f for f in schema.fields if f.name in PAGE]
+    return Stage(start, T.StructType([*keys, *_LINE_FIELDS]), closes=True)
+
+
+def lines(placed: DataFrame) -> DataFrame:
+    """One row per line, with its words in drawing order and its measures."""
+    return scan_pages(placed, line_stage)
+
+
+def page_lines(ordered: DataFrame, overprints: bool = True, marks: bool = True) -> DataFrame:
+    """From glyphs in order to lines, in one pass."""
+    before = [overprint_stage] * overprints + [mark_stage] * marks
+    return scan_pages(ordered, *before, place_stage, line_stage)
 
 
-def paragraphs(page_lines: DataFrame) -> DataFrame:
+def paragraphs(lines_in_order: DataFrame) -> DataFrame:
     """Lines with the number of their paragraph on the page.
 
     A paragraph opens after a drop of more than 2.5 line heights, at an indent
@@ -321,10 +393,10 @@ def paragraphs(page_lines: DataFrame) -> DataFrame:
     opened the line before. Lines come in page order, as :func:`lines` gives them.
     """
     # list-item kinds are matched by Spark; the scan only compares them
-    marked = page_lines.withColumn("_item", list_item_kind(F.get("words", F.lit(0))))
+    marked = lines_in_order.withColumn("_item", list_item_kind(F.get("words", F.lit(0))))
     names = marked.columns
     i = {c: n for n, c in enumerate(names)}
-    width = len(page_lines.columns)
+    width = len(lines_in_order.columns)
 
     def start() -> Callable:
         before = None
@@ -359,12 +431,12 @@ def paragraphs(page_lines: DataFrame) -> DataFrame:
 
     out = T.StructType(
         [
-            *page_lines.schema.fields,
+            *lines_in_order.schema.fields,
             T.StructField("paragraph_no", T.IntegerType()),
             T.StructField("opens_paragraph", T.BooleanType()),
         ]
     )
-    return scan_pages(marked, start, out)
+    return scan_pages(marked, lambda _: Stage(start, out))
 
 
 def line_text(words: Column, word_separator: str = " ") -> Column:
@@ -414,17 +486,22 @@ def page_text(
         return step
 
     keys = [f for f in numbered.schema.fields if f.name in PAGE]
-    return scan_pages(text, start, T.StructType([*keys, T.StructField("content", T.StringType())]), closes=True)
+    out = T.StructType([*keys, T.StructField("content", T.StringType())])
+    return scan_pages(text, lambda _: Stage(start, out, closes=True))
 
 
 def glyphs_to_text(
     glyphs: DataFrame, *, by_position: bool = False, overprints: bool = True, beads: str | None = None, **separators
 ) -> DataFrame:
-    """All steps from glyphs to the text of each page: one shuffle."""
-    ordered = arrange(assign_sections(glyphs, beads))
-    if overprints:
-        ordered = drop_overprints(ordered)
-    ordered = merge_marks(reorder(ordered))
+    """All steps from glyphs to the text of each page: one shuffle, one pass over the glyphs."""
+    ordered = arrange(assign_sections(glyphs, beads) if beads else glyphs)
+    if beads:
+        # sections are read one after the other once overprints are gone
+        ordered = reorder(drop_overprints(ordered) if overprints else ordered)
+        overprints = False
     if by_position:
-        ordered = reorder(ordered, by_position=True)
-    return page_text(paragraphs(lines(place_glyphs(ordered))), **separators)
+        before = [overprint_stage] * overprints + [mark_stage]
+        found = page_lines(reorder(scan_pages(ordered, *before), by_position=True), False, False)
+    else:
+        found = page_lines(ordered, overprints)
+    return page_text(paragraphs(found), **separators)

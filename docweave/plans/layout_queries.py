@@ -81,16 +81,16 @@ def glyph_dedup(spark, d):
 
 @query("glyph_diacritics", f"WITH {_LINES} SELECT doc_id, CAST(page AS INTEGER) AS page, ch, count(*) AS n FROM c GROUP BY 1, 2, 3")
 def glyph_diacritics(spark, d):
-    merged = lay.merge_marks(lay.drop_overprints(lay.arrange(glyphs(spark, d))))
+    merged = lay.scan_pages(lay.arrange(glyphs(spark, d)), lay.overprint_stage, lay.mark_stage)
     return merged.groupBy("doc_id", "page", "ch").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     "glyph_bead_assign",
     f"""
-    WITH {_LINES}, p AS (SELECT doc_id, lang, page, i, unnest(generate_series(0, length(raw) - 1)) AS at, unnest(string_split(raw, '')) AS ch FROM l WHERE raw <> ''),
+    WITH {_LINES}, p AS (SELECT doc_id, lang, page, i, unnest(generate_series(0, length(raw) - 1)) AS k, unnest(string_split(raw, '')) AS ch FROM l WHERE raw <> ''),
     g AS (SELECT doc_id, page, ch, (i % 20 + 1) * CASE WHEN lang = 'de' THEN 40.0 ELSE 12.0 END AS y,
-      at * 6.0 + CASE WHEN lang = 'fr' AND i % 20 >= 2 THEN 18.0 WHEN lang = 'es' AND i % 20 >= 1 THEN 18.0 ELSE 0.0 END AS x
+      k * 6.0 + CASE WHEN lang = 'fr' AND i % 20 >= 2 THEN 18.0 WHEN lang = 'es' AND i % 20 >= 1 THEN 18.0 ELSE 0.0 END AS x
       FROM p WHERE trim(ch) <> ''),
     e AS (SELECT doc_id, page, x, y FROM g UNION ALL SELECT doc_id, page, x, y FROM g WHERE ch IN ('é', 'ü')
       UNION ALL SELECT doc_id, page, x + 0.5, y FROM g WHERE regexp_full_match(ch, '[A-Z]'))
@@ -111,7 +111,7 @@ def glyph_bead_assign(spark, d):
 
 
 def _placed(spark, d):
-    return lay.place_glyphs(lay.merge_marks(lay.drop_overprints(lay.arrange(glyphs(spark, d)))))
+    return lay.scan_pages(lay.arrange(glyphs(spark, d)), lay.overprint_stage, lay.mark_stage, lay.place_stage)
 
 
 @query("glyph_lines", f"WITH {_LINES} SELECT doc_id, CAST(page AS INTEGER) AS page, i - first AS line_no, n FROM "
@@ -124,7 +124,7 @@ def glyph_lines(spark, d):
 
 @query("glyph_words", f"WITH {_LINES} SELECT doc_id, CAST(page AS INTEGER) AS page, line, count(*) AS n FROM l WHERE line <> '' GROUP BY 1, 2, 3")
 def glyph_words(spark, d):
-    out = lay.lines(_placed(spark, d)).select("doc_id", "page", F.array_join("words", " ").alias("line"))
+    out = lay.page_lines(lay.arrange(glyphs(spark, d))).select("doc_id", "page", F.array_join("words", " ").alias("line"))
     return out.groupBy("doc_id", "page", "line").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -137,7 +137,7 @@ _PARAGRAPH = "CASE lang WHEN 'de' THEN r WHEN 'fr' THEN CASE WHEN r >= 2 THEN 1
     f"SELECT doc_id, CAST(page AS INTEGER) AS page, CAST({_PARAGRAPH} AS BIGINT) AS paragraph_no, count(*) AS n, min(r) AS first_line FROM r GROUP BY 1, 2, 3",
 )
 def paragraphs(spark, d):
-    out = lay.paragraphs(lay.lines(_placed(spark, d)))
+    out = lay.paragraphs(lay.page_lines(lay.arrange(glyphs(spark, d))))
     return out.groupBy("doc_id", "page", F.col("paragraph_no").cast("long").alias("paragraph_no")).agg(
         F.count(F.lit(1)).alias("n"), F.min("line_no").cast("long").alias("first_line")
     )
@@ -162,8 +162,8 @@ def page_text(spark, d):
 def sort_glyphs(spark, d):
     """Glyphs drawn backwards and put in order by place: the text comes out forwards."""
     backwards = glyphs(spark, d).withColumn("seq", -F.col("seq"))
-    ordered = lay.reorder(lay.merge_marks(lay.drop_overprints(lay.arrange(backwards))), by_position=True)
-    out = lay.lines(lay.place_glyphs(ordered)).select(
+    merged = lay.scan_pages(lay.arrange(backwards), lay.overprint_stage, lay.mark_stage)
+    out = lay.page_lines(lay.reorder(merged, by_position=True), False, False).select(
         "doc_id", "page", "line_no", F.array_join("words", "").alias("w")
     )
     by_page = out.groupBy("doc_id", "page").agg(F.sort_array(F.collect_list(F.struct("line_no", "w"))).alias("l"))

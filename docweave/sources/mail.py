@@ -27,7 +27,7 @@ def message_parts(message: Column) -> Column:
     headers = F.regexp_extract(rest, r"^((?:[^\n]+\n?)*)", 1)
     body = F.regexp_replace(F.substr(rest, F.length(headers) + 1), r"^\n", "")
     return F.struct(
-        envelope.alias("envelope"), unfold(F.rtrim(F.replace(headers, F.lit("\r"), F.lit("")))).alias("headers"), body.alias("body")
+        envelope.alias("envelope"), unfold(F.regexp_replace(F.replace(headers, F.lit("\r"), F.lit("")), r"\s+$", "")).alias("headers"), body.alias("body")
     )
 
 
@@ -72,14 +72,15 @@ def decode_words(c: Column) -> Column:
         from email.header import decode_header, make_header
 
         def one(value):
-            if value is None or "=?" not in value:
+            if "=?" not in value:
                 return value
             try:
                 return str(make_header(decode_header(value)))
             except (LookupError, ValueError):
                 return value
 
-        return values.map(one)
+        # a line at a time: decoding joins the lines it is given
+        return values.map(lambda v: v if v is None else "\n".join(map(one, v.split("\n"))))
 
     return decoded(c)
 

@@ -12,7 +12,7 @@ def flatten_outline(nodes: DataFrame, width: int = 10) -> DataFrame:
     """Depth and pre-order path of every node of ``nodes(doc, id, parent, ord, title)``.
 
     The tree is walked a level at a time with one join per level, until a level
-    is empty. Each level is checkpointed in the shared folder: plans stay small
+    is empty. Each level is written to the shared folder: plans stay small
     and a lost executor does not replay the walk. A parent holding most of the
     nodes is spread over tasks. Sort by ``(doc, path)`` for reading order.
     """

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from docweave.functions.text import list_item_kind, rtl_count, rtl_dominant
+from docweave.functions.text import fold_ligatures, list_item_kind, ltr_count, rtl_count
 
 PAGE = ("doc_id", "page")
 
@@ -439,17 +439,16 @@ def paragraphs(lines_in_order: DataFrame) -> DataFrame:
     return scan_pages(marked, lambda _: Stage(start, out))
 
 
-def line_text(words: Column, word_separator: str = " ") -> Column:
-    """Words of a line joined, back to front where right-to-left dominates.
+def line_text(words: Column, backwards: bool, word_separator: str = " ") -> Column:
+    """Words of a line joined, back to front where the text runs right to left.
 
     Letters of a right-to-left word are drawn left to right, so such a word is
-    turned round as well.
+    turned round. Ligatures are spelled out.
     """
-    joined = F.array_join(words, "")
-    logical = F.transform(words, lambda w: F.when(rtl_count(w) > 0, F.reverse(w)).otherwise(w))
-    return F.when(rtl_dominant(joined), F.array_join(F.reverse(logical), word_separator)).otherwise(
-        F.array_join(F.when(rtl_count(joined) > 0, logical).otherwise(words), word_separator)
+    logical = F.transform(
+        words, lambda w: fold_ligatures(F.when(rtl_count(w) > 0, F.reverse(w)).otherwise(w))
     )
+    return F.array_join(F.reverse(logical) if backwards else logical, word_separator)
 
 
 def page_text(
@@ -459,28 +458,46 @@ def page_text(
     paragraph_start: str = "",
     paragraph_end: str = "",
 ) -> DataFrame:
-    """One text per page from lines with paragraph numbers."""
+    """One text per page from lines with paragraph numbers.
+
+    The direction in which most letters of a section run decides the order of
+    words in all its lines, so both orders are kept until the section ends.
+    """
+    letters = F.array_join("words", "")
     text = numbered.select(
-        *PAGE, "section", "line_no", "opens_paragraph", line_text(F.col("words"), word_separator).alias("_line")
+        *PAGE,
+        "section",
+        "opens_paragraph",
+        line_text(F.col("words"), False, word_separator).alias("_forwards"),
+        line_text(F.col("words"), True, word_separator).alias("_backwards"),
+        (rtl_count(letters) - ltr_count(letters)).alias("_rtl"),
     )
     i = {c: n for n, c in enumerate(text.columns)}
 
     def start() -> Callable:
-        parts: list[str] = []
-        key = None
+        done: list[str] = []
+        lines_: list[tuple] = []
+        last = None
+
+        def end_section() -> None:
+            backwards = sum(r[i["_rtl"]] for _, r in lines_) > 0
+            for lead, r in lines_:
+                done.append(lead + r[i["_backwards" if backwards else "_forwards"]])
+            lines_.clear()
 
         def step(row):
-            nonlocal key
+            nonlocal last
             if row is None:
-                return ((*key, "".join(parts) + paragraph_end),)
-            if key is not None:
-                parts.append(line_separator)
-                if row[i["opens_paragraph"]]:
-                    parts.append(paragraph_end + paragraph_start)
+                end_section()
+                return ((*last[:2], "".join(done) + paragraph_end),)
+            if last is None:
+                lead = paragraph_start
             else:
-                parts.append(paragraph_start)
-            key = row[:2]
-            parts.append(row[i["_line"]])
+                lead = line_separator + (paragraph_end + paragraph_start if row[i["opens_paragraph"]] else "")
+                if last[i["section"]] != row[i["section"]]:
+                    end_section()
+            lines_.append((lead, row))
+            last = row
             return ()
 
         return step

@@ -214,7 +214,9 @@ def test_layout_paragraphs(spark):
 
 def test_layout_text(spark):
     df = glyphs(spark, [(0, 12, "two words"), (0, 24, "שלום abc"), (0, 36, "אבגד הו")])
-    assert lay.glyphs_to_text(df).first().content == "two words\nםולש abc\nוה דגבא"
+    assert lay.glyphs_to_text(df).first().content == "two words\nםולש abc\nדגבא וה"
+    hebrew = glyphs(spark, [(0, 12, "abc ﬁ"), (0, 24, "שלום אב"), (0, 36, "אבגד הו")])
+    assert lay.glyphs_to_text(hebrew).first().content == "fi abc\nבא םולש\nוה דגבא"
 
 
 def test_layout_sections_and_fonts(spark):

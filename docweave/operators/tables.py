@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
-from docweave.functions.text import not_blank
+from docweave.functions.text import CONTROL_AND_SPACE
 from docweave.schema import conform
 
 
@@ -135,26 +135,47 @@ def rename_columns(df: DataFrame, kinds: Mapping[str, str] | None = None, dialec
     return df.withColumnsRenamed({p.column: p.field for p in plan_columns(df, kinds, dialect=dialect)})
 
 
-def value_text(c: Column, dtype: T.DataType, kind: str) -> Column:
+# Expressions are written as SQL text: a catalog has many tables with many
+# columns, and text reaches the JVM in one call per table, not one per function.
+
+_BLANKS = f"decode(unhex('{CONTROL_AND_SPACE.encode().hex()}'), 'UTF-8')"
+
+
+# Name of the id while a row is mapped; no source column is called this.
+ROW_ID = "__docweave_row_id"
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str | None) -> str:
+    if text is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def value_sql(column: str, dtype: T.DataType, kind: str) -> str:
     """A column value as text, null where it is null or blank."""
+    c = quoted(column)
     if isinstance(dtype, T.StringType):
-        return not_blank(c)
+        return f"CASE WHEN btrim({c}, {_BLANKS}) <> '' THEN {c} END"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        return f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
     if kind == "money":
-        return c.cast("decimal(19,4)").cast("string")
-    return c.cast("string")
+        return f"CAST(CAST({c} AS DECIMAL(19,4)) AS STRING)"
+    return f"CAST({c} AS STRING)"
 
 
-def is_fraction(text: Column) -> Column:
+def is_fraction_sql(text: str) -> str:
     """A number written with a decimal point."""
-    return text.rlike(r"^([-0-9]*)\.([0-9]*)$")
+    return f"({text}) RLIKE '^([-0-9]*)[.]([0-9]*)$'"
 
 
-def hashed_id(table_nm: str, columns: Iterable[Column]) -> Column:
+def hashed_id_sql(table_nm: str, values: Iterable[str]) -> str:
     """Deterministic id of a row, so a repeated import replaces it."""
-    parts = [F.coalesce(c.cast("string"), F.lit("\x1e")) for c in columns]
-    return F.sha2(F.concat_ws("\x1f", F.lit(table_nm), *parts), 256)
+    parts = ", ".join(f"coalesce({v}, chr(30))" for v in values)
+    return f"sha2(concat_ws(chr(31), {literal(table_nm)}, {parts}), 256)"
 
 
 def table_to_documents(
@@ -180,82 +201,66 @@ def table_to_documents(
     """
     plans = plan_columns(df, kinds, native, dialect)
     types = {f.name: f.dataType for f in df.schema.fields}
-    text = {p.column: value_text(F.col(f"`{p.column}`"), types[p.column], p.kind) for p in plans}
+    text = {p.column: value_sql(p.column, types[p.column], p.kind) for p in plans}
 
     if random_id:
-        made = F.uuid()
+        made = "uuid()"
     else:
-        keys = list(key_columns) if key_columns else list(df.columns)
-        made = hashed_id(table_nm, [value_text(F.col(f"`{k}`"), types[k], "other") for k in keys])
-    source = df
-    if id_column is None:
-        source = df.withColumn("_id", made)
-    else:
-        source = df.withColumn("_id", F.coalesce(text[id_column], made))
+        keys = list(key_columns) if key_columns else list(types)
+        made = hashed_id_sql(table_nm, [value_sql(k, types[k], "other") for k in keys])
+    if id_column is not None:
+        made = f"coalesce({text[id_column]}, {made})"
 
     pairs, catch_all, rev, dates, money = [], [], [], [], []
     for p in plans:
         value, route = text[p.column], p.route
-        name = F.lit(p.field)
+        name = literal(p.field)
         if p.kind == "number":
-            fraction = is_fraction(value)
-            name = F.when(fraction, F.lit(p.field.removesuffix("_i"))).otherwise(name)
-            catch_all.append(F.when(~fraction, value))
+            fraction = is_fraction_sql(value)
+            name = f"CASE WHEN {fraction} THEN {literal(p.field.removesuffix('_i'))} ELSE {name} END"
+            catch_all.append(f"CASE WHEN NOT {fraction} THEN {value} END")
         elif route.text:
             catch_all.append(value)
         if route.text_rev:
             rev.append(value)
         if route.date:
-            dates.append(F.col(f"`{p.column}`").cast("timestamp"))
+            dates.append(f"CAST({quoted(p.column)} AS TIMESTAMP)")
         if route.money:
-            money.append(F.col(f"`{p.column}`").cast("double"))
-        pairs.append(F.when(value.isNotNull(), F.struct(name.alias("key"), value.alias("value"))))
-    if id_column is None:
-        catch_all.append(F.col("_id"))
-    else:
-        catch_all.append(F.when(text[id_column].isNull(), F.col("_id")))
+            money.append(f"CAST({quoted(p.column)} AS DOUBLE)")
+        pairs.append(f"CASE WHEN ({value}) IS NOT NULL THEN struct({name} AS key, {value} AS value) END")
+    # an id made here is searchable like a value
+    catch_all.append(ROW_ID if id_column is None else f"CASE WHEN ({text[id_column]}) IS NULL THEN {ROW_ID} END")
 
-    def kept(values: list[Column], item: str) -> Column:
-        if not values:
-            return F.array().cast(f"array<{item}>")
-        return F.array_compact(F.array(*values))
+    def kept(values: list[str], item: str) -> str:
+        return f"array_compact(array({', '.join(values)}))" if values else f"CAST(array() AS ARRAY<{item}>)"
 
+    labels = ", ".join(literal(c) for c in categories)
     return conform(
-        source.select(
-            F.col("_id").alias("unique_id"),
-            F.lit(database_nm).alias("source_nm"),
-            F.lit(database_nm).alias("database_nm"),
-            F.lit(table_nm).alias("table_nm"),
-            F.lit(vendor).alias("vendor"),
-            F.lit("Database").alias("media_format"),
-            F.array(*[F.lit(c) for c in categories]).cast("array<string>").alias("categories_nm"),
-            F.map_from_entries(F.array_compact(F.array(*pairs))).alias("fields"),
-            kept(catch_all, "string").alias("text"),
-            kept(rev, "string").alias("text_rev"),
-            kept(dates, "timestamp").alias("date_text"),
-            kept(money, "double").alias("money_text"),
+        df.selectExpr("*", f"{made} AS {ROW_ID}").selectExpr(
+            f"{ROW_ID} AS unique_id",
+            f"{literal(database_nm)} AS source_nm",
+            f"{literal(database_nm)} AS database_nm",
+            f"{literal(table_nm)} AS table_nm",
+            f"{literal(vendor)} AS vendor",
+            "'Database' AS media_format",
+            f"CAST(array({labels}) AS ARRAY<STRING>) AS categories_nm",
+            f"map_from_entries(array_compact(array({', '.join(pairs)}))) AS fields",
+            f"{kept(catch_all, 'STRING')} AS text",
+            f"{kept(rev, 'STRING')} AS text_rev",
+            f"{kept(dates, 'TIMESTAMP')} AS date_text",
+            f"{kept(money, 'DOUBLE')} AS money_text",
         )
     )
 
 
 def typed_fields(df: DataFrame, key: str, kinds: Mapping[str, str] | None = None, dialect: str = "spark") -> DataFrame:
     """Long form of the routing: one row per row and column with a value."""
-    plans = plan_columns(df, kinds, dialect=dialect)
     types = {f.name: f.dataType for f in df.schema.fields}
     cells = []
-    for p in plans:
-        value = value_text(F.col(f"`{p.column}`"), types[p.column], p.kind)
+    for p in plan_columns(df, kinds, dialect=dialect):
+        value = value_sql(p.column, types[p.column], p.kind)
         cells.append(
-            F.when(
-                value.isNotNull(),
-                F.struct(
-                    F.lit(p.field).alias("field_nm"),
-                    F.lit(p.kind).alias("value_kind"),
-                    value.alias("value"),
-                    F.lit(p.route.text).alias("in_text"),
-                    F.lit(p.route.date).alias("in_date"),
-                    F.lit(p.route.money).alias("in_money"),
-                ),
-            )
+            f"CASE WHEN ({value}) IS NOT NULL THEN struct({literal(p.field)} AS field_nm, {literal(p.kind)} AS value_kind, "
+            f"{value} AS value, {p.route.text} AS in_text, {p.route.date} AS in_date, {p.route.money} AS in_money) END"
         )
-    return df.select(F.col(f"`{key}`"), F.inline(F.array_compact(F.array(*cells))))
+    return df.selectExpr(quoted(key), f"inline(array_compact(array({', '.join(cells)})))")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 _S = T.StringType()
 _SA = T.ArrayType(_S)
@@ -46,9 +46,9 @@ DOCUMENT = T.StructType(
 def conform(df: DataFrame) -> DataFrame:
     """``df`` with exactly the document columns; missing ones are null."""
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in DOCUMENT.fields
         ]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import anchors
+from docweave.llm import anchors, huffman, lengths, packing
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -22,3 +22,18 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 @query
 def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return anchors.substring_digest(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return lengths.token_counts(table(spark, d, "documents").select("text"))
+
+
+@query
+def op9_token_files(spark: SparkSession, d: str) -> DataFrame:
+    return huffman.token_files(table(spark, d, "documents").select("doc_id", "text"))

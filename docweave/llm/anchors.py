@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docweave.llm.census import census
-from docweave.llm.tables import keyed, real_id
+from docweave.llm.census import PACKED_SCHEMA, census, packed_rows, unpacked
+from docweave.llm.tables import NO_ID, keyed, real_id
 from docweave.llm.texts import covered, ranges, slices, window_hashes, word_hashes, word_spans
 
 # Perfect difference sets (fixed values): period and cover places.
@@ -64,15 +64,7 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             hashes = window_hashes(word_hashes(data, starts, ends), first[text] + place, size)
             used, at = np.unique(text, return_index=True)
             upto = np.append(at[1:], len(text))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_id").take(pa.array(used)),
-                    batch.column("_key").take(pa.array(used)),
-                    pa.array([b""] * len(used), pa.binary()),
-                    pa.array([hashes[a:b].tobytes() for a, b in zip(at, upto)], pa.binary()),
-                ],
-                ["_id", "_key", "meta", "keys"],
-            )
+            yield packed_rows(batch, [b""] * len(used), [hashes[a:b] for a, b in zip(at, upto)], used)
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in slices(batches):
@@ -83,7 +75,7 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             for i in range(batch.num_rows):
                 n = int(first[i + 1] - first[i])
                 _, place = _anchor_places(np.array([n]), window, period, cover)
-                shared = place[np.unpackbits(np.frombuffer(bits[i], np.uint8), count=len(place)) > 0]
+                shared = place[unpacked(bits[i], len(place))]
                 holds = np.zeros(n - window + 1 + period, np.int32)  # windows with a shared anchor
                 np.add.at(holds, np.maximum(shared - period + 1, 0), 1)
                 np.add.at(holds, np.minimum(shared + 1, n - window + 1), -1)
@@ -92,21 +84,12 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
                 keys.append(first[i] + at)
             flat = window_hashes(words, np.concatenate(keys), window)
             upto = np.cumsum([len(k) for k in keys])[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_id"),
-                    batch.column("_key"),
-                    pa.array(metas, pa.binary()),
-                    pa.array([k.tobytes() for k in np.split(flat, upto)], pa.binary()),
-                ],
-                ["_id", "_key", "meta", "keys"],
-            )
+            yield packed_rows(batch, metas, np.split(flat, upto))
 
-    packed = "_id long, _key long, meta binary, keys binary"
-    shared = census(docs.mapInArrow(anchors, packed), "twice", exact=False)
+    shared = census(docs.mapInArrow(anchors, PACKED_SCHEMA), "twice", exact=False)
     shared = shared.select("_id", "_key", "bits").dropDuplicates(["_id", "_key"])
     near = docs.dropDuplicates(["_id", "_key"]).join(shared, ["_id", "_key"])
-    return census(near.mapInArrow(extended, packed), "earlier")
+    return census(near.mapInArrow(extended, PACKED_SCHEMA), "earlier")
 
 
 def _removal(data, offs, metas, bits, window):
@@ -117,7 +100,7 @@ def _removal(data, offs, metas, bits, window):
         if bit is None:
             continue
         at = np.frombuffer(meta, np.int32)
-        at = at[np.unpackbits(np.frombuffer(bit, np.uint8), count=len(at)) > 0]
+        at = at[unpacked(bit, len(at))]
         marks = np.zeros(first[i + 1] - first[i], bool)
         marks[at] = True
         gone[first[i] : first[i + 1]] = covered(marks, window)
@@ -198,15 +181,10 @@ def cut_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     new = new.mapInArrow(cut, "_id long, _key long, _cut string")
     columns = docs.columns
     out = docs.withColumns(
-        {"_id": keyed_id(), "_key": F.xxhash64("doc_id", "text")}
+        {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_key": F.xxhash64("doc_id", "text")}
     ).join(new, ["_id", "_key"], "left")
     out = out.withColumn("text", F.coalesce("_cut", "text"))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*[F.col(f"`{c}`") for c in columns])
 
-
-def keyed_id():
-    from docweave.llm.tables import NO_ID
-
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))

@@ -21,58 +21,43 @@ from docweave.session import cut_lineage
 
 CHUNK_KEYS = 1 << 20
 BUCKET_KEYS = 1 << 20
+# A filter looks at so many leading bits of a key.
+FILTER_BITS = 48
 
-CHUNK_SCHEMA = "chunk long, ids binary, rows binary, counts binary, metas array<binary>, keys binary"
+CHUNK_SCHEMA = "chunk long, n long, ids binary, rows binary, counts binary, metas array<binary>, keys binary, more binary, place binary"
+PACKED_SCHEMA = "_id long, _key long, meta binary, keys binary"
 ANSWER_SCHEMA = "_id long, _key long, meta binary, bits binary"
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (_id, _key, meta, keys) packed until a chunk is full."""
-    first, n, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
-
-    def packed():
-        ids, rows, metas, keys = zip(*held)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([first + n], pa.int64()),
-                pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
-                pa.array([np.array(rows, np.int64).tobytes()], pa.binary()),
-                pa.array([np.array([len(k) // 8 for k in keys], np.int64).tobytes()], pa.binary()),
-                pa.array([list(metas)], pa.list_(pa.binary())),
-                pa.array([b"".join(keys)], pa.binary()),
-            ],
-            ["chunk", "ids", "rows", "counts", "metas", "keys"],
-        )
+def packed_rows(batch, metas: list[bytes], keys: list[np.ndarray], at=None) -> pa.RecordBatch:
+    """A batch of PACKED_SCHEMA for the rows ``at`` of a batch of keyed documents."""
+    take = (lambda c: batch.column(c)) if at is None else (lambda c: batch.column(c).take(pa.array(at)))
+    return pa.RecordBatch.from_arrays(
+        [take("_id"), take("_key"), pa.array(metas, pa.binary()), pa.array([k.tobytes() for k in keys], pa.binary())],
+        ["_id", "_key", "meta", "keys"],
+    )
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Values byte by byte: equal leading bytes stand together and compress."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _unplanes(body: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("_id", "_key", "meta", "keys"))):
-            if held and size + len(row[3]) // 8 > CHUNK_KEYS:
-                yield packed()
-                n, held, size = n + 1, [], 0
-            held.append(row)
-            size += len(row[3]) // 8
-    if held:
-        yield packed()
-
-
-def _distinct(keys: np.ndarray, ids: np.ndarray, order_of=None):
-    """Distinct keys in routing order, where each key goes, least id and whether it occurs twice."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
-    first = np.flatnonzero(new)
-    least = np.minimum.reduceat(ids[order], first) if len(first) else ids[:0]
-    twice = np.diff(np.append(first, len(keys))) > 1
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.cumsum(new) - 1
-    return ordered[first], least, twice, place
-
-
-def _bucket_of(distinct: np.ndarray, buckets: int, splitters: np.ndarray | None) -> np.ndarray:
-    if splitters is not None:
-        return np.searchsorted(splitters, distinct, side="right").astype(np.int64)
-    return ((distinct >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+def _steps(ordered: np.ndarray) -> bytes:
+    return _planes(np.diff(ordered, prepend=np.uint64(0)))
+
+
+def _unsteps(body: bytes) -> np.ndarray:
+    return np.cumsum(_unplanes(body, np.uint64), dtype=np.uint64)
+
+
+def unpacked(bits: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
 def multikey_order(keys: np.ndarray, digits: int = 4) -> np.ndarray:
@@ -88,150 +73,181 @@ def multikey_order(keys: np.ndarray, digits: int = 4) -> np.ndarray:
         if not len(tied):
             break
         digit = ((keys[order[tied]] >> np.uint64(16 * (digits - 1 - d))) & np.uint64(0xFFFF)).astype(np.int64)
-        by = np.argsort((part[tied] << 16) | digit, kind="stable")
-        order[tied], level = order[tied][by], ((part[tied] << 16) | digit)[by]
+        level = (part[tied] << 16) | digit
+        by = np.argsort(level, kind="stable")
+        order[tied], level = order[tied][by], level[by]
         new = np.ones(len(tied), bool)
         new[1:] = level[1:] != level[:-1]
         part[tied] = np.cumsum(new)
-        alone = new & np.append(new[1:], True)
-        tied = tied[~alone]
+        tied = tied[~(new & np.append(new[1:], True))]
     return order
 
 
 def census(
-    rows: DataFrame,
-    rule: str,
-    exact: bool = True,
-    sorted_ranges: bool = False,
+    rows: DataFrame, rule: str, exact: bool = True, splitters: str = "hash", values: bool = False
 ) -> DataFrame:
     """Answers for the packed keys of ``rows`` (_id, _key, meta, keys).
 
-    ``keys`` is an array of little-endian unsigned 64-bit hashes. The result has
-    a row (_id, _key, meta, bits) for each row with a set bit; ``bits`` is packed,
-    a bit per key. ``rule``: ``twice``, the key occurs at least twice over all
-    rows; ``earlier``, a row with a smaller _id has it. With ``exact=False`` the
-    buckets see 32 bits of a key beside its bucket: a cheaper filter that may let
-    a few single keys pass but never loses a repeated one. ``sorted_ranges``
-    sends keys to ranges between sampled splitters, and every range sorts its
-    keys by multikey quicksort and compares neighbours; equal keys never stand in
-    two ranges.
+    ``keys`` is an array of unsigned 64-bit hashes. The result has a row (_id,
+    _key, meta, bits) for each row with a set bit; ``bits`` is packed, a bit per
+    key, or with ``values`` the keys themselves that have one. ``rule``:
+    ``twice``, the key occurs at least twice over all rows; ``earlier``, a row
+    with a smaller _id has it. With ``exact=False`` only the leading 48 bits
+    count: a cheaper filter that may let a few single keys pass but never loses a
+    repeated one. Buckets are ranges of keys: even ones for hashes, or between
+    ``sampled`` splitters, where each range orders its keys by multikey quicksort
+    and compares neighbours. Equal keys never stand in two ranges.
     """
-    chunks = cut_lineage(rows.mapInArrow(_chunks, CHUNK_SCHEMA), "chunks")
-    total = chunks.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
-    buckets = max(fill(rows), -(-total // (8 * BUCKET_KEYS)))
-    splitters = None
-    if sorted_ranges:
-        splitters = _splitters(chunks, buckets)
+    drop = np.uint64(0 if exact else 64 - FILTER_BITS)
+    width = 64 if exact else FILTER_BITS
+
+    def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, n, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+
+        def packed():
+            ids, row_keys, metas, bodies = zip(*held)
+            counts = np.array([len(k) // 8 for k in bodies], np.int64)
+            keys = np.frombuffer(b"".join(bodies), np.uint64) >> drop
+            order = np.argsort(keys, kind="stable")
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[order][1:] != keys[order][:-1]
+            begin = np.flatnonzero(new)
+            place = np.empty(len(keys), np.uint32)
+            place[order] = np.cumsum(new) - 1
+            if rule == "earlier":
+                each = np.repeat(np.array(ids, np.int64), counts)
+                more = _planes(np.minimum.reduceat(each[order], begin)) if len(begin) else b""
+            else:
+                more = np.packbits(np.diff(np.append(begin, len(keys))) > 1).tobytes()
+            values = [
+                first + n, len(begin), np.array(ids, np.int64).tobytes(), np.array(row_keys, np.int64).tobytes(),
+                counts.tobytes(), list(metas), _steps(keys[order][begin]), more, _planes(place),
+            ]
+            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.list_(pa.binary()), *[pa.binary()] * 3]
+            names = [f.split()[0] for f in CHUNK_SCHEMA.split(", ")]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("_id", "_key", "meta", "keys"))):
+                if held and size + len(row[3]) // 8 > CHUNK_KEYS:
+                    yield packed()
+                    n, held, size = n + 1, [], 0
+                held.append(row)
+                size += len(row[3]) // 8
+        if held:
+            yield packed()
+
+    chunks = cut_lineage(rows.mapInArrow(chunked, CHUNK_SCHEMA), "chunks")
+    total = chunks.agg(F.sum("n")).first()[0] or 0
+    buckets = max(fill(rows), -(-total // BUCKET_KEYS))
+    if splitters == "sampled":
+        bounds = _splitters(chunks, buckets)
+    else:
+        bounds = np.array([(i << width) // buckets for i in range(1, buckets)], np.uint64)
 
     def route(batches):
         for batch in batches:
-            for chunk, ids, counts, keys in zip(
-                *(batch.column(c).to_pylist() for c in ("chunk", "ids", "counts", "keys"))
-            ):
-                keys = np.frombuffer(keys, np.uint64)
-                each = np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64))
-                distinct, least, twice, _ = _distinct(keys, each)
-                to = _bucket_of(distinct, buckets, splitters)
-                by = np.argsort(to, kind="stable")
-                used, first = np.unique(to[by], return_index=True)
-                sent, seen, low = distinct[by], twice[by], least[by]
-                ends = np.append(first[1:], len(by))
-                wide = sent if exact else sent.astype(np.uint32)
+            for chunk, n, keys, more in zip(*(batch.column(c).to_pylist() for c in ("chunk", "n", "keys", "more"))):
+                keys = _unsteps(keys)
+                cuts = np.concatenate(([0], np.searchsorted(keys, bounds), [n]))
+                used = np.flatnonzero(np.diff(cuts))
+                if rule == "earlier":
+                    low = _unplanes(more, np.int64)
+                    extra = [_planes(low[cuts[u] : cuts[u + 1]]) for u in used]
+                else:
+                    seen = unpacked(more, n)
+                    extra = [np.packbits(seen[cuts[u] : cuts[u + 1]]).tobytes() for u in used]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used, pa.int64()),
                         pa.array([chunk] * len(used), pa.int64()),
-                        pa.array([wide[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
-                        pa.array(
-                            [
-                                np.packbits(seen[a:b]).tobytes() if rule == "twice" else low[a:b].tobytes()
-                                for a, b in zip(first, ends)
-                            ],
-                            pa.binary(),
-                        ),
+                        pa.array([_steps(keys[cuts[u] : cuts[u + 1]]) for u in used], pa.binary()),
+                        pa.array(extra, pa.binary()),
                     ],
                     ["bucket", "chunk", "keys", "more"],
                 )
 
     def answer(table: pa.Table) -> pa.Table:
-        bucket, chunk = table.column("bucket")[0].as_py(), table.column("chunk").to_pylist()
-        parts = [np.frombuffer(k, np.uint64 if exact else np.uint32) for k in table.column("keys").to_pylist()]
-        keys = np.concatenate(parts)
-        sizes = np.array([len(p) for p in parts])
-        order = multikey_order(keys.astype(np.uint64), 4 if exact else 2) if sorted_ranges else np.argsort(keys)
-        ordered = keys[order]
+        parts = [_unsteps(k) for k in table.column("keys").to_pylist()]
+        keys, sizes = np.concatenate(parts), [len(p) for p in parts]
+        order = multikey_order(keys) if splitters == "sampled" else np.argsort(keys, kind="stable")
         new = np.ones(len(keys), bool)
-        new[1:] = ordered[1:] != ordered[:-1]
-        first, group = np.flatnonzero(new), np.cumsum(new) - 1
-        more = table.column("more").to_pylist()
-        out = np.empty(len(keys), bool)
-        if rule == "twice":
-            seen = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(more, sizes)])
-            held = np.diff(np.append(first, len(keys))) + np.maximum.reduceat(seen[order], first) > 1
-            out[order] = held[group]
-            bits = [np.packbits(x).tobytes() for x in np.split(out, np.cumsum(sizes)[:-1])]
-        else:
-            low = np.concatenate([np.frombuffer(m, np.int64) for m in more])
+        new[1:] = keys[order][1:] != keys[order][:-1]
+        begin, group = np.flatnonzero(new), np.cumsum(new) - 1
+        more, upto = table.column("more").to_pylist(), np.cumsum(sizes)[:-1]
+        if rule == "earlier":
+            low = np.concatenate([_unplanes(m, np.int64) for m in more])
             least = np.empty(len(keys), np.int64)
-            least[order] = np.minimum.reduceat(low[order], first)[group]
-            # A chunk keeps its own ids: it needs the least id only where that is not its own.
-            other = least < low
+            least[order] = np.minimum.reduceat(low[order], begin)[group]
+            # A chunk knows its own least id: only a smaller one is told.
             bits = [
                 np.packbits(o).tobytes() + v[o].tobytes()
-                for o, v in zip(np.split(other, np.cumsum(sizes)[:-1]), np.split(least, np.cumsum(sizes)[:-1]))
+                for o, v in zip(np.split(least < low, upto), np.split(least, upto))
             ]
+        else:
+            seen = np.concatenate([unpacked(m, n) for m, n in zip(more, sizes)])
+            held = np.diff(np.append(begin, len(keys))) + np.maximum.reduceat(seen[order].astype(np.int64), begin) > 1
+            out = np.empty(len(keys), bool)
+            out[order] = held[group]
+            bits = [np.packbits(x).tobytes() for x in np.split(out, upto)]
         return pa.table(
             {
-                "chunk": pa.array(chunk, pa.int64()),
-                "bucket": pa.array([bucket] * len(chunk), pa.int64()),
+                "chunk": table.column("chunk"),
+                "bucket": table.column("bucket"),
+                "size": pa.array(sizes, pa.int64()),
                 "bits": pa.array(bits, pa.binary()),
             }
         )
 
     def give_back(batches):
         for batch in batches:
-            columns = ("ids", "rows", "counts", "metas", "keys", "answers")
-            for ids, row_keys, counts, metas, keys, answers in zip(*(batch.column(c).to_pylist() for c in columns)):
-                keys, counts = np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)
+            columns = ("n", "ids", "rows", "counts", "metas", "place", "answers")
+            all_keys = batch.column("keys").to_pylist() if values else [None] * batch.num_rows
+            for (n, ids, row_keys, counts, metas, place, answers), keys in zip(
+                zip(*(batch.column(c).to_pylist() for c in columns)), all_keys
+            ):
+                counts, place = np.frombuffer(counts, np.int64), _unplanes(place, np.uint32)
                 ids, row_keys = np.frombuffer(ids, np.int64), np.frombuffer(row_keys, np.int64)
                 each = np.repeat(ids, counts)
-                distinct, least, _, place = _distinct(keys, each)
-                to = _bucket_of(distinct, buckets, splitters)
-                by = np.argsort(to, kind="stable")
-                used, first = np.unique(to[by], return_index=True)
-                spans = dict(zip(used.tolist(), zip(first.tolist(), np.append(first[1:], len(by)).tolist())))
-                verdict, lowest = np.zeros(len(distinct), bool), least.copy()
-                for a in answers or ():
-                    start, end = spans[a["bucket"]]
-                    n, body = end - start, a["bits"]
-                    got = np.unpackbits(np.frombuffer(body, np.uint8, -(-n // 8)), count=n).astype(bool)
-                    at = by[start:end][got]
-                    if rule == "twice":
-                        verdict[at] = True
-                    else:
-                        lowest[at] = np.frombuffer(body, np.int64, offset=-(-n // 8))
-                flags = verdict[place] if rule == "twice" else lowest[place] < each
+                verdict, at = np.zeros(n, bool), 0
+                lowest = np.full(n, np.iinfo(np.int64).max)
+                if rule == "earlier":
+                    np.minimum.at(lowest, place, each)
+                for a in sorted(answers or (), key=lambda a: a["bucket"]):
+                    got = unpacked(a["bits"], a["size"])
+                    verdict[at : at + a["size"]] = got
+                    if rule == "earlier":
+                        lowest[at : at + a["size"]][got] = np.frombuffer(a["bits"], np.int64, offset=-(-a["size"] // 8))
+                    at += a["size"]
+                flags = lowest[place] < each if rule == "earlier" else verdict[place]
                 ends = np.cumsum(counts)
-                hits = np.add.reduceat(flags, np.minimum(ends - counts, max(len(flags) - 1, 0))) if len(flags) else counts
-                found = np.flatnonzero((counts > 0) & (hits > 0))
+                hits = np.concatenate(([0], np.cumsum(flags)))
+                found = np.flatnonzero(hits[ends] > hits[ends - counts])
+                spans = [slice(ends[i] - counts[i], ends[i]) for i in found]
+                if values:
+                    each_key = _unsteps(keys)[place]
+                    bits = [each_key[s][flags[s]].tobytes() for s in spans]
+                else:
+                    bits = [np.packbits(flags[s]).tobytes() for s in spans]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[found], pa.int64()),
                         pa.array(row_keys[found], pa.int64()),
                         pa.array([metas[i] for i in found], pa.binary()),
-                        pa.array([np.packbits(flags[ends[i] - counts[i] : ends[i]]).tobytes() for i in found], pa.binary()),
+                        pa.array(bits, pa.binary()),
                     ],
                     ["_id", "_key", "meta", "bits"],
                 )
 
-    sent = chunks.mapInArrow(route, "bucket long, chunk long, keys binary, more binary")
+    sent = chunks.select("chunk", "n", "keys", "more").mapInArrow(route, "bucket long, chunk long, keys binary, more binary")
     answers = (
         sent.groupBy("bucket")
-        .applyInArrow(answer, "chunk long, bucket long, bits binary")
+        .applyInArrow(answer, "chunk long, bucket long, size long, bits binary")
         .groupBy("chunk")
-        .agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
+        .agg(F.collect_list(F.struct("bucket", "size", "bits")).alias("answers"))
     )
-    return chunks.join(answers, "chunk", "left").mapInArrow(give_back, ANSWER_SCHEMA)
+    kept = chunks.select("chunk", "n", "ids", "rows", "counts", "metas", "place", *(["keys"] if values else []))
+    return kept.join(answers, "chunk", "left").mapInArrow(give_back, ANSWER_SCHEMA)
 
 
 def _splitters(chunks: DataFrame, buckets: int, sample: int = 100_000) -> np.ndarray:
@@ -242,15 +258,11 @@ def _splitters(chunks: DataFrame, buckets: int, sample: int = 100_000) -> np.nda
     def pick(batches):
         for batch in batches:
             for keys in batch.column("keys").to_pylist():
-                distinct = np.unique(np.frombuffer(keys, np.uint64))
-                step = max(1, len(distinct) // each)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([distinct[step // 2 :: step].tobytes()], pa.binary())], ["sample"]
-                )
+                keys = _unsteps(keys)
+                step = max(1, len(keys) // each)
+                yield pa.RecordBatch.from_arrays([pa.array([keys[step // 2 :: step].tobytes()], pa.binary())], ["sample"])
 
     some = chunks.filter(F.pmod(F.xxhash64("chunk"), F.lit(-(-n // sample))) == 0).select("keys")
     rows = some.mapInArrow(pick, "sample binary").collect()
     found = np.sort(np.concatenate([np.frombuffer(r[0], np.uint64) for r in rows] or [np.empty(0, np.uint64)]))
-    if not len(found):
-        return found
-    return np.unique(found[(np.arange(1, buckets) * len(found)) // buckets])
+    return np.unique(found[(np.arange(1, buckets) * len(found)) // buckets]) if len(found) else found

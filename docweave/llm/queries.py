@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import anchors, huffman, lengths, packing
+from docweave.llm import anchors, huffman, lengths, packing, parity
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -37,3 +37,8 @@ def op7_token_counts(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_token_files(spark: SparkSession, d: str) -> DataFrame:
     return huffman.token_files(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return parity.near_duplicates(table(spark, d, "documents").select("doc_id", "text"))

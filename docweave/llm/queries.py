@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import anchors, huffman, lengths, packing, parity
+from docweave.llm import anchors, huffman, language, lengths, packing, parity, toxicity
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -42,3 +42,13 @@ def op9_token_files(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return parity.near_duplicates(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_language_profiles(spark: SparkSession, d: str) -> DataFrame:
+    return language.identify(table(spark, d, "documents").select("doc_id", "text", "lang"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "labels"))

@@ -27,6 +27,25 @@ def real_id(column: str = "_id"):
     return F.when(F.col(column) != F.lit(NO_ID), F.col(column))
 
 
+def held_out(column: str = "doc_id"):
+    """Rows set aside from learning: crc32 of the id as text divisible by 5; rows without an id too."""
+    return F.coalesce(F.crc32(F.col(column).cast("string")) % 5 == 0, F.lit(True))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """(text, label) of at most ``most`` documents of each label 0 and 1 that are not held out.
+
+    The documents with the least hash of their id are taken, so the choice
+    neither depends on partitions nor on the order of rows.
+    """
+    known = labels.select("doc_id", F.col(label).cast("int").alias("_label")).filter("doc_id is not null")
+    known = known.filter(F.col("_label").isin(0, 1) & ~held_out()).dropDuplicates(["doc_id"])
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    rank = F.xxhash64(F.col("doc_id").cast("string"))
+    parts = [known.filter(F.col("_label") == v).orderBy(rank, "doc_id").limit(most) for v in (0, 1)]
+    return docs.select("doc_id", "text").join(parts[0].union(parts[1]), "doc_id").select("text", F.col("_label").alias("label"))
+
+
 def fill(df: DataFrame, least: int = 1) -> int:
     """Partitions for a shuffle that every core should share."""
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

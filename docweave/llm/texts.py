@@ -49,9 +49,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = to
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each text the index of its first word."""
-    inside = ~BLANK[data]
+def word_spans(data: np.ndarray, offs: np.ndarray, kind: np.ndarray | None = None):
+    """Starts and ends of all words, and for each text the index of its first word.
+
+    ``kind``: which bytes are part of a word, all but blanks unless given.
+    """
+    inside = ~BLANK[data] if kind is None else kind[data]
     edge = np.zeros(len(data) + 1, bool)  # a text begins here
     edge[offs] = True
     start = inside.copy()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import anchors, huffman, language, lengths, packing, parity, toxicity
+from docweave.llm import anchors, huffman, language, leaks, lengths, packing, parity, quality, toxicity
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -52,3 +52,14 @@ def op1_language_profiles(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.toxicity(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "labels"))
+
+
+@query
+def op2_quality_lines(spark: SparkSession, d: str) -> DataFrame:
+    return quality.quality(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "labels"))
+
+
+@query
+def op3_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return leaks.contaminated(docs, table(spark, d, "benchmark"))

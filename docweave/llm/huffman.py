@@ -19,14 +19,17 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from docweave.llm.tables import fill, keyed, real_id
 from docweave.llm.tokens import encoded
-from docweave.session import new_path
+from docweave.session import cut_lineage, new_path
 
 EVERY = 128
 BLOCK_IDS = 1 << 19
 
+RAW_SCHEMA = (
+    "part long, block long, first_id long, first_key long, n_ids long, docs binary, counts binary, width long, raw binary"
+)
 FILE_SCHEMA = (
-    "part long, block long, first_id long, first_key long, n_ids long, lengths binary, "
-    "docs binary, counts binary, bits binary, checkpoints binary"
+    "part long, block long, first_id long, first_key long, n_ids long, docs binary, counts binary, "
+    "lengths binary, bits binary, checkpoints binary"
 )
 
 
@@ -114,64 +117,87 @@ def unpack(bits: bytes, checkpoints: np.ndarray, n: int, table) -> np.ndarray:
     return out.reshape(-1)[:n]
 
 
-def id_counts(docs: DataFrame) -> np.ndarray:
-    """How often each token id occurs over all documents, the end id included."""
+def token_blocks(docs: DataFrame) -> DataFrame:
+    """Ids of keyed documents in blocks of whole documents, by ascending id; ids as they are."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]):
+        part, block, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def built():
+            doc, key, ids = zip(*held)
+            counts = np.array([len(i) for i in ids], np.int64)
+            raw = np.concatenate(ids)
+            values = [
+                part, block, doc[0], key[0], len(raw), np.array(doc, np.int64).tobytes(), counts.tobytes(),
+                raw.itemsize, pa.compress(raw.tobytes(), codec="zstd", asbytes=True),
+            ]
+            kinds = [pa.binary() if isinstance(v, bytes) else pa.int64() for v in values]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], _names(RAW_SCHEMA))
+
+        for batch, ids, upto in encoded(batches):
+            parts = np.split(ids, upto[:-1])
+            for row in zip(batch.column("_id").to_pylist(), batch.column("_key").to_pylist(), parts):
+                if held and size + len(row[2]) > BLOCK_IDS:
+                    yield built()
+                    block, held, size = block + 1, [], 0
+                held.append(row)
+                size += len(row[2])
+        if held:
+            yield built()
+
+    ordered = docs.repartitionByRange(fill(docs), "_id", "_key").sortWithinPartitions("_id", "_key")
+    return ordered.mapInArrow(blocks, RAW_SCHEMA)
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def _raw_ids(body: bytes, n: int, width: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(body, n * width, codec="zstd"), np.dtype(f"u{width}"))
+
+
+def id_counts(blocks: DataFrame) -> np.ndarray:
+    """How often each token id occurs over all blocks."""
 
     def count(batches):
         total = np.zeros(0, np.int64)
-        for _, ids, _ in encoded(batches):
-            more = np.bincount(ids, minlength=len(total))
-            more[: len(total)] += total
-            total = more
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("raw", "n_ids", "width"))):
+                more = np.bincount(_raw_ids(*row), minlength=len(total))
+                more[: len(total)] += total
+                total = more
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    each = blocks.select("raw", "n_ids", "width").mapInArrow(count, "id long, n long")
+    rows = each.groupBy("id").agg(F.sum("n").alias("n")).collect()  # no more than the vocabulary has
     out = np.zeros(max([r.id for r in rows], default=0) + 1, np.int64)
-    for r in rows:  # no more than the vocabulary has
+    for r in rows:
         out[r.id] = r.n
     return out
 
 
 def write_ids(docs: DataFrame, path: str) -> None:
     """Write the ids of all documents (doc_id, text) to ``path``, by ascending id."""
-    rows = keyed(docs)
-    lengths = code_lengths(id_counts(rows))
+    blocks = cut_lineage(token_blocks(keyed(docs)), "token-blocks")
+    lengths = code_lengths(id_counts(blocks))
 
-    def blocks(batches: Iterator[pa.RecordBatch]):
-        part, block, codes = TaskContext.get().partitionId(), 0, canonical_codes(lengths)
-        ids_of, rows_of, counts_of, held, size = [], [], [], [], 0
-
-        def built():
-            ids = np.concatenate(held)
-            bits, checkpoints = pack(ids, lengths, codes)
-            values = [
-                part, block, ids_of[0], rows_of[0], len(ids), lengths.tobytes(), np.array(ids_of, np.int64).tobytes(),
-                np.array(counts_of, np.int64).tobytes(), bits, checkpoints.astype(np.int64).tobytes(),
-            ]
-            names = [f.split()[0] for f in FILE_SCHEMA.split(", ")]
-            kinds = [pa.binary() if isinstance(v, bytes) else pa.int64() for v in values]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+    def coded(batches):
+        codes = canonical_codes(lengths)
+        for batch in batches:
+            for raw, n, width in zip(*(batch.column(c).to_pylist() for c in ("raw", "n_ids", "width"))):
+                bits, checkpoints = pack(_raw_ids(raw, n, width), lengths, codes)
+                yield bits, checkpoints.astype(np.int64).tobytes()
 
-        for batch, ids, upto in encoded(batches):
-            starts = np.append(0, upto[:-1])
-            for doc, key, a, b in zip(
-                batch.column("_id").to_pylist(), batch.column("_key").to_pylist(), starts.tolist(), upto.tolist()
-            ):
-                if held and size + b - a > BLOCK_IDS:
-                    yield built()
-                    block, size = block + 1, 0
-                    ids_of, rows_of, counts_of, held = [], [], [], []
-                ids_of.append(doc)
-                rows_of.append(key)
-                counts_of.append(b - a)
-                held.append(ids[a:b])
-                size += b - a
-        if held:
-            yield built()
+    def rows(batches):
+        for batch in batches:
+            bits, checkpoints = zip(*coded([batch])) if batch.num_rows else ((), ())
+            keep = [batch.column(c) for c in _names(FILE_SCHEMA)[:7]]
+            last = [[lengths.tobytes()] * len(bits), bits, checkpoints]
+            yield pa.RecordBatch.from_arrays([*keep, *(pa.array(v, pa.binary()) for v in last)], _names(FILE_SCHEMA))
 
-    ordered = rows.repartitionByRange(fill(rows), "_id", "_key").sortWithinPartitions("_id", "_key")
-    ordered.mapInArrow(blocks, FILE_SCHEMA).write.parquet(path)
+    blocks.mapInArrow(rows, FILE_SCHEMA).write.parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -191,8 +217,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def decoded(batches):
         table = None
         for batch in batches:
-            columns = ("start", "n_ids", "lengths", "docs", "counts", "bits", "checkpoints")
-            for start, n, lengths, docs, counts, bits, checkpoints in zip(*(batch.column(c).to_pylist() for c in columns)):
+            columns = ("part", "block", "n_ids", "lengths", "docs", "counts", "bits", "checkpoints")
+            for part, block, n, lengths, docs, counts, bits, checkpoints in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if table is None or table[0] != lengths:
                     table = (lengths, decode_table(np.frombuffer(lengths, np.uint8)))
                 ids = unpack(bits, np.frombuffer(checkpoints, np.int64), n, table[1])
@@ -200,13 +226,17 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(counts)
                 body = ids.astype("<u4").tobytes()
                 crc = [zlib.crc32(body[4 * (e - c) : 4 * e]) for e, c in zip(ends.tolist(), counts.tolist())]
+                same = np.ones(len(counts), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(docs, np.int64)), pa.array(start + ends - counts), pa.array(counts), pa.array(crc, pa.int64())],
-                    ["_id", "start", "n_tokens", "ids_crc32"],
+                    [pa.array(v) for v in (part * same, block * same, np.frombuffer(docs, np.int64), ends - counts, counts)]
+                    + [pa.array(crc, pa.int64())],
+                    ["part", "block", "_id", "_at", "n_tokens", "ids_crc32"],
                 )
 
-    out = files.join(starts, ["part", "block"]).mapInArrow(decoded, "_id long, start long, n_tokens long, ids_crc32 long")
-    return out.select(real_id().alias("doc_id"), "start", "n_tokens", "ids_crc32")
+    digest = files.mapInArrow(decoded, "part long, block long, _id long, _at long, n_tokens long, ids_crc32 long")
+    return digest.join(starts, ["part", "block"]).select(
+        real_id().alias("doc_id"), (F.col("start") + F.col("_at")).alias("start"), "n_tokens", "ids_crc32"
+    )
 
 
 def token_files(docs: DataFrame) -> DataFrame:

@@ -125,7 +125,7 @@ def train(
 
 
 def learned(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Machine:
-    """A machine learned from documents labelled toxic or not, held-out ones left aside."""
+    """A machine learned from lower-cased documents labelled toxic or not, held-out ones left aside."""
 
     def features(batches: Iterator[pa.RecordBatch]):
         for batch, data, offs in slices(batches):
@@ -166,13 +166,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFram
     share of toxic labels. Rows without an id count as held out; repeated rows
     are scored each; an empty table gives no rows.
     """
-    out = scored(docs.select("doc_id", "text"), learned(docs, labels, most))
+    docs = docs.select("doc_id", F.lower("text").alias("text"))
+    out = scored(docs, learned(docs, labels, most))
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
     """``docs`` without the documents predicted toxic; columns as they are."""
-    machine = learned(docs, labels, most)
-    own = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], F.col("text").alias("text"))
+    machine = learned(docs.select("doc_id", F.lower("text").alias("text")), labels, most)
+    own = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], F.lower("text").alias("text"))
     kept = scored(own, machine).filter("predicted = 0")
     return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -60,26 +60,27 @@ def unpacked(bits: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
 
 
-def multikey_order(keys: np.ndarray, digits: int = 4) -> np.ndarray:
-    """Sorted order by multikey quicksort with 16-bit digits.
+def multikey_order(*keys: np.ndarray) -> np.ndarray:
+    """Order of 64-bit keys (then of further ones) by multikey quicksort with 16-bit digits.
 
     The keys are parted by their first digit; only parts that are still tied are
     ordered by the next one. All tied parts of one level are handled together.
     """
-    order = np.arange(len(keys))
-    part = np.zeros(len(keys), np.int64)
-    tied = np.arange(len(keys))  # places whose part has more than one key
-    for d in range(digits):
-        if not len(tied):
-            break
-        digit = ((keys[order[tied]] >> np.uint64(16 * (digits - 1 - d))) & np.uint64(0xFFFF)).astype(np.int64)
-        level = (part[tied] << 16) | digit
-        by = np.argsort(level, kind="stable")
-        order[tied], level = order[tied][by], level[by]
-        new = np.ones(len(tied), bool)
-        new[1:] = level[1:] != level[:-1]
-        part[tied] = np.cumsum(new)
-        tied = tied[~(new & np.append(new[1:], True))]
+    order = np.arange(len(keys[0]))
+    part = np.zeros(len(order), np.int64)
+    tied = order.copy()  # places whose part has more than one key
+    for key in keys:
+        for shift in (48, 32, 16, 0):
+            if not len(tied):
+                return order
+            digit = ((key[order[tied]] >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.int64)
+            level = (part[tied] << 16) | digit
+            by = np.argsort(level, kind="stable")
+            order[tied], level = order[tied][by], level[by]
+            new = np.ones(len(tied), bool)
+            new[1:] = level[1:] != level[:-1]
+            part[tied] = np.cumsum(new)
+            tied = tied[~(new & np.append(new[1:], True))]
     return order
 
 
@@ -106,11 +107,17 @@ def census(
 
         def packed():
             ids, row_keys, metas, bodies = zip(*held)
-            counts = np.array([len(k) // 8 for k in bodies], np.int64)
-            keys = np.frombuffer(b"".join(bodies), np.uint64) >> drop
-            order = np.argsort(keys, kind="stable")
+            if rule == "pairs":
+                counts = np.array([len(k) // 16 for k in bodies], np.int64)
+                both = [np.frombuffer(k, np.uint64).reshape(2, -1) for k in bodies]
+                keys, second = (np.concatenate([b[i] for b in both]) for i in (0, 1))
+                order = np.lexsort((second, keys))
+            else:
+                counts = np.array([len(k) // 8 for k in bodies], np.int64)
+                keys = second = np.frombuffer(b"".join(bodies), np.uint64) >> drop
+                order = np.argsort(keys, kind="stable")
             new = np.ones(len(keys), bool)
-            new[1:] = keys[order][1:] != keys[order][:-1]
+            new[1:] = (keys[order][1:] != keys[order][:-1]) | (second[order][1:] != second[order][:-1])
             begin = np.flatnonzero(new)
             place = np.empty(len(keys), np.uint32)
             place[order] = np.cumsum(new) - 1
@@ -119,6 +126,8 @@ def census(
                 more = _planes(np.minimum.reduceat(each[order], begin)) if len(begin) else b""
             else:
                 more = np.packbits(np.diff(np.append(begin, len(keys))) > 1).tobytes()
+                if rule == "pairs":
+                    more = _planes(second[order][begin]) + more
             values = [
                 first + n, len(begin), np.array(ids, np.int64).tobytes(), np.array(row_keys, np.int64).tobytes(),
                 counts.tobytes(), list(metas), _steps(keys[order][begin]), more, _planes(place),
@@ -155,8 +164,12 @@ def census(
                     low = _unplanes(more, np.int64)
                     extra = [_planes(low[cuts[u] : cuts[u + 1]]) for u in used]
                 else:
-                    seen = unpacked(more, n)
+                    head = 8 * n if rule == "pairs" else 0
+                    seen = unpacked(more[head:], n)
                     extra = [np.packbits(seen[cuts[u] : cuts[u + 1]]).tobytes() for u in used]
+                    if head:
+                        second = _unplanes(more[:head], np.uint64)
+                        extra = [_planes(second[cuts[u] : cuts[u + 1]]) + e for u, e in zip(used, extra)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used, pa.int64()),
@@ -170,11 +183,23 @@ def census(
     def answer(table: pa.Table) -> pa.Table:
         parts = [_unsteps(k) for k in table.column("keys").to_pylist()]
         keys, sizes = np.concatenate(parts), [len(p) for p in parts]
+        more, upto = table.column("more").to_pylist(), np.cumsum(sizes)[:-1]
         order = multikey_order(keys) if splitters == "sampled" else np.argsort(keys, kind="stable")
         new = np.ones(len(keys), bool)
-        new[1:] = keys[order][1:] != keys[order][:-1]
+        if rule == "pairs":
+            second = np.concatenate([_unplanes(m[: 8 * n], np.uint64) for m, n in zip(more, sizes)])
+            more = [m[8 * n :] for m, n in zip(more, sizes)]
+            order = multikey_order(keys, second) if splitters == "sampled" else np.lexsort((second, keys))
+            new_first = np.append(True, keys[order][1:] != keys[order][:-1])
+            new[1:] = new_first[1:] | (second[order][1:] != second[order][:-1])
+            # Keys that stand beside more than one second key.
+            which = np.cumsum(new_first) - 1
+            several = np.bincount(which, new) > 1
+            other = np.empty(len(keys), bool)
+            other[order] = several[which]
+        else:
+            new[1:] = keys[order][1:] != keys[order][:-1]
         begin, group = np.flatnonzero(new), np.cumsum(new) - 1
-        more, upto = table.column("more").to_pylist(), np.cumsum(sizes)[:-1]
         if rule == "earlier":
             low = np.concatenate([_unplanes(m, np.int64) for m in more])
             least = np.empty(len(keys), np.int64)
@@ -190,6 +215,8 @@ def census(
             out = np.empty(len(keys), bool)
             out[order] = held[group]
             bits = [np.packbits(x).tobytes() for x in np.split(out, upto)]
+            if rule == "pairs":
+                bits = [b + np.packbits(x).tobytes() for b, x in zip(bits, np.split(other, upto))]
         return pa.table(
             {
                 "chunk": table.column("chunk"),
@@ -209,19 +236,22 @@ def census(
                 counts, place = np.frombuffer(counts, np.int64), _unplanes(place, np.uint32)
                 ids, row_keys = np.frombuffer(ids, np.int64), np.frombuffer(row_keys, np.int64)
                 each = np.repeat(ids, counts)
-                verdict, at = np.zeros(n, bool), 0
+                verdict, beside, at = np.zeros(n, bool), np.zeros(n, bool), 0
                 lowest = np.full(n, np.iinfo(np.int64).max)
                 if rule == "earlier":
                     np.minimum.at(lowest, place, each)
                 for a in sorted(answers or (), key=lambda a: a["bucket"]):
                     got = unpacked(a["bits"], a["size"])
                     verdict[at : at + a["size"]] = got
+                    if rule == "pairs":
+                        beside[at : at + a["size"]] = unpacked(a["bits"][-(-a["size"] // 8) :], a["size"])
                     if rule == "earlier":
                         lowest[at : at + a["size"]][got] = np.frombuffer(a["bits"], np.int64, offset=-(-a["size"] // 8))
                     at += a["size"]
                 flags = lowest[place] < each if rule == "earlier" else verdict[place]
                 ends = np.cumsum(counts)
-                hits = np.concatenate(([0], np.cumsum(flags)))
+                more = beside[place]
+                hits = np.concatenate(([0], np.cumsum(flags | more)))
                 found = np.flatnonzero(hits[ends] > hits[ends - counts])
                 spans = [slice(ends[i] - counts[i], ends[i]) for i in found]
                 if values:
@@ -229,6 +259,8 @@ def census(
                     bits = [each_key[s][flags[s]].tobytes() for s in spans]
                 else:
                     bits = [np.packbits(flags[s]).tobytes() for s in spans]
+                    if rule == "pairs":
+                        bits = [b + np.packbits(more[s]).tobytes() for b, s in zip(bits, spans)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[found], pa.int64()),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import anchors, huffman, language, leaks, lengths, packing, parity, quality, toxicity
+from docweave.llm import anchors, huffman, language, leaks, lengths, packing, parity, quality, suffixes, toxicity
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -63,3 +63,8 @@ def op2_quality_lines(spark: SparkSession, d: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return leaks.contaminated(docs, table(spark, d, "benchmark"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffixes.repeated_strings(table(spark, d, "documents").select("doc_id", "text"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm.census import PACKED_SCHEMA, census, packed_rows, unpacked
-from docweave.llm.tables import NO_ID, keyed, real_id
+from docweave.llm.tables import keyed, real_id, shielded
 from docweave.llm.texts import covered, ranges, slices, window_hashes, word_hashes, word_spans
 
 # Perfect difference sets (fixed values): period and cover places.
@@ -179,12 +179,10 @@ def cut_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     found = repeated_windows(rows, window).dropDuplicates(["_id", "_key"])
     new = rows.dropDuplicates(["_id", "_key"]).join(found, ["_id", "_key"])
     new = new.mapInArrow(cut, "_id long, _key long, _cut string")
-    columns = docs.columns
-    out = docs.withColumns(
-        {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_key": F.xxhash64("doc_id", "text")}
-    ).join(new, ["_id", "_key"], "left")
-    out = out.withColumn("text", F.coalesce("_cut", "text"))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*[F.col(f"`{c}`") for c in columns])
-
+    own, back = shielded(docs)
+    out = own.join(new, ["_id", "_key"], "left")
+    changed = {"text": F.coalesce("_cut", "text")}
+    if "n_chars" in docs.columns:
+        length = F.length("_cut").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("_cut").isNull(), F.col(f"own{docs.columns.index('n_chars')}")).otherwise(length)
+    return back(out, **changed)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm.census import PACKED_SCHEMA, census, packed_rows
 from docweave.llm.components import components
-from docweave.llm.tables import NO_ID, fill, keyed, real_id
+from docweave.llm.tables import fill, keyed, real_id, shielded
 from docweave.llm.texts import BYTE_CODE, LOWER, mix, prefix_sums, ranges, slices, span_hash, word_spans
 from docweave.session import cut_lineage
 
@@ -383,8 +383,6 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     full = sets.filter("n_shingles > 0").join(label, "sid")
     lead = full.groupBy("component").agg(F.min(F.struct("_id", "_key")).alias("lead"))
     lead = lead.select("lead._id", "lead._key").union(sets.filter("n_shingles = 0").select("_id", "_key")).distinct()
-    tagged = docs.withColumns(
-        {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_key": F.xxhash64("doc_id", "text")}
-    )
-    kept = tagged.join(lead, ["_id", "_key"], "left_semi")
-    return kept.dropDuplicates(["_id", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own, back = shielded(docs)
+    kept = own.join(lead, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    return back(kept)

@@ -22,6 +22,23 @@ def keyed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     )
 
 
+def shielded(docs: DataFrame):
+    """``docs`` with _id, _key and text, own columns under names that clash with nothing, and the way back."""
+    own = [F.col(f"`{c}`").alias(f"own{i}") for i, c in enumerate(docs.columns)]
+    rows = docs.select(
+        *own,
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
+        F.xxhash64("doc_id", "text").alias("_key"),
+        F.col("text").alias("text"),
+    )
+
+    def back(df: DataFrame, **changed) -> DataFrame:
+        """The columns of ``docs``; ``changed``: other expressions for some of them."""
+        return df.select(*(changed.get(c, F.col(f"own{i}")).alias(c) for i, c in enumerate(docs.columns)))
+
+    return rows, back
+
+
 def real_id(column: str = "_id"):
     """The id as it was."""
     return F.when(F.col(column) != F.lit(NO_ID), F.col(column))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from docweave.llm.tables import held_out, labelled_sample
+from docweave.llm.tables import held_out, labelled_sample, shielded
 from docweave.llm.texts import BYTE_CODE, LOWER, mix, prefix_sums, slices, span_hash, word_spans
 
 # Documents of each label to learn from, at most.
@@ -80,13 +80,19 @@ def terms(data: np.ndarray, offs: np.ndarray, known: np.ndarray | None) -> tuple
 
 
 def train(
-    rows: list[tuple[np.ndarray, int]], epochs: int = 6, rate: float = 0.05, least: int = 5, shrink: float = 0.05
+    rows: list[tuple[np.ndarray, int]],
+    epochs: int = 6,
+    rate: float = 0.05,
+    least: int = 5,
+    shrink: float = 0.05,
+    factor_share: float = 0.02,
 ) -> Machine:
     """Fit to (feature hashes, label) by stochastic gradient on the logistic loss.
 
     Features of fewer than ``least`` rows are left out. After each epoch weights
     are shrunk towards 0 (``shrink``), which clears those that only fit single
-    documents. Factors learn at a fiftieth of the rate. The order is fixed.
+    documents. Factors learn at ``factor_share`` of the rate: a text has many more
+    pairs than terms. The order is fixed.
     """
     labels = np.array([r[1] for r in rows], np.float64)
     flat = np.concatenate([r[0] for r in rows]) if rows else np.empty(0, np.uint64)
@@ -118,7 +124,7 @@ def train(
             machine.bias -= step * g.sum()
             machine.weights[used] -= step * np.bincount(local, g[doc], len(used))
             dv = np.stack([np.bincount(local, g[doc] * (sums[doc, f] - v[:, f]), len(used)) for f in range(FACTORS)], 1)
-            machine.factors[used] -= step / 50 * np.clip(dv, -5, 5)
+            machine.factors[used] -= step * factor_share * np.clip(dv, -5, 5)
         least_kept = shrink * step * 20
         machine.weights = np.sign(machine.weights) * np.maximum(np.abs(machine.weights) - least_kept, 0)
     return machine
@@ -174,6 +180,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFram
 def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
     """``docs`` without the documents predicted toxic; columns as they are."""
     machine = learned(docs.select("doc_id", F.lower("text").alias("text")), labels, most)
-    own = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], F.lower("text").alias("text"))
-    kept = scored(own, machine).filter("predicted = 0")
-    return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    own, back = shielded(docs)
+    return back(scored(own.withColumn("text", F.lower("text")), machine).filter("predicted = 0"))

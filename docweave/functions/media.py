@@ -46,6 +46,9 @@ EXTENSIONS = [
     ("txt", "text/plain"),
 ]
 
+# Bytes (hex) that text does not have: control bytes but blanks, form feed and escape.
+CONTROL = "^(?:..)*(?:0[0-8EF]|1[0-9ACDEF]|7F)"
+
 # Containers whose content alone does not tell the type apart.
 _CONTAINERS = ("application/zip", "application/x-ole-storage", "application/xml")
 
@@ -78,7 +81,7 @@ def media_type(content: Column, path: Column) -> Column:
         F.when(by_magic.isin(*_CONTAINERS), F.coalesce(by_ext, by_magic)).otherwise(by_magic),
         F.when(is_html, F.lit("text/html")),
         by_ext,
-        F.when(F.is_valid_utf8(F.decode(content, "ISO-8859-1")) & ~F.contains(head, F.lit("0000")), F.lit("text/plain")),
+        F.when(F.rlike(head, F.lit("^(FFFE|FEFF)")) | ~F.rlike(head, F.lit(CONTROL)), F.lit("text/plain")),
         F.lit("application/octet-stream"),
     )
 

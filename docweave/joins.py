@@ -1,33 +1,8 @@
-"""Join and numbering helpers that stay even when one key is hot."""
+"""Numbering that stays even when one key is hot."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
-
-# Size of one scan split with Spark's default settings.
-SCAN_SPLIT = 128 << 20
-
-
-def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    spread: list[Column],
-    how: str = "left",
-    salts: int = 16,
-) -> DataFrame:
-    """Join many ``rows`` to a ``lookup`` with one row per key.
-
-    One key may hold a third of all rows, so rows are spread over ``salts``
-    buckets by the ``spread`` columns and the lookup is repeated once per
-    bucket. The lookup grows by a constant factor; no task gets a whole hot
-    key. When the lookup is small at run time AQE turns this into a broadcast.
-    """
-    if how not in ("left", "inner"):
-        raise ValueError("lookup_join supports left and inner")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+from pyspark.sql import DataFrame, functions as F, Window as W
 
 
 def number_within(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -47,19 +22,7 @@ def number_within(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     offsets = spans.select(
         *keys, "_part", "_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
-    joined = lookup_join(tagged, offsets, [*keys, "_part"], [F.col("_at")], how="inner")
+    joined = tagged.join(offsets, [*keys, "_part"])
     return joined.withColumn(name, F.col("_at") - F.col("_low") + F.col("_before") + 1).drop(
         "_at", "_part", "_low", "_before"
     )
-
-
-def spread_if_small(df: DataFrame) -> DataFrame:
-    """Give every core work on a small input that is heavy per row.
-
-    A file of one row group is read by one task. Where the whole input is below
-    one scan split per core it is spread evenly over the cores; a larger input
-    already has enough splits and is left alone, so nothing big is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * SCAN_SPLIT else df

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -101,6 +102,26 @@ def count_rows(df: DataFrame, table_nm: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(table_nm).alias("table_nm"), "n")
 
 
+def counted(rows: DataFrame, known: Sequence[tuple] = ()) -> DataFrame:
+    """Number of rows of each name of a union of tables, in one exchange.
+
+    ``rows`` holds a row per source row with the names alone; names in ``known``
+    are listed with 0 where they have none.
+    """
+    names = rows.columns
+    each = rows.withColumn("_one", F.lit(1))
+    if known:
+        schema = ", ".join(f"{n} string" for n in names)
+        each = each.unionByName(rows.sparkSession.createDataFrame(list(known), schema).withColumn("_one", F.lit(0)))
+    return each.groupBy(*names).agg(F.sum("_one").alias("n"))
+
+
+def count_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row counts of many source tables in one exchange."""
+    rows = [df.select(F.lit(name).alias("table_nm")) for name, df in tables.items()]
+    return counted(reduce(DataFrame.unionByName, rows), [(name,) for name in tables])
+
+
 def index_count(documents: DataFrame) -> DataFrame:
     """Documents already stored, per table."""
     return documents.groupBy("table_nm").agg(F.count(F.lit(1)).alias("n"))

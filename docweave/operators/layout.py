@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from docweave.functions.text import fold_ligatures, list_item_kind, ltr_count, rtl_count
@@ -38,14 +38,8 @@ def arrange(glyphs: DataFrame) -> DataFrame:
 
 
 def gather_pages(glyphs: DataFrame) -> DataFrame:
-    """Glyphs of a page in one partition.
-
-    The number of partitions is given outright: left open, AQE would merge them
-    by size, but the work per row here is far above that of a plain shuffle.
-    """
-    spark = glyphs.sparkSession
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return glyphs.repartition(width, *PAGE)
+    """Glyphs of a page in one partition; AQE sizes the partitions by the data."""
+    return glyphs.repartition(*PAGE)
 
 
 def reorder(arranged: DataFrame, by_position: bool = False) -> DataFrame:
@@ -384,59 +378,61 @@ def page_lines(ordered: DataFrame, overprints: bool = True, marks: bool = True)
     return scan_pages(ordered, *before, place_stage, line_stage)
 
 
-def paragraphs(lines_in_order: DataFrame) -> DataFrame:
+# How a line stands to the one before it, and what that makes of it. States: plain,
+# opening a paragraph, hanging below an opening line.
+PLAIN, OPENING, HANGING = range(3)
+STANDS = ("apart", "indented", "outdented", "level", "level_item", "other")
+FOLLOWS = {
+    "apart": (OPENING, OPENING, OPENING),
+    "indented": (OPENING, HANGING, OPENING),
+    "outdented": (OPENING, PLAIN, OPENING),
+    "level": (PLAIN, PLAIN, HANGING),
+    "level_item": (PLAIN, OPENING, HANGING),
+    "other": (PLAIN, PLAIN, PLAIN),
+}
+
+
+def paragraphs(lines_in_order: DataFrame, drop: float = DROP, indent: float = INDENT) -> DataFrame:
     """Lines with the number of their paragraph on the page.
 
-    A paragraph opens after a drop of more than 2.5 line heights, at an indent
-    of more than two spaces that is not a hanging indent, at an outdent back
-    from inside a paragraph, or at a list item of the same kind as the one that
-    opened the line before. Lines come in page order, as :func:`lines` gives them.
+    Each line is compared with the one before it by a window: far below it or in
+    another section, indented by more than ``indent`` spaces, outdented by more
+    than one, level with it, or level and a list item of the same kind. What a
+    line is follows from that and from what the line before was (``FOLLOWS``),
+    folded over the lines of a page. A line that opens begins a paragraph.
     """
-    # list-item kinds are matched by Spark; the scan only compares them
+    page = W.partitionBy(*PAGE).orderBy("line_no")
+    before = {c: F.lag(c).over(page) for c in ("section", "x", "last_y", "height", "_item")}
     marked = lines_in_order.withColumn("_item", list_item_kind(F.get("words", F.lit(0))))
-    names = marked.columns
-    i = {c: n for n, c in enumerate(names)}
-    width = len(lines_in_order.columns)
-
-    def start() -> Callable:
-        before = None
-        opened = hanging = False
-        number = -1
+    shift = F.col("x") - before["x"]
+    far = F.abs(F.col("first_y") - before["last_y"]) > drop * before["height"]
+    stands = (
+        F.when(before["section"].isNull() | (before["section"] != F.col("section")) | far, "apart")
+        .when(shift > indent * F.col("space_w"), "indented")
+        .when(shift < -F.col("space_w"), "outdented")
+        .when(F.abs(shift) >= 0.25 * F.col("first_w"), "other")
+        .when(F.col("_item") == before["_item"], "level_item")
+        .otherwise("level")
+    )
+    columns = lines_in_order.columns
+    rest = [c for c in columns if c not in PAGE]
+    rows = marked.withColumn("_stands", stands)
+    pages = rows.groupBy(*PAGE).agg(
+        F.sort_array(F.collect_list(F.struct("line_no", F.struct(*rest).alias("line"), "_stands"))).alias("_lines")
+    )
+    table = F.create_map(*[x for name in STANDS for x in (F.lit(name), F.array(*map(F.lit, FOLLOWS[name])))])
 
-        def step(row):
-            nonlocal before, opened, hanging, number
-            opens, hangs = False, False
-            if before is None or before[i["section"]] != row[i["section"]]:
-                opens = True
-            else:
-                drop = abs(row[i["first_y"]] - before[i["last_y"]])
-                shift = row[i["x"]] - before[i["x"]]
-                space = row[i["space_w"]]
-                if drop > DROP * before[i["height"]]:
-                    opens = True
-                elif shift > INDENT * space:
-                    opens, hangs = not opened, opened
-                elif shift < -space:
-                    opens = not opened
-                elif abs(shift) < 0.25 * row[i["first_w"]]:
-                    if hanging:
-                        hangs = True
-                    elif opened:
-                        opens = row[i["_item"]] is not None and row[i["_item"]] == before[i["_item"]]
-            before, opened, hanging = row, opens, hangs
-            number += opens
-            return ((*row[:width], number, opens),)
+    def next_state(states: Column, line: Column) -> Column:
+        state = F.get(table[line["_stands"]], F.coalesce(F.element_at(states, -1), F.lit(PLAIN)))
+        return F.concat(states, F.array(state))
 
-        return step
-
-    out = T.StructType(
-        [
-            *lines_in_order.schema.fields,
-            T.StructField("paragraph_no", T.IntegerType()),
-            T.StructField("opens_paragraph", T.BooleanType()),
-        ]
-    )
-    return scan_pages(marked, lambda _: Stage(start, out))
+    first = F.array().cast("array<int>")
+    states = F.aggregate("_lines", first, lambda s, line: F.when(F.size(s) == 0, F.array(F.lit(OPENING))).otherwise(next_state(s, line)))
+    flat = pages.select(*PAGE, F.posexplode(F.arrays_zip("_lines", states.alias("_state"))).alias("_at", "_row"))
+    opens = F.col("_row._state") == OPENING
+    number = F.sum(opens.cast("int")).over(W.partitionBy(*PAGE).orderBy("_at")) - 1
+    out = flat.select(*PAGE, "_row._lines.line.*", number.cast("int").alias("paragraph_no"), opens.alias("opens_paragraph"))
+    return out.select(*columns, "paragraph_no", "opens_paragraph")
 
 
 def line_text(words: Column, backwards: bool, word_separator: str = " ") -> Column:
@@ -467,44 +463,19 @@ def page_text(
     text = numbered.select(
         *PAGE,
         "section",
+        "line_no",
         "opens_paragraph",
         line_text(F.col("words"), False, word_separator).alias("_forwards"),
         line_text(F.col("words"), True, word_separator).alias("_backwards"),
         (rtl_count(letters) - ltr_count(letters)).alias("_rtl"),
     )
-    i = {c: n for n, c in enumerate(text.columns)}
-
-    def start() -> Callable:
-        done: list[str] = []
-        lines_: list[tuple] = []
-        last = None
-
-        def end_section() -> None:
-            backwards = sum(r[i["_rtl"]] for _, r in lines_) > 0
-            for lead, r in lines_:
-                done.append(lead + r[i["_backwards" if backwards else "_forwards"]])
-            lines_.clear()
-
-        def step(row):
-            nonlocal last
-            if row is None:
-                end_section()
-                return ((*last[:2], "".join(done) + paragraph_end),)
-            if last is None:
-                lead = paragraph_start
-            else:
-                lead = line_separator + (paragraph_end + paragraph_start if row[i["opens_paragraph"]] else "")
-                if last[i["section"]] != row[i["section"]]:
-                    end_section()
-            lines_.append((lead, row))
-            last = row
-            return ()
-
-        return step
-
-    keys = [f for f in numbered.schema.fields if f.name in PAGE]
-    out = T.StructType([*keys, T.StructField("content", T.StringType())])
-    return scan_pages(text, lambda _: Stage(start, out, closes=True))
+    backwards = F.sum("_rtl").over(W.partitionBy(*PAGE, "section")) > 0
+    at = F.row_number().over(W.partitionBy(*PAGE).orderBy("line_no"))
+    between = F.when(F.col("opens_paragraph"), line_separator + paragraph_end + paragraph_start).otherwise(line_separator)
+    lead = F.when(at == 1, paragraph_start).otherwise(between)
+    text = text.withColumn("_text", F.concat(lead, F.when(backwards, F.col("_backwards")).otherwise(F.col("_forwards"))))
+    by_page = text.groupBy(*PAGE).agg(F.sort_array(F.collect_list(F.struct("line_no", "_text"))).alias("_lines"))
+    return by_page.select(*PAGE, F.concat(F.array_join(F.col("_lines._text"), ""), F.lit(paragraph_end)).alias("content"))
 
 
 def glyphs_to_text(

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.functions.text import bind, not_blank
-from docweave.joins import lookup_join
 
 SHEET = ["doc", "sheet"]
 
@@ -18,7 +17,7 @@ def split_cell_ref(ref: Column) -> Column:
     """``AB12`` as ``struct(col, row)``."""
     return F.struct(
         F.regexp_replace(ref, r"\d", "").alias("col"),
-        F.regexp_replace(ref, r"\D", "").cast("int").alias("row"),
+        F.regexp_replace(ref, r"\D", "").try_cast("int").alias("row"),
     )
 
 
@@ -41,9 +40,7 @@ def header_row(cells: DataFrame) -> DataFrame:
 
 
 def _with_header(cells: DataFrame) -> DataFrame:
-    return lookup_join(
-        cells.where(F.col("row").isNotNull()), header_row(cells), SHEET, [F.col("row"), F.col("col_no")], how="inner"
-    )
+    return cells.where(F.col("row").isNotNull()).join(header_row(cells), SHEET)
 
 
 def header_join(cells: DataFrame) -> DataFrame:
@@ -55,7 +52,7 @@ def header_join(cells: DataFrame) -> DataFrame:
         .agg(F.max("value").alias("header"))
     )
     data = placed.where(F.col("row") > F.col("header_row")).drop("header_row")
-    joined = lookup_join(data, names, [*SHEET, "col_no"], [F.col("row")])
+    joined = data.join(names, [*SHEET, "col_no"], "left")
     return joined.withColumn("header", F.coalesce("header", F.concat(F.lit("column_"), F.col("col"))))
 
 
@@ -91,7 +88,7 @@ def sheet_rows(cells: DataFrame, legacy: bool = False) -> DataFrame:
         F.min("row").alias("_header_row"), F.min_by("_cells", "row").alias("_header")
     )
     headers = headers.withColumn("_names", _filled(F.col("_header"))).drop("_header")
-    placed = lookup_join(by_row, headers, SHEET, [F.col("row")], how="inner").where(
+    placed = by_row.join(headers, SHEET).where(
         F.col("row") > F.col("_header_row")
     )
 
@@ -119,7 +116,13 @@ def sheet_rows(cells: DataFrame, legacy: bool = False) -> DataFrame:
 
 
 def extra_cells(cells: DataFrame) -> DataFrame:
-    """Text outside the grid (chart titles, text boxes), kept as blocks of its own."""
+    """Text outside the grid (chart titles, text boxes), kept as blocks of its own.
+
+    Where cells have a ``kind``, page headers, flags and cells that only lack a
+    reference are no such text.
+    """
+    if "kind" in cells.columns:
+        cells = cells.where(F.col("kind") == "shape")
     return cells.where(F.col("row").isNull() & not_blank(F.col("value")).isNotNull()).select(
         *SHEET, F.col("value").alias("content")
     )
@@ -182,5 +185,5 @@ def _filled(entries: Column) -> Column:
 def row_documents(rows: DataFrame, parents: DataFrame, id_of: Column) -> DataFrame:
     """Row records with the fields of their file, all but content and metadata."""
     inherited = [c for c in parents.columns if c not in ("content", "metadata")]
-    joined = lookup_join(rows, parents.select(*inherited), ["doc"], [F.col("sheet"), F.col("row_number")])
+    joined = rows.join(parents.select(*inherited), "doc", "left")
     return joined.withColumn("unique_id", id_of)

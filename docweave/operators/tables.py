@@ -163,7 +163,8 @@ def value_sql(column: str, dtype: T.DataType, kind: str) -> str:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
     if kind == "money":
-        return f"CAST(CAST({c} AS DECIMAL(19,4)) AS STRING)"
+        # an amount beyond the money type stays as it is written
+        return f"coalesce(CAST(try_cast({c} AS DECIMAL(19,4)) AS STRING), CAST({c} AS STRING))"
     return f"CAST({c} AS STRING)"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def latest_by_id(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -23,7 +23,12 @@ def latest_of(incoming: DataFrame, order: Sequence[str] = (), key: str = "unique
     """One row per id of a batch; without an order, one picked the same way each time."""
     if order:
         return latest_by_id(incoming, key, order)
-    tied = incoming.withColumn("_tie", F.xxhash64(F.to_json(F.struct(*incoming.columns))))
+    # A map has no hash of its own; its sorted entries have.
+    parts = [
+        F.array_sort(F.map_entries(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
+        for f in incoming.schema.fields
+    ]
+    tied = incoming.withColumn("_tie", F.xxhash64(*parts))
     return latest_by_id(tied, key, ["_tie"]).drop("_tie")
 
 

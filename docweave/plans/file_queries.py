@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.functions import media, paths
-from docweave.joins import spread_if_small
 from docweave.operators import files as fl, metadata as meta, pages as pg, slides as sl
 from docweave.plans import inputs as src
-from docweave.plans.inputs import FILES_SQL, PREFIX, ROOT, SLIDES_SQL, documents_of, table, union_all
+from docweave.plans.inputs import FILES_SQL, PREFIX, ROOT, SLIDES_SQL, documents_of, spread, table, union_all
 from docweave.plans.registry import query
 from docweave.session import new_path
 from docweave.sinks import store
@@ -253,7 +252,7 @@ _BARE = (
     + r", '[\s\x{00A0}]+', ' ', 'g')) AS text FROM pages",
 )
 def html_extract(spark, d):
-    out = markup.html_extract(spread_if_small(table(spark, d, "pages")))
+    out = markup.html_extract(spread(table(spark, d, "pages")))
     return out.select(
         "page_id",
         "title",

@@ -15,8 +15,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from docweave.functions import media
-from docweave.joins import spread_if_small
-from docweave.plans.inputs import documents_of, sql_id, table
+from docweave.plans.inputs import documents_of, spread, sql_id, table
 from docweave.plans.registry import query
 from docweave.session import new_path
 from docweave.sources import delimited, mail, markup, workbook
@@ -202,7 +201,7 @@ def mime_parts(spark, d):
         F.col("lang"), "</p>\n--inner--\n\n--outer\nContent-Type: image/gif\nContent-Transfer-Encoding: base64\n"
         'Content-Disposition: attachment; filename="', F.col("source"), '.gif"\n\nR0lGODlh\n--outer--\n',
     )
-    rows = spread_if_small(table(spark, d, "documents")).select(F.col("doc_id").cast("string").alias("path"), content.alias("content"))
+    rows = spread(table(spark, d, "documents")).select(F.col("doc_id").cast("string").alias("path"), content.alias("content"))
     return mail.mime_parts(rows).select("path", "part_no", "content_type", "encoding", "filename", "text")
 
 
@@ -355,7 +354,7 @@ def _write_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 )
 def xlsx_cells(spark, d):
     """Documents written as workbooks, a line per row, and read back as cells."""
-    docs = spread_if_small(table(spark, d, "documents")).select(F.col("doc_id").cast("string").alias("path"), "text", "source")
+    docs = spread(table(spark, d, "documents")).select(F.col("doc_id").cast("string").alias("path"), "text", "source")
     books = docs.mapInPandas(_write_workbooks, "path string, content binary")
     out = workbook.workbook_cells(books)
     return out.select("doc", "sheet", "row", "col", "col_no", "value", "kind", "comment_author", "comment")

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docweave.operators.catalog import counted
 from docweave.operators.tables import table_to_documents
 
 DATABASE = "warehouse"
@@ -43,6 +44,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over as many tasks as a shuffle has: for work that is heavy per row."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def documents_of(spark: SparkSession, d: str, name: str, df: DataFrame | None = None) -> DataFrame:
     """A given table as documents."""
     return table_to_documents(
@@ -80,20 +86,10 @@ _VIEWS = [
 
 def catalog(spark: SparkSession, d: str) -> DataFrame:
     """(table_nm, table_type, source_n) of every table and view."""
-    base = [
-        table(spark, d, t).agg(F.count(F.lit(1)).alias("source_n")).select(
-            F.lit(t).alias("table_nm"), F.lit("BASE TABLE").alias("table_type"), "source_n"
-        )
-        for t in TABLES
-    ]
-    views = [
-        table(spark, d, t)
-        .groupBy(F.expr(name).alias("table_nm"))
-        .agg(F.count(F.lit(1)).alias("source_n"))
-        .select("table_nm", F.lit("VIEW").alias("table_type"), "source_n")
-        for t, name in _VIEWS
-    ]
-    return union_all(base + views)
+    kind = lambda name: F.lit(name).alias("table_type")
+    rows = [table(spark, d, t).select(F.lit(t).alias("table_nm"), kind("BASE TABLE")) for t in TABLES]
+    rows += [table(spark, d, t).select(F.expr(name).alias("table_nm"), kind("VIEW")) for t, name in _VIEWS]
+    return counted(union_all(rows), [(t, "BASE TABLE") for t in TABLES]).withColumnRenamed("n", "source_n")
 
 
 CATALOG_SQL = " UNION ALL ".join(

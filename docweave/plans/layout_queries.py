@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docweave.joins import spread_if_small
 from docweave.operators import layout as lay
-from docweave.plans.inputs import LINES_PER_PAGE, table
+from docweave.plans.inputs import LINES_PER_PAGE, spread, table
 from docweave.plans.registry import query
 
 PITCH, LEADING, HEIGHT = 6.0, 12.0, 10.0
@@ -20,7 +19,7 @@ PITCH, LEADING, HEIGHT = 6.0, 12.0, 10.0
 def glyphs(spark, d):
     """German lines stand far apart, French ones are indented from the third of a
     page on, Spanish ones after the first."""
-    docs = spread_if_small(table(spark, d, "documents").select("doc_id", "lang", "text"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
     lines = docs.select("doc_id", "lang", F.posexplode(F.split("text", "\n", -1)).alias("line", "chars"))
     chars = lines.select("doc_id", "lang", "line", F.posexplode(F.split("chars", "")).alias("at", "raw")).where(
         F.trim("raw") != ""

@@ -384,8 +384,8 @@ def annotations(spark, d):
       UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey, n_nationkey, n_name FROM nation
       UNION ALL SELECT 'C' || c_custkey, 'N' || c_nationkey, c_custkey, c_name FROM customer
       UNION ALL SELECT 'O' || o_orderkey, 'C' || o_custkey, o_orderkey, o_orderstatus FROM orders),
-    t AS (SELECT id, title, 0 AS depth, lpad(CAST(ord AS VARCHAR), 10, '0') AS path FROM n WHERE parent IS NULL
-      UNION ALL SELECT n.id, n.title, depth + 1, path || '/' || lpad(CAST(ord AS VARCHAR), 10, '0') FROM t JOIN n ON n.parent = t.id)
+    t AS (SELECT id, title, 0 AS depth, lpad(CAST(ord AS VARCHAR), 19, '0') AS path FROM n WHERE parent IS NULL
+      UNION ALL SELECT n.id, n.title, depth + 1, path || '/' || lpad(CAST(ord AS VARCHAR), 19, '0') FROM t JOIN n ON n.parent = t.id)
     SELECT 'world' AS doc, id, title, depth, path FROM t
     """,
 )

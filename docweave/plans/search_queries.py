@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
-from docweave.joins import spread_if_small
 from docweave.operators import search
-from docweave.plans.inputs import documents_of, sql_id, table, union_all
+from docweave.plans.inputs import documents_of, spread, sql_id, table, union_all
 from docweave.plans.registry import query
 
 FACETED = ("customer", "supplier", "part", "orders", "lineitem", "events", "nation", "region")
@@ -90,7 +89,7 @@ def _sql_hits() -> str:
 @query("keyword_search", _sql_hits())
 def keyword_search(spark, d):
     whole = union_all(
-        [documents_of(spark, d, t, spread_if_small(table(spark, d, t))) for t in ("documents", "part", "customer")]
+        [documents_of(spark, d, t, spread(table(spark, d, t))) for t in ("documents", "part", "customer")]
     )
     return search.keyword_search(whole, "Ring").select("table_nm", "unique_id", "hits")
 
@@ -104,7 +103,7 @@ def keyword_search(spark, d):
     """,
 )
 def leading_wildcard(spark, d):
-    docs = spread_if_small(table(spark, d, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     index = search.reversed_tokens(docs, "doc_id", "text")
     return search.leading_wildcard(index, "Tion").select("doc_id", "token")
 
@@ -119,7 +118,7 @@ def leading_wildcard(spark, d):
     """,
 )
 def term_vectors(spark, d):
-    docs = spread_if_small(table(spark, d, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     out = search.term_vectors(docs, "doc_id", "text", offsets=False)
     return out.withColumn("positions", F.array_join("positions", "|"))
 
@@ -135,7 +134,7 @@ def term_vectors(spark, d):
     """,
 )
 def term_offsets(spark, d):
-    docs = spread_if_small(table(spark, d, "documents").select("doc_id", "text"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     out = search.term_vectors(docs, "doc_id", "text")
     return out.select("doc_id", "token", F.array_join("offsets", "|").alias("offsets"))
 

@@ -102,7 +102,7 @@ def select_rows(spark, d):
 
 @query("count_rows", " UNION ALL ".join(f"SELECT '{t}' AS table_nm, count(*) AS n FROM {t}" for t in src.TABLES))
 def count_rows(spark, d):
-    return union_all([cat.count_rows(table(spark, d, t), t) for t in src.TABLES])
+    return cat.count_tables({t: table(spark, d, t) for t in src.TABLES})
 
 
 @query("index_count", STORED_SQL)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,8 +35,9 @@ def build_session(app: str = "docweave", master: str | None = None, **conf) -> S
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, a laptop) a local temporary folder is made and used instead.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and
+    Spark runs in one process (tests, a laptop) a temporary folder is made; on a
+    cluster executors would each write to a disk of their own, so it raises.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -43,6 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     made = tempfile.mkdtemp(prefix="docweave-")
     spark.sparkContext.setCheckpointDir(made)
     return made
@@ -64,3 +68,9 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store Spark writes to."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

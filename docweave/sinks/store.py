@@ -8,15 +8,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from docweave.functions.text import strip
-from docweave.operators.upsert import latest_of, upsert
+from docweave.operators.upsert import latest_of
 from docweave.schema import DOCUMENT
-from docweave.session import new_path
+from docweave.session import new_path, remove_path
 
 PARTITIONS = ("database_nm", "table_nm")
 
-# Longest list of folders turned into a scan filter.
-FOLDER_LIST = 500
-
 
 def write_documents(documents: DataFrame, path: str, mode: str = "append") -> None:
     """Store documents, a folder per database and table.
@@ -42,21 +39,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def only_folders_of(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Stored rows in the folders that ``incoming`` writes to.
-
-    A short list of folders becomes a filter that prunes the scan; a long one is
-    joined instead.
-    """
-    touched = incoming.select(*PARTITIONS).distinct()
-    named = touched.limit(FOLDER_LIST + 1).collect()
-    if len(named) > FOLDER_LIST:
-        return stored.join(touched, list(PARTITIONS), "left_semi")
-    match = F.lit(False)
-    for row in named:
-        same = [F.col(c).eqNullSafe(F.lit(row[c])) for c in PARTITIONS]
-        match = match | (same[0] & same[1])
-    return stored.where(match)
+def in_folders(rows: DataFrame, folders: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows in the folders listed; a missing database or table name is a folder too."""
+    named = folders.select(*[F.col(c).alias(f"_{c}") for c in PARTITIONS])
+    return rows.join(named, [rows[c].eqNullSafe(named[f"_{c}"]) for c in PARTITIONS], how)
 
 
 def upsert_documents(
@@ -64,28 +50,41 @@ def upsert_documents(
 ) -> None:
     """Add or replace documents of the stored table by id.
 
-    Only the folders touched by ``incoming`` are rewritten. The merged rows are
-    staged first, then swapped in, so the table is never read and overwritten by
-    one plan and a failure leaves the staged rows behind.
+    An id is replaced wherever it is stored, in another folder too. Only the
+    folders that hold such an id or get new rows are rewritten. The merged rows
+    are staged first, then swapped in, so the table is never read and overwritten
+    by one plan; a failure leaves the staged rows behind, success removes them.
     """
     spark = incoming.sparkSession
-    newest = latest_of(incoming, order)
-    newest = newest.select(*[f.name for f in DOCUMENT.fields])
+    newest = latest_of(incoming, order).select(*[f.name for f in DOCUMENT.fields])
     if not exists(spark, path):
         write_documents(newest, path, mode="errorifexists")
         return
     staging = staging or new_path(spark, "staged")
-    stored = only_folders_of(read_documents(spark, path), newest)
-    write_documents(upsert(stored.select(*newest.columns), newest), staging, mode="errorifexists")
-    read_documents(spark, staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    write_documents(newest, f"{staging}/new", mode="errorifexists")
+    newest = read_documents(spark, f"{staging}/new")
+    ids = newest.select("unique_id")
+    stored = read_documents(spark, path)
+    touched = stored.select("unique_id", *PARTITIONS).join(ids, "unique_id", "left_semi").select(*PARTITIONS)
+    touched = touched.union(newest.select(*PARTITIONS)).distinct()
+    kept = in_folders(stored, touched).join(ids, "unique_id", "left_anti").select(*newest.columns)
+    merged = kept.unionByName(newest).hint("rebalance", *PARTITIONS)
+    write_documents(merged, f"{staging}/merged", mode="errorifexists")
+    merged = read_documents(spark, f"{staging}/merged")
+    left = in_folders(stored.select(*PARTITIONS, F.col("_metadata.file_path").alias("file")), touched)
+    emptied = in_folders(left, merged.select(*PARTITIONS).distinct(), "left_anti").select("file").distinct().collect()
+    merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *PARTITIONS
     ).parquet(path)
+    for row in emptied:  # files of folders whose last document moved away
+        remove_path(spark, row.file)
+    remove_path(spark, staging)
 
 
 def observed(documents: DataFrame, name: str = "ingest") -> tuple[DataFrame, Observation]:
     """Documents with counters that fill while they are written.
 
-    Rows, rows with text and rows with an error are counted in the same pass.
+    Rows, rows with text, dates and amounts are counted in the same pass.
     """
     seen = Observation(name)
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from docweave.functions.text import quote_regex, strip
 from docweave.joins import number_within
@@ -101,7 +101,12 @@ def csv_fields(
         F.lit(False).alias("skip"),
         F.lit(0).alias("at"),
     ).cast(_STATE)
-    return F.aggregate(bind(pieces, neighbours), start, step, lambda s: F.concat(s["fields"], F.array(s["cur"])))
+    folded = F.aggregate(bind(pieces, neighbours), start, step, lambda s: F.concat(s["fields"], F.array(s["cur"])))
+    if strict_quotes:
+        return folded
+    # without quote and escape a line is its pieces between separators
+    plain = ~F.contains(line, F.lit(quote)) & ~F.contains(line, F.lit(escape))
+    return F.when(plain, F.split(line, quote_regex(separator), -1)).otherwise(folded)
 
 
 def tsv_fields(line: Column) -> Column:
@@ -128,16 +133,33 @@ def skip_lines(lines: DataFrame, skip: int) -> DataFrame:
     return lines.where((F.col("line_no") == 1) | (F.col("line_no") > skip + 1))
 
 
+def join_quoted(lines: DataFrame, quote: str = '"', escape: str = "\\") -> DataFrame:
+    """Lines (path, line_no, line) joined while a quote is open, and numbered anew.
+
+    Whether one is open follows from the number of quotes before; only the line
+    numbers and that parity of a file meet in a task, not its text.
+    """
+    q, e = quote_regex(quote), quote_regex(escape)
+    quotes = F.regexp_count(F.regexp_replace("line", f"[{e}][{e}{q}]", ""), F.lit(f"[{q}]")) % 2
+    order = W.partitionBy("path").orderBy("line_no")
+    flags = lines.select("path", "line_no", quotes.alias("_odd"))
+    before = F.coalesce(F.sum("_odd").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    flags = flags.select("path", "line_no", (before % 2 == 0).cast("long").alias("_first"))
+    flags = flags.select("path", "line_no", F.sum("_first").over(order).alias("_record"))
+    joined = lines.join(flags, ["path", "line_no"]).groupBy("path", F.col("_record").alias("record"))
+    parts = F.sort_array(F.collect_list(F.struct("line_no", "line")))
+    return joined.agg(parts.alias("_l")).select("path", F.col("record").alias("line_no"), F.array_join("_l.line", "\n").alias("line"))
+
+
 def read_csv(spark: SparkSession, path: str, skip: int = 0, multi_line: bool = False, **dialect) -> DataFrame:
     """CSV files as (path, line_no, fields); one physical line is one row.
 
-    ``multi_line`` lets quoted fields run over lines, which Spark's own reader
-    does, a file per task.
+    ``multi_line`` lets quoted fields run over lines: a line that ends inside a
+    quoted field goes on in the next one. ``skip`` then counts records.
     """
     if multi_line:
-        options = {"sep": dialect.get("separator", ","), "quote": dialect.get("quote", '"'), "escape": dialect.get("escape", "\\")}
-        df = spark.read.options(multiLine=True, header=False, **options).csv(path)
-        return df.select(F.array(*df.columns).alias("fields"))
+        records = join_quoted(read_lines(spark, path), dialect.get("quote", '"'), dialect.get("escape", "\\"))
+        return skip_lines(records, skip).select("path", "line_no", csv_fields(F.col("line"), **dialect).alias("fields"))
     lines = skip_lines(read_lines(spark, path, numbered=skip > 0), skip)
     return lines.select(*[c for c in lines.columns if c != "line"], csv_fields(F.col("line"), **dialect).alias("fields"))
 

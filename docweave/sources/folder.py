@@ -8,16 +8,13 @@ from docweave.functions.media import media_type
 from docweave.functions.paths import OUTPUT_FOLDER
 
 
-def folder_scan(spark: SparkSession, root: str, exclude: str = OUTPUT_FOLDER, max_bytes: int | None = None) -> DataFrame:
+def folder_scan(spark: SparkSession, root: str, exclude: str = OUTPUT_FOLDER) -> DataFrame:
     """Every file below ``root`` as (path, modified, length, content).
 
     Paths holding ``exclude`` are skipped. The content is only read when it is
-    used; a limit on the length is applied before reading. Spark leaves out
-    names starting with ``_`` or ``.``.
+    used. Spark leaves out names starting with ``_`` or ``.``.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    if max_bytes is not None:
-        files = files.where(F.col("length") <= max_bytes)
     return files.where(~F.contains(F.col("path"), F.lit(exclude))).select(
         "path", F.col("modificationTime").alias("modified"), "length", "content"
     )

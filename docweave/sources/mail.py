@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from docweave.functions.text import strip
+from docweave.functions.text import bind, strip
 
 
 def split_mailbox(mailbox: Column) -> Column:
@@ -22,13 +22,19 @@ def split_mailbox(mailbox: Column) -> Column:
 def message_parts(message: Column) -> Column:
     """``struct(envelope, headers, body)`` of one mailbox message."""
     has_envelope = F.startswith(message, F.lit("From "))
-    envelope = F.when(has_envelope, F.substring_index(F.substr(message, F.lit(6)), "\n", 1))
-    rest = F.when(has_envelope, F.regexp_replace(message, r"^[^\n]*\n?", "")).otherwise(message)
-    headers = F.regexp_extract(rest, r"^((?:[^\n]+\n?)*)", 1)
-    body = F.regexp_replace(F.substr(rest, F.length(headers) + 1), r"^\n", "")
-    return F.struct(
-        envelope.alias("envelope"), unfold(F.regexp_replace(F.replace(headers, F.lit("\r"), F.lit("")), r"\s+$", "")).alias("headers"), body.alias("body")
-    )
+    first = F.substring_index(message, "\n", 1)
+    rest = F.when(has_envelope, F.substr(message, F.length(first) + 2)).otherwise(message)
+
+    def cut(rest: Column) -> Column:
+        # headers end at the first blank line, or never
+        headers = F.when(F.startswith(rest, F.lit("\n")), F.lit("")).otherwise(F.substring_index(rest, "\n\n", 1))
+        body = F.substr(rest, F.length(headers) + F.when(F.startswith(rest, F.lit("\n")), 2).otherwise(3))
+        plain = F.rtrim(F.replace(headers, F.lit("\r"), F.lit("")), F.lit(" \t\n\x0b\f"))
+        return F.struct(
+            F.when(has_envelope, F.substr(first, F.lit(6))).alias("envelope"), unfold(plain).alias("headers"), body.alias("body")
+        )
+
+    return bind(rest, cut)
 
 
 def unfold(headers: Column) -> Column:
@@ -69,6 +75,7 @@ def decode_words(c: Column) -> Column:
 
     @F.pandas_udf(T.StringType())
     def decoded(values: pd.Series) -> pd.Series:
+        from email.errors import HeaderParseError
         from email.header import decode_header, make_header
 
         def one(value):
@@ -76,7 +83,7 @@ def decode_words(c: Column) -> Column:
                 return value
             try:
                 return str(make_header(decode_header(value)))
-            except (LookupError, ValueError):
+            except (LookupError, ValueError, HeaderParseError):
                 return value
 
         # a line at a time: decoding joins the lines it is given
@@ -91,26 +98,28 @@ def header_values(headers: Column, name: str) -> Column:
 
 
 def addresses(headers: Column, name: str) -> Column:
-    """Addresses of one header; commas within quotes do not separate."""
+    """Addresses of one header; commas within quotes or encoded words do not separate."""
     joined = F.array_join(header_values(headers, name), ",")
     parts = F.regexp_extract_all(joined, F.lit(r'(?:"[^"]*"|[^",])+'), F.lit(0))
-    return F.filter(F.transform(parts, strip), lambda a: a != "")
+    # an address holds no line break, so all are decoded as the lines of one text
+    plain = decode_words(F.array_join(F.transform(parts, strip), "\n"))
+    return F.filter(F.transform(F.split(plain, "\n"), strip), lambda a: a != "")
 
 
 def message_headers(messages: DataFrame, headers: str = "headers") -> DataFrame:
     """Sender, recipients, subject, date and ids of messages.
 
-    Encoded words are decoded where a block holds any; other rows stay in the JVM
-    text path inside the same Arrow batch.
+    Headers are cut before encoded words are decoded, so a decoded comma or line
+    break separates nothing. Values pass through Python in Arrow batches; one
+    that cannot be decoded stays as it is written.
     """
     rest = [c for c in messages.columns if c not in (headers, "body")]
-    decoded = messages.select(*rest, decode_words(F.col(headers)).alias("_h"))
-    h = F.col("_h")
+    h = F.col(headers)
 
     def one(name: str) -> Column:
-        return F.get(header_values(h, name), F.lit(0))
+        return decode_words(F.get(header_values(h, name), F.lit(0)))
 
-    return decoded.select(
+    return messages.select(
         *rest,
         strip(one("From")).alias("from_addr"),
         addresses(h, "To").alias("to"),
@@ -144,7 +153,7 @@ def mime_parts(messages: DataFrame, path: str = "path", content: str = "content"
             yield part, depth
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from email import message_from_string
+        from email import message_from_bytes
 
         names = [c.split()[0] for c in PARTS.split(", ")]
         for batch in batches:
@@ -152,7 +161,7 @@ def mime_parts(messages: DataFrame, path: str = "path", content: str = "content"
             for where, raw in zip(batch["path"], batch["content"]):
                 if raw is None:
                     continue
-                message = message_from_string(raw)
+                message = message_from_bytes(raw.encode())
                 for number, (part, depth) in enumerate(leaves(message, 0), start=1):
                     charset = part.get_content_charset()
                     text = None

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from docweave.operators.upsert import latest_by_id
+from docweave.operators.upsert import latest_of
+from docweave.schema import DOCUMENT
 from docweave.sinks.store import PARTITIONS, write_documents
 
 
@@ -52,9 +53,13 @@ def ingest_stream(
 def compact(spark: SparkSession, path: str, target: str) -> None:
     """One document per id from all batches, the latest batch winning.
 
+    The latest batch of each id is found on narrow rows; of two rows of one id in
+    it the same one is picked each time. Folder names are read as text.
     Run now and then: a rewrite per batch would cost the whole table each time.
     """
-    batches = spark.read.parquet(path)
-    newest = latest_by_id(batches, "unique_id", ["batch"]).drop("batch")
+    schema = T.StructType([*DOCUMENT.fields, T.StructField("batch", T.LongType())])
+    batches = spark.read.schema(schema).parquet(path)
+    last = batches.groupBy("unique_id").agg(F.max("batch").alias("batch"))
+    newest = latest_of(batches.join(last, ["unique_id", "batch"], "left_semi").drop("batch"))
     newest.write.mode("errorifexists").partitionBy(*PARTITIONS).parquet(target)
 

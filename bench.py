@@ -28,6 +28,15 @@ HEADLINE = (
     "html_extract",
     "csv_dialect_read",
     "mbox_messages",
+    "rfc822_headers",
+    "mime_parts",
+    "xlsx_cells",
+    "outline_flatten",
+    "write_documents",
+    "ingest_stream",
+    "glyph_words",
+    "paragraphs",
+    "page_text",
 )
 
 

@@ -50,13 +50,20 @@ def facet_money_range(documents: DataFrame, gap: float, *, by: Sequence[str] = (
 
 
 def filter_any_date(documents: DataFrame, low: str, high: str) -> DataFrame:
-    """Documents with any date in ``[low, high)``, whatever its column."""
+    """Documents with any date in ``[low, high)``, whatever its column.
+
+    Stored documents have bounds, and those reach the scan.
+    """
     lo, hi = F.lit(low).cast("timestamp"), F.lit(high).cast("timestamp")
+    if "date_max" in documents.columns:
+        documents = documents.where((F.col("date_max") >= lo) & (F.col("date_min") < hi))
     return documents.where(F.exists("date_text", lambda d: (d >= lo) & (d < hi)))
 
 
 def filter_any_money(documents: DataFrame, low: float, high: float) -> DataFrame:
-    """Documents with any amount in ``[low, high)``, whatever its column."""
+    """Documents with any amount in ``[low, high)``, whatever its column; bounds as for dates."""
+    if "money_max" in documents.columns:
+        documents = documents.where((F.col("money_max") >= low) & (F.col("money_min") < high))
     return documents.where(F.exists("money_text", lambda v: (v >= low) & (v < high)))
 
 

@@ -404,11 +404,17 @@ def quarantine(spark, d):
     )
 
 
-@query("folder_scan")
+@query(
+    "folder_scan",
+    "SELECT name || '.parquet' AS name, true AS has_bytes, 'application/vnd.apache.parquet' AS content_type FROM (VALUES "
+    + ", ".join(f"('{t}')" for t in src.TABLES)
+    + ") AS t(name)",
+)
 def folder_scan(spark, d):
     """The folder of given tables itself as a folder of files."""
     files = folder.with_media_type(folder.folder_scan(spark, d))
-    return files.select(F.substring_index("path", "/", -1).alias("name"), "length", "content_type")
+    name = F.regexp_extract("path", r"([^/]+\.parquet)(?:/[^/]*)?$", 1).alias("name")
+    return files.select(name, (F.col("length") > 0).alias("has_bytes"), "content_type")
 
 
 @query(

@@ -68,17 +68,19 @@ def _text_file(spark, rows, label):
 
 @query(
     "csv_skip_lines",
-    "SELECT CAST(sum(n) AS BIGINT) AS n_lines, CAST(max(n) AS BIGINT) AS longest FROM (SELECT count(*) AS n FROM documents) t",
+    "SELECT source, count(*) - 3 AS n, count(*) AS last FROM documents GROUP BY 1 HAVING count(*) > 4",
 )
 def csv_skip_lines(spark, d):
-    """Line numbers of text files: every number from one to the count occurs once."""
-    path = _text_file(spark, table(spark, d, "documents").select(F.concat("source", F.lit(","), "lang")), "lines")
-    lines = delimited.read_lines(spark, path)
-    per_file = lines.groupBy("path").agg(
-        F.count(F.lit(1)).alias("n"), F.max("line_no").alias("last"), F.count_distinct("line_no").alias("distinct_no")
+    """A text file per source, three lines after the first left out of each."""
+    path = new_path(spark, "lines")
+    rows = table(spark, d, "documents").select("source", F.concat("source", F.lit(","), "lang").alias("value"))
+    rows.repartition("source").write.partitionBy("source").text(path)
+    kept = delimited.skip_lines(delimited.read_lines(spark, f"{path}/*"), 3)
+    per_file = kept.groupBy("path", F.substring_index("line", ",", 1).alias("source")).agg(
+        F.count_distinct("line_no").alias("n"), F.max("line_no").alias("last"), F.min_by("line_no", "line_no").alias("first"),
+        F.count_if(F.col("line_no").between(2, 4)).alias("skipped"),
     )
-    sound = per_file.where((F.col("n") == F.col("last")) & (F.col("n") == F.col("distinct_no")))
-    return sound.agg(F.sum("n").alias("n_lines"), F.max("last").alias("longest"))
+    return per_file.where((F.col("last") > 4) & (F.col("first") == 1) & (F.col("skipped") == 0)).select("source", "n", "last")
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from docweave.functions import paths
 from docweave.operators import outline, pages as pg, sheets as sh, slides as sl
@@ -57,13 +57,13 @@ def header_join(spark, d):
 
 @query(
     "sort_cells",
-    f"SELECT doc, sheet, row, string_agg(col || '=' || coalesce(value, ''), '|' ORDER BY col_no) AS cells FROM ({CELLS_SQL}) c GROUP BY 1, 2, 3",
+    f"SELECT doc, sheet, row, col_no, value, row_number() OVER (PARTITION BY doc, sheet, row ORDER BY col_no) AS place FROM ({CELLS_SQL}) c",
 )
 def sort_cells(spark, d):
-    ordered = sh.sort_cells(src.cells(spark, d))
-    entry = F.struct("col_no", F.concat("col", F.lit("="), F.coalesce("value", F.lit(""))).alias("v"))
-    by_row = ordered.groupBy("doc", "sheet", "row").agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    return by_row.select("doc", "sheet", "row", F.array_join(F.col("e")["v"], "|").alias("cells"))
+    """Cells numbered in the order in which the sort delivers them."""
+    ordered = sh.sort_cells(src.cells(spark, d)).withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(W.partitionBy("doc", "sheet", "row").orderBy("_at")).cast("long").alias("place")
+    return ordered.select("doc", "sheet", "row", "col_no", "value", place)
 
 
 def _sql_rows(header: str, value: str, kept: str) -> str:

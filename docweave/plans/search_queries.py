@@ -8,6 +8,7 @@ from docweave.functions import text as tx
 from docweave.operators import search
 from docweave.plans.inputs import documents_of, spread, sql_id, table, union_all
 from docweave.plans.registry import query
+from docweave.session import new_path
 
 FACETED = ("customer", "supplier", "part", "orders", "lineitem", "events", "nation", "region")
 DATED = ("orders", "lineitem", "events")
@@ -104,8 +105,9 @@ def keyword_search(spark, d):
 )
 def leading_wildcard(spark, d):
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
-    index = search.reversed_tokens(docs, "doc_id", "text")
-    return search.leading_wildcard(index, "Tion").select("doc_id", "token")
+    path = new_path(spark, "tokens")
+    search.write_reversed_index(search.reversed_tokens(docs, "doc_id", "text"), path)
+    return search.leading_wildcard(spark.read.parquet(path), "Tion").select("doc_id", "token")
 
 
 @query(

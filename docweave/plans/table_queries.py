@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from docweave.operators import catalog as cat, tables as tab, upsert as up
 from docweave.plans import inputs as src
@@ -12,9 +12,12 @@ from docweave.plans.registry import query
 # --- catalog -----------------------------------------------------------------------
 
 
-@query("catalog_list", f"SELECT table_nm, table_type FROM ({CATALOG_SQL}) c WHERE table_nm LIKE '%_s'")
+@query("catalog_list", f"SELECT row_number() OVER (ORDER BY table_nm) AS position, table_nm, table_type FROM ({CATALOG_SQL}) c WHERE table_nm LIKE '%_s'")
 def catalog_list(spark, d):
-    return cat.list_tables(src.catalog(spark, d), name_like="%_s").select("table_nm", "table_type")
+    """Tables of that name, numbered in the order in which they come."""
+    listed = cat.list_tables(src.catalog(spark, d), name_like="%_s").withColumn("_at", F.monotonically_increasing_id())
+    position = F.row_number().over(W.orderBy("_at")).cast("long").alias("position")  # a catalog, not a table
+    return listed.select(position, "table_nm", "table_type")
 
 
 def _sql_types() -> str:
@@ -26,6 +29,19 @@ def _sql_types() -> str:
             "o_orderdate timestamp_ntz", "o_orderpriority string",
         ],
         "pages": ["page_id bigint", "url string", "html string"],
+        "region": ["r_regionkey int", "r_name string"],
+        "nation": ["n_nationkey int", "n_name string", "n_regionkey int"],
+        "supplier": ["s_suppkey bigint", "s_name string", "s_nationkey int", "s_acctbal double"],
+        "benchmark": ["item_id bigint", "text string"],
+        "labels": ["doc_id bigint", "quality int", "toxic int"],
+        "conversations": ["conv_id bigint", "turn bigint", "role string", "text string"],
+        "embeddings": ["vec_id bigint", "embedding array<float>", "label int"],
+        "part": ["p_partkey bigint", "p_name string", "p_brand string", "p_type string", "p_size int", "p_retailprice double"],
+        "lineitem": [
+            "l_orderkey bigint", "l_partkey bigint", "l_suppkey bigint", "l_linenumber int", "l_quantity double",
+            "l_extendedprice double", "l_discount double", "l_tax double", "l_returnflag string", "l_linestatus string",
+            "l_shipdate timestamp_ntz",
+        ],
         "events": ["event_id bigint", "ts timestamp_ntz", "user_id bigint", "event_type string", "value double", "props string"],
     }
     rows = []
@@ -45,8 +61,7 @@ def _sql_types() -> str:
 
 @query("catalog_column_types", _sql_types())
 def catalog_column_types(spark, d):
-    names = ("customer", "documents", "orders", "pages", "events")
-    return union_all([cat.column_types(table(spark, d, n), n) for n in names])
+    return union_all([cat.column_types(table(spark, d, n), n) for n in src.TABLES])
 
 
 @query(

@@ -43,6 +43,28 @@ DOCUMENT = T.StructType(
 )
 
 
+# What a stored document has besides: the least and greatest of its dates and amounts.
+BOUNDS = {
+    "date_min": "array_min(date_text)",
+    "date_max": "array_max(date_text)",
+    "money_min": "array_min(money_text)",
+    "money_max": "array_max(money_text)",
+}
+
+
+def with_bounds(documents: DataFrame) -> DataFrame:
+    """Documents with their bounds, by which a scan can leave out files and row groups."""
+    return documents.selectExpr("*", *[f"{how} AS {name}" for name, how in BOUNDS.items()])
+
+
+STORED = T.StructType(
+    [
+        *DOCUMENT.fields,
+        *[T.StructField(n, T.TimestampType() if n.startswith("date") else T.DoubleType()) for n in BOUNDS],
+    ]
+)
+
+
 def conform(df: DataFrame) -> DataFrame:
     """``df`` with exactly the document columns; missing ones are null."""
     have = set(df.columns)

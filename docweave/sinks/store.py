@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from docweave.functions.text import strip
 from docweave.operators.upsert import latest_of
-from docweave.schema import DOCUMENT
+from docweave.schema import BOUNDS, DOCUMENT, STORED, with_bounds
 from docweave.session import new_path, remove_path
 
 PARTITIONS = ("database_nm", "table_nm")
@@ -20,13 +20,14 @@ def write_documents(documents: DataFrame, path: str, mode: str = "append") -> No
 
     Facets and delta counts then read only the folders they name. Rows are not
     gathered by table first: every task writes its own files, so a table holding
-    most rows is no bottleneck.
+    most rows is no bottleneck. Bounds of dates and amounts are stored beside them.
     """
+    documents = with_bounds(documents.drop(*BOUNDS))
     documents.write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DOCUMENT).parquet(path)
+    return spark.read.schema(STORED).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docweave.functions.text import strip
+from docweave.functions.text import bind, strip
 from docweave.operators.metadata import collect_metadata
 
 # Entities resolved in visible text; the ampersand comes last.
@@ -30,11 +32,44 @@ TAG = r"(?s)<[^>]*>"
 SPACES = r"[\s\x{00A0}]+"
 
 
+# Named entities as the standard library lists them, by code point in hex.
+_NAMED = ",".join(f"{name}:{point:X}" for name, point in name2codepoint.items() if name not in ("nbsp", "amp"))
+_ENTITY = r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]\w{1,15});"
+
+
 def unescape(c: Column) -> Column:
-    """Resolve the common entities."""
-    for name, ch in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(ch))
-    return c
+    """Resolve named and numeric entities; unknown ones stay, the ampersand comes last."""
+
+    def resolved(text: Column, entity: Column) -> Column:
+        name = F.btrim(entity, F.lit("&;"))
+        point = (
+            F.when(F.rlike(name, F.lit("^#[xX]")), F.substr(name, F.lit(3)))
+            .when(F.startswith(name, F.lit("#")), F.conv(F.substr(name, F.lit(2)), 10, 16))
+            .otherwise(F.try_element_at(F.expr(f"str_to_map('{_NAMED}', ',', ':')"), name))
+        )
+        number = F.conv(point, 16, 10).cast("long")
+        valid = number.between(9, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(point, 8, "0")), "UTF-32"))
+        return F.coalesce(F.replace(text, entity, char), text)
+
+    common = c
+    for name, ch in ENTITIES[:-1]:
+        common = F.replace(common, F.lit(name), F.lit(ch))
+    all_ = bind(common, lambda t: F.aggregate(F.array_distinct(F.regexp_extract_all(t, F.lit(_ENTITY), F.lit(0))), t, resolved))
+    return F.replace(F.when(F.contains(common, F.lit("&")), all_).otherwise(common), F.lit("&amp;"), F.lit("&"))
+
+
+def plain_sections(c: Column) -> Column:
+    """CDATA sections as escaped text."""
+    sections = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?s)<!\[CDATA\[.*?\]\]>"), F.lit(0)))
+
+    def escaped(text: Column, section: Column) -> Column:
+        body = F.regexp_extract(section, r"(?s)^<!\[CDATA\[(.*)\]\]>$", 1)
+        for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            body = F.replace(body, F.lit(raw), F.lit(safe))
+        return F.replace(text, section, body)
+
+    return F.when(F.contains(c, F.lit("<![CDATA[")), F.aggregate(sections, c, escaped)).otherwise(c)
 
 
 def visible_text(html: Column) -> Column:
@@ -49,8 +84,9 @@ def title(html: Column) -> Column:
 
 def links(html: Column) -> Column:
     """Targets of links in order."""
-    found = F.regexp_extract_all(html, F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""), F.lit(1))
-    return F.transform(found, unescape)
+    target = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    found = F.regexp_extract_all(html, F.lit(target), F.lit(1))
+    return F.transform(found, lambda t: unescape(F.regexp_replace(t, "^[\"']|[\"']$", "")))
 
 
 def meta_tags(html: Column) -> Column:
@@ -103,7 +139,7 @@ def read_feed(spark: SparkSession, path: str, row_tag: str = "item") -> DataFram
 
 def xml_metadata(docs: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """Leaf elements of XML by local name, repeated ones multi-valued, and the text."""
-    c = F.regexp_replace(F.col(content), r"(?s)<!--.*?-->|<\?.*?\?>", "")
+    c = plain_sections(F.regexp_replace(F.col(content), r"(?s)<!--.*?-->|<\?.*?\?>", ""))
     leaf = r"(?s)<((?:[\w.-]+:)?[\w.-]+)(?:\s[^<>]*)?>[^<>]*</\1\s*>"
     found = F.regexp_extract_all(c, F.lit(leaf), F.lit(0))
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docweave.operators.upsert import latest_of
 from docweave.schema import DOCUMENT
-from docweave.sinks.store import PARTITIONS, write_documents
+from docweave.sinks.store import write_documents
 
 
 def stream_files(spark: SparkSession, root: str, per_trigger: int = 1000) -> DataFrame:
@@ -61,5 +61,5 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
     batches = spark.read.schema(schema).parquet(path)
     last = batches.groupBy("unique_id").agg(F.max("batch").alias("batch"))
     newest = latest_of(batches.join(last, ["unique_id", "batch"], "left_semi").drop("batch"))
-    newest.write.mode("errorifexists").partitionBy(*PARTITIONS).parquet(target)
+    write_documents(newest, target, mode="errorifexists")
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm.census import PACKED_SCHEMA, census, packed_rows, unpacked
 from docweave.llm.tables import NO_ID, fill, real_id
-from docweave.llm.texts import BYTE_CODE, covered, prefix_sums, ranges, runs, slices, span_hash
+from docweave.llm.texts import BYTE_CODE, SLICE_BYTES, covered, prefix_sums, ranges, runs, slices, span_hash
 from docweave.session import new_path
 
 GRAM = 64
@@ -41,26 +41,33 @@ EVERY = 32
 def distinct_texts(texts: DataFrame) -> DataFrame:
     """(_id, _key, copies, body, size): each text of (_id, _key, text) once, compressed.
 
+    A task sends a text once and its further copies as a number, so a text that a
+    third of all rows have is no load for the task that gets it.
+
     The table is kept in buckets of its id in the shared folder: later joins with
     it move only what they bring.
     """
 
     def squeeze(batches: Iterator[pa.RecordBatch]):
+        again: dict[tuple[int, int], int] = {}  # texts of this task, and how often each came again
         for batch in batches:
-            bodies = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_id"), batch.column("_key"),
-                    pa.array([pa.compress(b, codec="zstd", asbytes=True) if b else b"" for b in bodies], pa.binary()),
-                    pa.array([len(b) for b in bodies], pa.int64()),
-                ],
-                ["_id", "_key", "body", "size"],
-            )
-
+            new = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("_id", "_key", "text"))):
+                if row[:2] in again:
+                    again[row[:2]] += 1
+                else:
+                    again[row[:2]] = 0
+                    body = (row[2] or "").encode()
+                    new.append((*row[:2], 1, pa.compress(body, codec="zstd", asbytes=True) if body else b"", len(body)))
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in new], schema)
+        more = [(*name, n, None, None) for name, n in again.items() if n]
+        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in more], schema)
+
+    schema = pa.schema([("_id", pa.int64()), ("_key", pa.int64()), ("copies", pa.int64()), ("body", pa.binary()), ("size", pa.int64())])
     spark, n = texts.sparkSession, fill(texts)
-    rows = texts.mapInArrow(squeeze, "_id long, _key long, body binary, size long").repartition(n, "_id")
+    rows = texts.mapInArrow(squeeze, "_id long, _key long, copies long, body binary, size long").repartition(n, "_id")
     once = rows.groupBy("_id", "_key").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("body").alias("body"), F.first("size").alias("size")
+        F.sum("copies").alias("copies"), F.first("body", True).alias("body"), F.first("size", True).alias("size")
     )
     path = new_path(spark, "texts")
     name = "texts_" + path.rpartition("-")[2]
@@ -75,7 +82,7 @@ def _bodies(batches: Iterator[pa.RecordBatch]):
         at = 0
         while at < batch.num_rows:
             to, total = at, 0
-            while to < batch.num_rows and (to == at or total + sizes[to] <= 1 << 20):
+            while to < batch.num_rows and (to == at or total + sizes[to] <= SLICE_BYTES):
                 total += sizes[to]
                 to += 1
             part = batch.slice(at, to - at)

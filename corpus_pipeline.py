@@ -5,31 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docweave.llm import anchors, leaks, packing, parity, toxicity
+from docweave.llm.tables import small_batches
 from docweave.session import cut_lineage
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine rejects go."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five words, Jaccard 0.8)."""
+    small_batches(spark)
     return parity.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that an earlier document has too are cut."""
+    small_batches(spark)
     return anchors.cut_repeats(docs)
 
 
 def test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that repeat a benchmark item go."""
+    small_batches(spark)
     return leaks.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left in sequences of at most 4096 tokens."""
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 

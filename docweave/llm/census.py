@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from docweave.llm.tables import fill
+from docweave.llm.tables import drop_table, fill
 from docweave.session import cut_lineage
 
-CHUNK_KEYS = 1 << 20
-BUCKET_KEYS = 1 << 20
+CHUNK_KEYS = 1 << 18
+BUCKET_KEYS = 1 << 18
 # A filter looks at so many leading bits of a key.
 FILTER_BITS = 48
 
@@ -98,6 +98,7 @@ def census(
     repeated one. Buckets are ranges of keys: even ones for hashes, or between
     ``sampled`` splitters, where each range orders its keys by multikey quicksort
     and compares neighbours. Equal keys never stand in two ranges.
+    The result is stored in the shared folder.
     """
     drop = np.uint64(0 if exact else 64 - FILTER_BITS)
     width = 64 if exact else FILTER_BITS
@@ -279,7 +280,9 @@ def census(
         .agg(F.collect_list(F.struct("bucket", "size", "bits")).alias("answers"))
     )
     kept = chunks.select("chunk", "n", "ids", "rows", "counts", "metas", "place", *(["keys"] if values else []))
-    return kept.join(answers, "chunk", "left").mapInArrow(give_back, ANSWER_SCHEMA)
+    found = cut_lineage(kept.join(answers, "chunk", "left").mapInArrow(give_back, ANSWER_SCHEMA), "answers")
+    drop_table(chunks)  # the answers are stored: the keys are of no more use
+    return found
 
 
 def _splitters(chunks: DataFrame, buckets: int, sample: int = 100_000) -> np.ndarray:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm.census import PACKED_SCHEMA, census, packed_rows
 from docweave.llm.components import components
-from docweave.llm.tables import fill, keyed, real_id, shielded
+from docweave.llm.tables import drop_table, fill, keyed, real_id, shielded
 from docweave.llm.texts import BYTE_CODE, LOWER, mix, prefix_sums, ranges, slices, span_hash, word_spans
 from docweave.session import cut_lineage
 
@@ -186,6 +186,7 @@ def candidate_links(rows: DataFrame, size: int, bands: Bands) -> DataFrame:
 
     found = census(rows.mapInArrow(keys, PACKED_SCHEMA), "twice", exact=False, values=True)
     # One row per set and band: equal sets have equal keys.
+    answers = found
     found = found.groupBy("meta").agg(F.first("bits").alias("bits"))
     found = found.select(
         F.expr("substring(meta, 1, 16)").alias("sid"),
@@ -194,6 +195,7 @@ def candidate_links(rows: DataFrame, size: int, bands: Bands) -> DataFrame:
         "bits",
     )
     found = cut_lineage(found, "sketches")
+    drop_table(answers)
     # A band is cut by key where it is large; a set goes once to each part. There are some sixty bands.
     volume = {r.band: r.n for r in found.groupBy("band").agg(F.sum(F.octet_length("bits")).alias("n")).collect()}
     parts_of = {bytes(band): -(-n // (8 * PART_KEYS)) for band, n in volume.items()}

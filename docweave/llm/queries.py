@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docweave.llm import anchors, huffman, language, leaks, lengths, packing, parity, quality, suffixes, toxicity
+from docweave.llm.tables import small_batches
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -16,6 +17,7 @@ def query(fn):
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 

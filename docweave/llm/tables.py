@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from docweave.session import remove_path
 
 # Rows without an id come after all others.
 NO_ID = (1 << 63) - 1
@@ -63,6 +65,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
     return docs.select("doc_id", "text").join(parts[0].union(parts[1]), "doc_id").select("text", F.col("_label").alias("label"))
 
 
+def drop_table(table: DataFrame) -> None:
+    """Delete the files of a stored intermediate table that nothing reads any more."""
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        remove_path(table.sparkSession, folder)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
+    """Fewer rows and bytes at once between Spark and Python: long texts and packed keys make large batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def fill(df: DataFrame, least: int = 1) -> int:
     """Partitions for a shuffle that every core should share."""
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -20,8 +20,8 @@ LOWER[65:91] += 32
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BYTE_CODE = np.random.default_rng(20_240_229).integers(1, 1 << 63, 256, dtype=np.uint64)
-# Text handled at once; numpy columns of eight bytes per byte stay near 20 MB.
-SLICE_BYTES = 2 << 20
+# Text handled at once; numpy columns of eight bytes per byte stay near 4 MB.
+SLICE_BYTES = 1 << 19
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -47,6 +47,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at), data[offs[at] : offs[to]], offs[at : to + 1] - offs[at]
             at = to
+    pa.default_memory_pool().release_unused()  # workers are kept between tasks
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray, kind: np.ndarray | None = None):

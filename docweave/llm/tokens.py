@@ -19,7 +19,7 @@ from docweave.llm.texts import BLANK, BYTE_CODE, LOWER, prefix_sums, ranges, sli
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 # Pieces kept by one worker before it starts anew.
-KEPT_PIECES = 1_500_000
+KEPT_PIECES = 1_000_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True

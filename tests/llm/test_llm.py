@@ -533,6 +533,23 @@ def test_contaminated(spark, docs, texts, awkward, empty):
     assert leaks.contaminated(empty, items).count() == 0 and leaks.contaminated(awkward, odd.filter("false")).count() == 0
 
 
+def test_edited_copies_beside_exact(spark):
+    """What only an exact copy has does not keep its edited copies from being aligned."""
+    item = [f"w{k}" for k in range(40)]
+    edited = [f"x{k}" if k % 5 == 2 else w for k, w in enumerate(item)]
+    rows = [(1, " ".join(item)), *((i, f"before {' '.join(edited)} after no{i}") for i in range(2, 8)), (8, "w1 w2 w3 of another text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in leaks.contaminated(docs, items).collect()}
+    assert set(got) == set(range(1, 8)) and got[1] == 1 and abs(got[2] - 56 / 80) < 1e-9
+    # The only seed stands at one end, the rest of the copy reaches over more words than the item has.
+    item = [f"v{k}" for k in range(20)]
+    spread = item[:4] + [x for w in item[4:] for x in (f"no{w}", w)]
+    docs = spark.createDataFrame([(1, " ".join(spread))], "doc_id long, text string")
+    items = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    assert [r.doc_id for r in leaks.contaminated(docs, items).collect()] == [1]
+
+
 # --- the pipeline ---------------------------------------------------------------
 
 

@@ -550,6 +550,28 @@ def test_edited_copies_beside_exact(spark):
     assert [r.doc_id for r in leaks.contaminated(docs, items).collect()] == [1]
 
 
+def test_copies_without_three_words_in_a_row(spark):
+    """Copies at the threshold are found whatever the edits, as brute force does."""
+    rng = np.random.default_rng(11)
+    known = {k: [f"w{x}" for x in rng.integers(0, 60, n)] for k, n in enumerate((1, 2, 4, 5, 6, 8, 12, 20, 33))}
+    rows = {}
+    for item in known.values():
+        rows[len(rows)] = [x for k, w in enumerate(item) for x in ([w, f"y{k}"] if k % 2 else [w])]
+        rows[len(rows)] = [x for k, w in enumerate(item) for x in ([w, f"y{k}"] if 5 * k < 4 * len(item) else [w])]
+        for _ in range(12):
+            copy = []
+            for w in item:
+                edit = rng.random()
+                copy += [w] if edit < 0.6 else [w, f"w{rng.integers(60)}"] if edit < 0.85 else [f"w{rng.integers(60)}"] if edit < 0.93 else []
+            around = [[f"w{x}" for x in rng.integers(0, 60, n)] for n in rng.integers(0, 90, 2)]
+            rows[len(rows)] = around[0] + copy + around[1]
+    want = {(i, k) for i, w in rows.items() for k, item in known.items() if align_brute(item, w) >= 0.6 * 2 * len(item)}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], "doc_id long, text string")
+    items = spark.createDataFrame([(k, " ".join(w)) for k, w in known.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.contaminated(docs, items).collect()}
+    assert got == want and {(98, 7), (99, 7), (112, 8)} <= got
+
+
 # --- the pipeline ---------------------------------------------------------------
 
 

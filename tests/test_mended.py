@@ -63,6 +63,19 @@ def test_range_filters_reach_the_scan(spark, tmp_path):
         assert f"GreaterThanOrEqual({column}" in plan.partition("PushedFilters")[2]
 
 
+def test_range_filters_keep_rows_stored_without_bounds(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    rows = spark.range(20).select(
+        F.col("id").cast("string").alias("unique_id"),
+        F.array((F.col("id") * 10).cast("double")).alias("money_text"),
+        F.array(F.timestamp_seconds(F.col("id") * 86400)).alias("date_text"),
+    )
+    conform(rows).drop("date_min", "date_max", "money_min", "money_max").write.parquet(path)
+    held = store.read_documents(spark, path)
+    assert search.filter_any_money(held, 100, 150).count() == 5
+    assert search.filter_any_date(held, "1970-01-05", "1970-01-08").count() == 3
+
+
 def test_compact_keeps_folder_names_and_the_last_batch(spark, tmp_path):
     path, target = str(tmp_path / "in"), str(tmp_path / "out")
     store.write_documents(documents(spark, [("a", "d", "007", "1"), ("b", "d", "008", "1")]), f"{path}/batch=0")

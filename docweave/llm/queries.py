@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docweave.llm import anchors, huffman, language, leaks, lengths, packing, parity, quality, suffixes, toxicity
+from docweave.llm import anchors, huffman, language, leaks, lengths, licenses, packing, parity, pivots, quality, spelling, suffixes, toxicity
 from docweave.llm.tables import small_batches
 
 QUERIES = {}
@@ -70,3 +70,25 @@ def op3_decontamination(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op8_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return suffixes.repeated_strings(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_license_scans(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, d, "documents").select("doc_id", "text"))
+
+
+SQL["op12_license_scans"] = licenses.oracle_sql()
+SQL["op13_spelling_variants"] = spelling.oracle_sql()
+
+
+@query
+def op11_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    return pivots.vector_codes(table(spark, d, "embeddings").select("vec_id", "embedding", "label"))
+
+
+SQL["op11_vector_codes"] = pivots.oracle_sql()

@@ -55,8 +55,12 @@ def word_spans(data: np.ndarray, offs: np.ndarray, kind: np.ndarray | None = Non
 
     ``kind``: which bytes are part of a word, all but blanks unless given.
     """
-    inside = ~BLANK[data] if kind is None else kind[data]
-    edge = np.zeros(len(data) + 1, bool)  # a text begins here
+    return mask_spans(~BLANK[data] if kind is None else kind[data], offs)
+
+
+def mask_spans(inside: np.ndarray, offs: np.ndarray):
+    """As ``word_spans``, of the runs of true in ``inside`` that no border of texts cuts."""
+    edge = np.zeros(len(inside) + 1, bool)  # a text begins here
     edge[offs] = True
     start = inside.copy()
     start[1:] &= ~inside[:-1] | edge[1:-1]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from docweave.functions import charsets
 from docweave.functions.text import strip
 
 # Contained word and the format it stands for, in matching order.
@@ -87,24 +88,29 @@ def media_type(content: Column, path: Column) -> Column:
 
 
 def decoded(content: Column, declared: Column | None = None) -> Column:
-    """``struct(charset, text)`` of a text file.
+    """``struct(charset, text, named)`` of a text file.
 
-    A declared charset wins, then UTF-8 if the bytes are valid, then ISO-8859-1,
-    which accepts any bytes.
+    In this order: a byte order mark, a declared charset, the one that the
+    document names, UTF-8 if the bytes are valid, the likeliest by its bytes, and
+    ISO-8859-1, which accepts any. A charset that does not exist or cannot read
+    the bytes is passed over; ``named`` keeps what was declared or named, so a
+    ``charset`` that differs tells of it. A byte order mark is no part of the text.
+
+    Contents in valid UTF-8 that name nothing else stay in the JVM; Python sees
+    only the others.
     """
     text = content.cast("string")
-    valid = F.is_valid_utf8(text)
-    guess = F.when(valid, F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1"))
-    if declared is None:
-        charset = guess
-    else:
-        name = F.upper(declared)
-        known = name.isin("UTF-8", "ISO-8859-1", "US-ASCII", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32")
-        charset = F.when(known & ~((name == "UTF-8") & ~valid), name).otherwise(guess)
-    body = F.when(charset == "UTF-8", text)
-    for other in ("ISO-8859-1", "US-ASCII", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"):
-        body = body.when(charset == other, F.decode(content, other))
-    return F.struct(charset.alias("charset"), body.alias("text"))
+    given = F.lit(None).cast("string") if declared is None else F.nullif(strip(declared), F.lit(""))
+    named = F.coalesce(charsets.order_mark(content), given, charsets.named_charset(content))
+    # Charsets in seven bits and wide ones look like valid UTF-8.
+    plain = F.is_valid_utf8(text) & ~F.contains(text, F.lit("\x1b$")) & ~F.contains(text, F.lit("\x00"))
+    here = plain & F.coalesce(F.upper(named).isin("UTF-8", "UTF8"), F.lit(True))
+    other = charsets.read_undeclared(F.when(~here, content), F.when(~here, named))
+    return F.struct(
+        F.when(here, F.lit("UTF-8")).otherwise(other["charset"]).alias("charset"),
+        F.regexp_replace(F.when(here, text).otherwise(other["text"]), "^\ufeff", "").alias("text"),
+        named.alias("named"),
+    )
 
 
 def has_content(content: Column) -> Column:

@@ -308,6 +308,75 @@ def encoding_detect(spark, d):
     return rows.select("doc_id", out.alias("o")).select("doc_id", "o.charset", "o.text")
 
 
+# Letters of other scripts, in the order of _FROM, so that derived texts have the letter counts of prose.
+_FROM = "etaoinshrdlucmfwygpbvkxjqz"
+_SCRIPTS = [
+    ("KOI8-R", "оеаинтсрвлкмдпуяыьгзбчйхжш", ""),
+    ("windows-1251", "оеаинтсрвлкмдпуяыьгзбчйхжш", ""),
+    ("windows-1253", "αοιετσνηυρπκμλςωίάόέδήγχθύ", ""),
+    ("Shift_JIS", "のいしるとなはにたをてがでかすらっこれりもさまくあけ", ""),
+    ("GB18030", "的一是不了在人有我他这个们中来上大为和国地到以说时要", ""),
+    ("EUC-KR", "이다는에의가을로하고지한은도들사자기리를시서인해대어", ""),
+    ("windows-1252", None, "– "),
+    ("ISO-8859-15", None, "cœur "),
+]
+
+
+def _script_cases(sql: bool) -> str:
+    """Text and charset of a document: by its id another script, or Latin letters and a mark that tells the charset.
+
+    The SQL is the same in both dialects but for how characters are written in a pattern.
+    """
+    other = "[^\\\\x00-\\\\x7F]" if not sql else "[^\\x00-\\x7F]"
+    wide = "[^\\\\x00-\\\\x7F\\\\u00C0-\\\\u00FF]" if not sql else "[^\\x00-\\x7F\\x{C0}-\\x{FF}]"
+    every = ", 'g'" if sql else ""
+    body = "CASE doc_id % 8"
+    for k, (_, letters, mark) in enumerate(_SCRIPTS):
+        if letters:
+            plain = f"translate(lower(regexp_replace(text, '{other}', '?'{every})), '{_FROM}', '{letters}')"
+        else:
+            plain = f"'{mark}' || regexp_replace(text, '{wide}', '?'{every})"
+        body += f" WHEN {k} THEN {plain}"
+    return body + " END"
+
+
+_CHARSET_OF = "CASE doc_id % 8 " + " ".join(f"WHEN {k} THEN '{c}'" for k, (c, _, _) in enumerate(_SCRIPTS)) + " END"
+
+
+@F.pandas_udf("binary")
+def _written(text: pd.Series, charset: pd.Series) -> pd.Series:
+    from docweave.functions.charsets import CODECS
+
+    return pd.Series([t.encode(CODECS[c]) for t, c in zip(text, charset)], dtype=object)
+
+
+@query(
+    "encoding_by_bytes",
+    f"""
+    SELECT doc_id, named, CASE WHEN regexp_matches(body, '[^\\x00-\\x7F]') THEN charset ELSE 'UTF-8' END AS charset,
+           md5(CASE WHEN named IS NULL THEN body ELSE '<meta charset="' || named || '">' || body END) AS text_md5
+    FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN lower(charset) END AS named, charset, body
+          FROM (SELECT doc_id, {_CHARSET_OF} AS charset, {_script_cases(True)} AS body FROM documents) a) b
+    """.replace("\\\\", "\\"),
+)
+def encoding_by_bytes(spark, d):
+    """Documents in eight charsets and six scripts, a third naming its charset, the others told by their bytes."""
+    rows = table(spark, d, "documents").select(
+        "doc_id", F.expr(_CHARSET_OF).alias("charset"), F.expr(_script_cases(False)).alias("body")
+    )
+    named = F.when(F.col("doc_id") % 3 == 0, F.lower("charset"))
+    text = F.concat(F.coalesce(F.concat(F.lit('<meta charset="'), named, F.lit('">')), F.lit("")), F.col("body"))
+    raw = rows.select("doc_id", _written(text, F.col("charset")).alias("raw"))
+    found = raw.select("doc_id", media.decoded(F.col("raw")).alias("o"))
+    ascii_ = ~F.rlike("o.text", F.lit(r"[^\x00-\x7F]"))
+    return found.select(
+        "doc_id",
+        F.col("o.named").alias("named"),
+        F.when(ascii_, F.lit("UTF-8")).otherwise(F.col("o.charset")).alias("charset"),
+        F.md5(F.encode("o.text", "UTF-8")).alias("text_md5"),
+    )
+
+
 # --- workbooks ------------------------------------------------------------------------------------
 
 

@@ -79,10 +79,11 @@ def sheet_rows(cells: DataFrame, legacy: bool = False) -> DataFrame:
 
     Cells meet once, by row (a row is as wide as its sheet); the header is then
     picked from those rows and joined back, spread over rows of a large sheet.
+    Where cells have a ``date``, the times of a row are its ``date_text``.
     """
-    by_row = cells.where(F.col("row").isNotNull()).groupBy(*SHEET, "row").agg(
-        F.collect_list(F.struct("col_no", "col", "value")).alias("_cells")
-    )
+    dated = "date" in cells.columns
+    held = F.struct("col_no", "col", "value", *(["date"] if dated else []))
+    by_row = cells.where(F.col("row").isNotNull()).groupBy(*SHEET, "row").agg(F.collect_list(held).alias("_cells"))
     filled = F.exists("_cells", lambda e: not_blank(e["value"]).isNotNull())
     headers = by_row.where(filled).groupBy(*SHEET).agg(
         F.min("row").alias("_header_row"), F.min_by("_cells", "row").alias("_header")
@@ -102,7 +103,9 @@ def sheet_rows(cells: DataFrame, legacy: bool = False) -> DataFrame:
         return F.struct(name.alias("header"), e["col_no"].alias("col_no"), value.alias("value"))
 
     entries = F.filter(F.transform("_cells", named), lambda e: e["value"].isNotNull())
-    rows = placed.select(*SHEET, "row", entries.alias("_entries")).where(F.size("_entries") > 0)
+    times = F.transform(F.sort_array(F.filter("_cells", lambda e: e["date"].isNotNull())), lambda e: e["date"]) if dated else None
+    kept = [*SHEET, "row", *([times.alias("date_text")] if dated else [])]
+    rows = placed.select(*kept, entries.alias("_entries")).where(F.size("_entries") > 0)
     record = F.map_from_entries(
         F.transform(_last_per_header(F.col("_entries")), lambda e: F.struct(e["header"], e["value"]))
     )
@@ -112,6 +115,7 @@ def sheet_rows(cells: DataFrame, legacy: bool = False) -> DataFrame:
         F.col("row").alias("row_number"),
         record.alias("record"),
         in_order["value"].alias("text"),
+        *(["date_text"] if dated else []),
     )
 
 

@@ -431,6 +431,87 @@ def xlsx_cells(spark, d):
     return out.select("doc", "sheet", "row", "col", "col_no", "value", "kind", "comment_author", "comment")
 
 
+# Column, format code, what is stored (in SQL over orders) and what is shown (in DuckDB).
+_DAYS = "datediff(CAST(o_orderdate AS DATE), DATE '1899-12-30')"
+_FORMATS = [
+    ("A", "yyyy-mm-dd", _DAYS, "strftime(o_orderdate, '%Y-%m-%d')"),
+    ("B", "d-mmm-yy", _DAYS, "strftime(o_orderdate, '%-d-%b-%y')"),
+    ("C", "dddd, mmmm dd", _DAYS, "strftime(o_orderdate, '%A, %B %d')"),
+    ("D", "h:mm:ss", "o_orderkey % 86400 / 86400D", "(o_orderkey % 86400 // 3600) || strftime(TIMESTAMP '2000-01-01' + to_seconds(o_orderkey % 3600), ':%M:%S')"),
+    ("E", "[h]:mm", "o_orderkey / 1440D", "(o_orderkey // 60) || ':' || lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0')"),
+    ("F", "#,##0.00", "o_totalprice", "format('{:,.2f}', CAST(o_totalprice AS DOUBLE))"),
+    ("G", "000000000", "o_orderkey", "lpad(CAST(o_orderkey AS VARCHAR), 9, '0')"),
+    ("H", "0.0%", "o_orderkey % 1000 / 1000D", "printf('%d.%d%%', o_orderkey % 1000 // 10, o_orderkey % 10)"),
+    ("I", "#,##0_);(#,##0)", "o_custkey - 700", "CASE WHEN o_custkey < 700 THEN format('({:,})', 700 - o_custkey) ELSE format('{:,} ', o_custkey - 700) END"),
+    (
+        "J",
+        "# ?/8",
+        "o_orderkey % 64 / 8D",
+        "CASE WHEN o_orderkey % 8 = 0 THEN '' || o_orderkey % 64 // 8 WHEN o_orderkey % 64 < 8 THEN o_orderkey % 8 || '/8' "
+        "ELSE (o_orderkey % 64 // 8) || ' ' || o_orderkey % 8 || '/8' END",
+    ),
+    ("K", "0.00E+00", "o_orderkey * 8", "printf('%.2E', CAST(o_orderkey * 8 AS DOUBLE))"),
+    ("L", "000-00-0000", "o_orderkey", "regexp_replace(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), '^(.{3})(.{2})', '\\1-\\2-')"),
+    (
+        "M",
+        '[>=1000]0.0,"k";0',
+        "o_custkey",
+        "CASE WHEN o_custkey >= 1000 THEN printf('%d.%dk', (o_custkey + 50) // 1000, (o_custkey + 50) // 100 % 10) ELSE CAST(o_custkey AS VARCHAR) END",
+    ),
+    ("N", '@" only"', "o_orderpriority", "o_orderpriority || ' only'"),
+    ("O", None, "o_orderkey", "CAST(o_orderkey AS VARCHAR)"),
+]
+_PER_BOOK = 500
+
+
+def _formatted_workbook(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows of the stored values as a workbook with a style for each column."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    pack = 'xmlns="http://schemas.openxmlformats.org/package/2006/relationships"'
+    body = []
+    for n, values in enumerate(rows.sort_values("o_orderkey")[[c for c, *_ in _FORMATS]].itertuples(index=False), start=1):
+        cells = [
+            f'<c r="{c}{n}" s="{k}" t="inlineStr"><is><t>{escape(v)}</t></is></c>' if c == "N" else f'<c r="{c}{n}" s="{k}"><v>{v}</v></c>'
+            for k, ((c, *_), v) in enumerate(zip(_FORMATS, values), start=1)
+        ]
+        body.append(f'<row r="{n}">{"".join(cells)}</row>')
+    own = "".join(f'<numFmt numFmtId="{164 + k}" formatCode="{escape(code, {chr(34): "&quot;"})}"/>' for k, (_, code, *_) in enumerate(_FORMATS) if code)
+    styles = "".join(f'<xf numFmtId="{164 + k if code else 0}"/>' for k, (_, code, *_) in enumerate(_FORMATS))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+        book.writestr("xl/workbook.xml", f'<workbook {ns} {rel}><sheets><sheet name="Orders" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships {pack}><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+        book.writestr("xl/styles.xml", f"<styleSheet {ns}><numFmts>{own}</numFmts><cellXfs><xf/>{styles}</cellXfs></styleSheet>")
+        book.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{''.join(body)}</sheetData></worksheet>")
+    return pd.DataFrame({"path": [str(key[0])], "content": [out.getvalue()]})
+
+
+@query(
+    "xlsx_formats",
+    f"""
+    WITH n AS (SELECT *, o_orderkey // {_PER_BOOK} AS book,
+                      row_number() OVER (PARTITION BY o_orderkey // {_PER_BOOK} ORDER BY o_orderkey) AS i FROM orders)
+    """
+    + " UNION ALL ".join(
+        f"SELECT CAST(book AS VARCHAR) AS doc, CAST(i AS INTEGER) AS row, '{c}' AS col, {shown} AS value, "
+        f"{'CAST(o_orderdate AS TIMESTAMP)' if c in 'ABC' else 'CAST(NULL AS TIMESTAMP)'} AS date FROM n"
+        for c, _, _, shown in _FORMATS
+        if c != "D"
+    )
+    + f" UNION ALL SELECT CAST(book AS VARCHAR), CAST(i AS INTEGER), 'D', {_FORMATS[3][3]}, "
+    "TIMESTAMP '1899-12-31' + to_seconds(o_orderkey % 86400) FROM n",
+)
+def xlsx_formats(spark, d):
+    """Orders written as workbooks of 500 keys with fifteen formats, and read back as a sheet shows them."""
+    orders = table(spark, d, "orders")
+    stored = orders.select(
+        "o_orderkey", F.expr(f"o_orderkey div {_PER_BOOK}").alias("book"), *(F.expr(f"CAST({value} AS STRING)").alias(c) for c, _, value, _ in _FORMATS)
+    )
+    books = stored.groupBy("book").applyInPandas(_formatted_workbook, "path string, content binary")
+    return workbook.workbook_cells(books).select("doc", "row", "col", "value", "date")
+
+
 # --- stream --------------------------------------------------------------------------------------
 
 

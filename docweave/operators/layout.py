@@ -3,8 +3,10 @@
 Input is ``glyphs(doc_id, page, seq, ch, x, y, w, h, space_w, font, font_size)``.
 The rules carry running state from glyph to glyph, so each page is read in
 order. :func:`arrange` brings pages together with one shuffle and one sort;
-every step after it is narrow and streams through Arrow batches, holding only
-the state of the current page.
+every step after it is narrow and works on whole pages of Arrow batches at once.
+What depends on the glyph before is an array operation over all of them; only
+glyphs with an equal one close by, accents with their neighbours, and changes of
+height within a line are looked at one by one.
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -51,119 +55,178 @@ def reorder(arranged: DataFrame, by_position: bool = False) -> DataFrame:
 
 def sort_glyphs(glyphs: DataFrame) -> DataFrame:
     """Glyphs with their rank by position on the page."""
-
-    def stage(schema: T.StructType) -> Stage:
-        def start() -> Callable:
-            rank = 0
-
-            def step(row):
-                nonlocal rank
-                rank += 1
-                return ((*row, rank),)
-
-            return step
-
-        return Stage(start, T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())]))
-
-    return scan_pages(reorder(gather_pages(glyphs), by_position=True), stage)
+    return scan_pages(reorder(gather_pages(glyphs), by_position=True), rank_stage)
 
 
 @dataclass(frozen=True)
 class Stage:
-    """One rule run over the rows of each page.
+    """One rule over whole pages: ``run`` takes a table of pages, one after the other, and gives the next one."""
 
-    ``start()`` gives a step, which holds the state of one page, takes a row and
-    gives the rows to emit. With ``closes`` the step is called once more with
-    ``None`` at the end of a page.
-    """
-
-    start: Callable
+    run: Callable[[pa.Table], pa.Table]
     schema: T.StructType
-    closes: bool = False
 
 
-def _values(column: pa.Array) -> list:
-    # the array route is much faster but has no nulls in numbers and no nesting
-    if column.null_count or pa.types.is_nested(column.type):
-        return column.to_pylist()
-    return column.to_numpy(zero_copy_only=False).tolist()
+# Glyphs of whole pages worked on at once, at least.
+ROWS = 1 << 16
 
 
 def scan_pages(arranged: DataFrame, *builders: Callable[[T.StructType], Stage]) -> DataFrame:
     """Run rules over arranged pages, all in one pass over the Arrow batches.
 
-    Each builder gets the schema it reads and gives its stage; rows go from one
-    stage to the next without leaving the task.
+    Each builder gets the schema it reads and gives its stage; tables go from one
+    stage to the next without leaving the task. A page that a batch ends in is
+    held back until it is whole.
     """
     schema = arranged.schema
     stages = []
     for build in builders:
         stages.append(build(schema))
         schema = stages[-1].schema
-    names = arranged.columns
-    at = [names.index(k) for k in PAGE]
-    starts = [(s.start, s.closes) for s in stages]
-    out_names = schema.fieldNames()
-    out_types = to_arrow_schema(schema).types
+    runs = [s.run for s in stages]
+    out_schema = to_arrow_schema(schema)
+
+    def through(table: pa.Table):
+        for run in runs:
+            if table.num_rows:
+                table = run(table)
+        if table.num_rows:
+            yield from table.select(out_schema.names).cast(out_schema).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, steps, out = None, [], []
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= ROWS:
+                table = pa.Table.from_batches(held).combine_chunks()
+                whole = int(starts_of(table, PAGE)[-1])  # the last page may go on
+                yield from through(table.slice(0, whole))
+                rest = table.slice(whole)
+                held, rows = rest.combine_chunks().to_batches(), 0
+        if held:
+            yield from through(pa.Table.from_batches(held).combine_chunks())
 
-        def push(rows, level: int) -> None:
-            for step in steps[level:]:
-                rows = [made for row in rows for made in step(row)]
-                if not rows:
-                    return
-            out.extend(rows)
+    return arranged.mapInArrow(run, schema)
 
-        def close() -> None:
-            for level, (_, closes) in enumerate(starts):
-                if closes and steps:
-                    push(steps[level](None), level + 1)
 
-        def batch_of() -> pa.RecordBatch:
-            columns = list(zip(*out))
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, out_types)], names=out_names)
+def changes(table: pa.Table, names) -> np.ndarray:
+    """Whether a row differs from the one before it in any of the columns; true for the first. Nulls are alike."""
+    out = np.zeros(table.num_rows, bool)
+    if table.num_rows:
+        out[0] = True
+    for name in names:
+        column = table.column(name)
+        if pa.types.is_floating(column.type):
+            values = column.to_numpy()
+            out[1:] |= (values[1:] != values[:-1]) & ~(np.isnan(values[1:]) & np.isnan(values[:-1]))
+        else:
+            codes = column.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            out[1:] |= codes[1:] != codes[:-1]
+    return out
 
-        for batch in batches:
-            for row in zip(*[_values(column) for column in batch.columns]):
-                key = tuple([row[i] for i in at])
-                if key != current:
-                    close()
-                    current, steps = key, [start() for start, _ in starts]
-                push((row,), 0)
-            if out:
-                yield batch_of()
-        close()
-        if out:
-            yield batch_of()
 
-    return arranged.mapInArrow(run, schema)
+def starts_of(table: pa.Table, names) -> np.ndarray:
+    return np.flatnonzero(changes(table, names))
 
 
-def overprint_stage(schema: T.StructType) -> Stage:
-    i = {c: n for n, c in enumerate(schema.fieldNames())}
-    ch_, x_, y_, w_ = i["ch"], i["x"], i["y"], i["w"]
+def _floats(table: pa.Table, name: str) -> np.ndarray:
+    """A column as floats, null as not a number."""
+    return table.column(name).cast(pa.float64()).to_numpy()
 
-    def start() -> Callable:
-        kept: dict[tuple, list] = {}
 
-        def step(row):
-            ch, x, y = row[ch_], row[x_], row[y_]
-            near = row[w_] / len(ch) / 3.0
-            # kept glyphs are filed by cells, so only close ones are looked at
-            for gx in range(int((x - near) // CELL), int((x + near) // CELL) + 1):
-                for gy in range(int((y - near) // CELL), int((y + near) // CELL) + 1):
-                    for kx, ky in kept.get((ch, gx, gy), ()):
-                        if x - near <= kx < x + near and y - near <= ky < y + near:
-                            return ()
-            kept.setdefault((ch, int(x // CELL), int(y // CELL)), []).append((x, y))
-            return (row,)
+def _texts(table: pa.Table, name: str = "ch") -> tuple[np.ndarray, list[str]]:
+    """Codes of the texts of a column, and the texts by code; null counts as empty."""
+    coded = table.column(name).combine_chunks().cast(pa.string()).fill_null("").dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
+def _replaced(table: pa.Table, name: str, values: pa.Array) -> pa.Table:
+    return table.set_column(table.schema.get_field_index(name), name, values)
+
+
+def rank_stage(schema: T.StructType) -> Stage:
+    def run(table: pa.Table) -> pa.Table:
+        first = changes(table, PAGE)
+        at = np.arange(table.num_rows)
+        rank = at - np.maximum.accumulate(np.where(first, at, 0)) + 1
+        return table.append_column("rank", pa.array(rank.astype(np.int32)))
 
-        return step
+    return Stage(run, T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())]))
 
-    return Stage(start, schema)
+
+def _with_equal_close(page: np.ndarray, code: np.ndarray, x: np.ndarray, y: np.ndarray, near: float) -> np.ndarray:
+    """Glyphs that may have an equal one within ``near`` in both directions: it lies in a cell they reach into."""
+    side = max(2 * near, 1e-6)
+    low_x, high_x = np.floor((x - near) / side), np.floor((x + near) / side)
+    low_y, high_y = np.floor((y - near) / side), np.floor((y + near) / side)
+    own_x, own_y = np.floor(x / side), np.floor(y / side)
+    kind = page * (int(code.max()) + 1) + code
+
+    def cell(cx, cy):
+        # a hash: two cells that share a value only make more glyphs be looked at
+        with np.errstate(over="ignore"):
+            mixed = kind.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= cx.astype(np.int64).view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+            mixed += cy.astype(np.int64).view(np.uint64) * np.uint64(0x165667B19E3779F9)
+            return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)
+
+    # a hash table of cells with room to spare; the last glyph of a cell owns it
+    bits = int(32 * len(x)).bit_length()
+    place = lambda keys: (keys >> np.uint64(64 - bits)).astype(np.int64)
+    owner = np.full(1 << bits, -1, np.int32)
+    at, mine = place(cell(own_x, own_y)), np.arange(len(x), dtype=np.int32)
+    owner[at] = mine
+    shared = np.zeros(1 << bits, bool)
+    shared[at[owner[at] != mine]] = True
+    out = shared[at]
+    for cx in (low_x, high_x):
+        for cy in (low_y, high_y):
+            other = np.flatnonzero(~out & ((cx != own_x) | (cy != own_y)))
+            out[other] = owner[place(cell(cx, cy)[other])] >= 0
+    return out
+
+
+def overprint_stage(schema: T.StructType) -> Stage:
+    def run(table: pa.Table) -> pa.Table:
+        code, texts = _texts(table)
+        x, y = _floats(table, "x"), _floats(table, "y")
+        lengths = np.maximum([len(t) for t in texts], 1)[code]
+        near = _floats(table, "w") / lengths / 3.0
+        placed = np.isfinite(x) & np.isfinite(y) & (near > 0)
+        if not placed.any():
+            return table
+        page = np.cumsum(changes(table, PAGE))
+        at = np.flatnonzero(placed)
+        for _ in range(2):  # the few glyphs found meet in a table of their own once more
+            at = at[_with_equal_close(page[at], code[at], x[at], y[at], float(near[at].max()))]
+            if not len(at):
+                return table
+        drop = []
+        kept: dict[tuple, list] = {}
+        current = None
+        # in order, as only kept glyphs count
+        for i, p, c, gx, gy, n in zip(at.tolist(), page[at].tolist(), code[at].tolist(), x[at].tolist(), y[at].tolist(), near[at].tolist()):
+            if p != current:
+                current, kept = p, {}
+            found = False
+            # kept glyphs are filed by cells, so only close ones are looked at
+            for cx in range(int((gx - n) // CELL), int((gx + n) // CELL) + 1):
+                for cy in range(int((gy - n) // CELL), int((gy + n) // CELL) + 1):
+                    found = found or any(
+                        gx - n <= kx < gx + n and gy - n <= ky < gy + n for kx, ky in kept.get((c, cx, cy), ())
+                    )
+            if found:
+                drop.append(i)
+            else:
+                kept.setdefault((c, int(gx // CELL), int(gy // CELL)), []).append((gx, gy))
+        if not drop:
+            return table
+        keep = np.ones(table.num_rows, bool)
+        keep[drop] = False
+        return table.filter(pa.array(keep))
+
+    return Stage(run, schema)
 
 
 def drop_overprints(arranged: DataFrame) -> DataFrame:
@@ -210,40 +273,43 @@ def with_mark(base: str, mark: str) -> str:
 
 
 def mark_stage(schema: T.StructType) -> Stage:
-    i = {c: n for n, c in enumerate(schema.fieldNames())}
-    section = i.get("section")
-    box = [i[c] for c in ("x", "y", "w", "h")]
-
-    def over(outer, inner) -> bool:
-        ox, oy, ow, oh = (outer[b] for b in box)
-        ix, iy, iw, ih = (inner[b] for b in box)
-        return ix < ox + ow and ix + iw > ox and iy - ih < oy and iy > oy - oh
-
-    def start() -> Callable:
-        held = None
-
-        def merged(base, mark):
-            out = list(base)
-            out[i["ch"]] = with_mark(base[i["ch"]], mark[i["ch"]])
-            return tuple(out)
-
-        def step(row):
-            nonlocal held
-            if row is None:
-                return () if held is None else (held,)
-            same = held is not None and (section is None or held[section] == row[section])
-            if same and is_mark(row[i["ch"]]) and over(held, row):
-                held = merged(held, row)
-                return ()
-            if same and is_mark(held[i["ch"]]) and over(row, held):
-                held = merged(row, held)
-                return ()
-            gone, held = held, row
-            return () if gone is None else (gone,)
-
-        return step
-
-    return Stage(start, schema, closes=True)
+    apart = [*PAGE, *(["section"] if "section" in schema.fieldNames() else [])]
+
+    def run(table: pa.Table) -> pa.Table:
+        code, texts = _texts(table)
+        mark = np.array([is_mark(t) for t in texts], bool)[code]
+        if not mark.any():
+            return table
+        # only an accent and its neighbours in the same section can merge
+        meets = np.zeros(table.num_rows, bool)
+        meets[1:] = (mark[1:] | mark[:-1]) & ~changes(table, apart)[1:]
+        at = np.flatnonzero(meets)
+        x, y, w, h = (_floats(table, c) for c in ("x", "y", "w", "h"))
+
+        def over(o: int, i: int) -> bool:
+            return x[i] < x[o] + w[o] and x[i] + w[i] > x[o] and y[i] - h[i] < y[o] and y[i] > y[o] - h[o]
+
+        keep = np.ones(table.num_rows, bool)
+        text: dict[int, str] = {}
+        held, last = -1, -2
+        for i in at.tolist():
+            if i != last + 1:
+                held = i - 1  # a new run: the row before it stands as it is
+            last = i
+            one, other = text.get(held) or texts[code[held]], texts[code[i]]
+            if is_mark(other) and over(held, i):
+                text[held], keep[i] = with_mark(one, other), False
+            elif is_mark(one) and over(i, held):
+                text[i], keep[held] = with_mark(other, one), False
+                held = i
+            else:
+                held = i
+        if text:
+            code[list(text)] = np.arange(len(texts), len(texts) + len(text))
+            table = _replaced(table, "ch", pa.array([*texts, *text.values()], pa.string()).take(pa.array(code)))
+        return table.filter(pa.array(keep))
+
+    return Stage(run, schema)
 
 
 def merge_marks(arranged: DataFrame) -> DataFrame:
@@ -251,45 +317,77 @@ def merge_marks(arranged: DataFrame) -> DataFrame:
     return scan_pages(arranged, mark_stage)
 
 
+def _line_numbers(table: pa.Table, apart: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """Number of the line of each glyph on its page.
+
+    The band of a line is the greatest of its heights and places. Glyphs of one
+    height and place after another never leave the band they entered, so it
+    moves between such runs only. ``apart``: where a page or section begins.
+    """
+    y, h = _floats(table, "y"), _floats(table, "h")
+    run = apart.copy()
+    run[1:] |= (y[1:] != y[:-1]) | (h[1:] != h[:-1])
+    at = np.flatnonzero(run)
+    numbers = np.empty(len(at), np.int32)
+    line, band_y, band_h = 0, 0.0, 0.0
+    steps = zip(y[at].tolist(), h[at].tolist(), apart[at].tolist(), page[at].tolist())
+    for k, (gy, gh, begins, new_page) in enumerate(steps):
+        if new_page:
+            line, band_y, band_h = 0, gy, gh
+        elif begins or not _overlap(gy, gh, band_y, band_h):
+            line, band_y, band_h = line + 1, gy, gh
+        else:
+            band_y, band_h = max(band_y, gy), max(band_h, gh)
+        numbers[k] = line
+    return numbers[np.cumsum(run) - 1]
+
+
+def _running_mean(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Mean of each value and the mean before it, which begins anew where ``begins``."""
+    out = values.copy()
+    varies = np.zeros(len(values), bool)
+    varies[1:] = (values[1:] != values[:-1]) & ~begins[1:]
+    if varies.any():
+        # only stretches whose values differ are summed up one by one
+        part = np.cumsum(begins) - 1
+        some = np.flatnonzero(np.bincount(part, varies)[part] > 0)
+        means, mean = [], 0.0
+        for value, new in zip(values[some].tolist(), begins[some].tolist()):
+            mean = value if new else (mean + value) / 2.0
+            means.append(mean)
+        out[some] = means
+    return out
+
+
 def place_stage(schema: T.StructType) -> Stage:
-    i = {c: n for n, c in enumerate(schema.fieldNames())}
-    ch_, x_, y_, w_, h_, sp_, f_, fs_ = (i[c] for c in ("ch", "x", "y", "w", "h", "space_w", "font", "font_size"))
-    section_ = i.get("section")
-
-    def start() -> Callable:
-        line = 0
-        last = band_y = band_h = end = last_space = mean = None
-
-        def step(row):
-            nonlocal line, last, band_y, band_h, end, last_space, mean
-            ch, x, y, w, h, space = row[ch_], row[x_], row[y_], row[w_], row[h_], row[sp_]
-            if last is not None and section_ is not None and last[section_] != row[section_]:
-                last = band_y = end = last_space = mean = None
-                line += 1
-            if last is not None and (last[f_], last[fs_]) != (row[f_], row[fs_]):
-                mean = None
-            per_char = w / len(ch)
-            mean = per_char if mean is None else (mean + per_char) / 2.0
-            if not space or space != space:
-                gap = float("inf")
-            else:
-                gap = SPACE_TOLERANCE * (space if last_space is None else (space + last_space) / 2.0)
-            gap = min(gap, CHAR_TOLERANCE * mean)
-            new_line = last is None
-            if last is not None and not _overlap(y, h, band_y, band_h):
-                line += 1
-                new_line = True
-                band_y = end = None
-            spaced = end is not None and x > end + gap and not last[ch_].endswith(" ")
-            band_y = y if band_y is None else max(band_y, y)
-            band_h = h if new_line else max(band_h, h)
-            end, last, last_space = x + w, row, space
-            return ((*row, line, spaced),)
-
-        return step
+    sections = ["section"] if "section" in schema.fieldNames() else []
+
+    def run(table: pa.Table) -> pa.Table:
+        page = changes(table, PAGE)
+        apart = page | changes(table, sections) if sections else page
+        line = _line_numbers(table, apart, page)
+        code, texts = _texts(table)
+        x, w, space = _floats(table, "x"), _floats(table, "w"), _floats(table, "space_w")
+        per_char = w / np.maximum([len(t) for t in texts], 1)[code]
+        mean = _running_mean(per_char, apart | changes(table, ["font", "font_size"]))
+        before = np.concatenate(([np.nan], space[:-1]))
+        unknown = apart | np.isnan(before)
+        with np.errstate(invalid="ignore"):
+            gap = SPACE_TOLERANCE * np.where(unknown, space, (space + before) / 2.0)
+            gap = np.where(np.isnan(space) | (space == 0), np.inf, gap)
+            gap = np.where(CHAR_TOLERANCE * mean < gap, CHAR_TOLERANCE * mean, gap)
+            beyond = np.zeros(len(x), bool)
+            beyond[1:] = x[1:] > (x + w)[:-1] + gap[1:]
+        blank = np.array([t.endswith(" ") for t in texts], bool)[code]
+        first = apart.copy()
+        first[1:] |= line[1:] != line[:-1]
+        spaced = beyond & ~first
+        spaced[1:] &= ~blank[:-1]
+        table = table.append_column("line_no", pa.array(line))
+        return table.append_column("space_before", pa.array(spaced))
 
     placed = [T.StructField("line_no", T.IntegerType()), T.StructField("space_before", T.BooleanType())]
-    return Stage(start, T.StructType([*schema.fields, *placed]))
+    return Stage(run, T.StructType([*schema.fields, *placed]))
 
 
 def place_glyphs(arranged: DataFrame) -> DataFrame:
@@ -320,51 +418,41 @@ _LINE_FIELDS = [
 
 
 def line_stage(schema: T.StructType) -> Stage:
-    i = {c: n for n, c in enumerate(schema.fieldNames())}
-    section_ = i.get("section")
-
-    def start() -> Callable:
-        first = last_y = height = None
-        words: list[str] = []
-
-        def close():
-            return (
-                (
-                    first[i["doc_id"]],
-                    first[i["page"]],
-                    0 if section_ is None else first[section_],
-                    first[i["line_no"]],
-                    first[i["x"]],
-                    first[i["y"]],
-                    last_y,
-                    height,
-                    first[i["w"]],
-                    first[i["space_w"]],
-                    [w for w in words if w],
-                ),
-            )
-
-        def step(row):
-            nonlocal first, last_y, height, words
-            if row is None:
-                return () if first is None else close()
-            done = ()
-            if first is None or first[i["line_no"]] != row[i["line_no"]]:
-                if first is not None:
-                    done = close()
-                first, height, words = row, row[i["h"]], [""]
-            ch = row[i["ch"]]
-            if row[i["space_before"]] or ch == " ":
-                words.append("" if ch == " " else ch)
-            else:
-                words[-1] += ch
-            last_y, height = row[i["y"]], max(height, row[i["h"]])
-            return done
-
-        return step
+    has_section = "section" in schema.fieldNames()
+
+    def run(table: pa.Table) -> pa.Table:
+        begins = changes(table, [*PAGE, "line_no"])
+        at = np.flatnonzero(begins)
+        ends = np.append(at[1:], table.num_rows)
+        code, texts = _texts(table)
+        blank = np.array([t == " " for t in texts], bool)[code]
+        opens = begins | table.column("space_before").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False) | blank
+        # a blank opens a word without being part of it
+        shown = pa.array(["" if t == " " else t for t in texts], pa.string()).take(pa.array(code))
+        starts = np.flatnonzero(opens)
+        glyphs = pa.ListArray.from_arrays(pa.array(np.append(starts, table.num_rows).astype(np.int32)), shown)
+        words = pc.binary_join(glyphs, "")
+        filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+        owner = np.cumsum(begins)[starts[filled]] - 1
+        offsets = np.zeros(len(at) + 1, np.int32)
+        np.cumsum(np.bincount(owner, minlength=len(at)), out=offsets[1:])
+        first = table.take(pa.array(at))
+        columns = {
+            **{k: first.column(k) for k in PAGE},
+            "section": first.column("section") if has_section else pa.array(np.zeros(len(at), np.int32)),
+            "line_no": first.column("line_no"),
+            "x": first.column("x"),
+            "first_y": first.column("y"),
+            "last_y": table.column("y").take(pa.array(ends - 1)),
+            "height": pa.array(np.maximum.reduceat(_floats(table, "h"), at)),
+            "first_w": first.column("w"),
+            "space_w": first.column("space_w"),
+            "words": pa.ListArray.from_arrays(pa.array(offsets), words.filter(pa.array(filled))),
+        }
+        return pa.table(columns)
 
     keys = [f for f in schema.fields if f.name in PAGE]
-    return Stage(start, T.StructType([*keys, *_LINE_FIELDS]), closes=True)
+    return Stage(run, T.StructType([*keys, *_LINE_FIELDS]))
 
 
 def lines(placed: DataFrame) -> DataFrame:
@@ -373,7 +461,8 @@ def lines(placed: DataFrame) -> DataFrame:
 
 
 def page_lines(ordered: DataFrame, overprints: bool = True, marks: bool = True) -> DataFrame:
-    """From glyphs in order to lines, in one pass."""
+    """From glyphs in order to lines, in one pass over the columns that the rules read."""
+    ordered = ordered.drop("seq")
     before = [overprint_stage] * overprints + [mark_stage] * marks
     return scan_pages(ordered, *before, place_stage, line_stage)
 
@@ -420,18 +509,18 @@ def paragraphs(lines_in_order: DataFrame, drop: float = DROP, indent: float = IN
     pages = rows.groupBy(*PAGE).agg(
         F.sort_array(F.collect_list(F.struct("line_no", F.struct(*rest).alias("line"), "_stands"))).alias("_lines")
     )
-    table = F.create_map(*[x for name in STANDS for x in (F.lit(name), F.array(*map(F.lit, FOLLOWS[name])))])
+    # one letter a line, so the list that grows with each step stays small
+    table = F.create_map(*[x for name in STANDS for x in (F.lit(name), F.lit("".join(map(str, FOLLOWS[name]))))])
 
     def next_state(states: Column, line: Column) -> Column:
-        state = F.get(table[line["_stands"]], F.coalesce(F.element_at(states, -1), F.lit(PLAIN)))
-        return F.concat(states, F.array(state))
+        before = F.right(states, F.lit(1)).cast("int")
+        return F.concat(states, F.substr(table[line["_stands"]], before + 1, F.lit(1)))
 
-    first = F.array().cast("array<int>")
-    states = F.aggregate("_lines", first, lambda s, line: F.when(F.size(s) == 0, F.array(F.lit(OPENING))).otherwise(next_state(s, line)))
-    flat = pages.select(*PAGE, F.posexplode(F.arrays_zip("_lines", states.alias("_state"))).alias("_at", "_row"))
-    opens = F.col("_row._state") == OPENING
+    states = F.aggregate("_lines", F.lit(""), lambda s, line: F.when(s == "", F.lit(str(OPENING))).otherwise(next_state(s, line)))
+    flat = pages.select(*PAGE, states.alias("_states"), F.posexplode("_lines").alias("_at", "_row"))
+    opens = F.substr("_states", F.col("_at") + 1, F.lit(1)) == str(OPENING)
     number = F.sum(opens.cast("int")).over(W.partitionBy(*PAGE).orderBy("_at")) - 1
-    out = flat.select(*PAGE, "_row._lines.line.*", number.cast("int").alias("paragraph_no"), opens.alias("opens_paragraph"))
+    out = flat.select(*PAGE, "_row.line.*", number.cast("int").alias("paragraph_no"), opens.alias("opens_paragraph"))
     return out.select(*columns, "paragraph_no", "opens_paragraph")
 
 

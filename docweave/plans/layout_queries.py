@@ -162,8 +162,8 @@ def sort_glyphs(spark, d):
     """Glyphs drawn backwards and put in order by place: the text comes out forwards."""
     backwards = glyphs(spark, d).withColumn("seq", -F.col("seq"))
     merged = lay.scan_pages(lay.arrange(backwards), lay.overprint_stage, lay.mark_stage)
-    out = lay.page_lines(lay.reorder(merged, by_position=True), False, False).select(
-        "doc_id", "page", "line_no", F.array_join("words", "").alias("w")
-    )
-    by_page = out.groupBy("doc_id", "page").agg(F.sort_array(F.collect_list(F.struct("line_no", "w"))).alias("l"))
-    return by_page.select("doc_id", "page", F.array_join(F.col("l")["w"], "|").alias("content"))
+    ranked = lay.sort_glyphs(merged).groupBy("doc_id", "page", "y")
+    lines = ranked.agg(F.min("rank").alias("first"), F.sort_array(F.collect_list(F.struct("rank", "ch"))).alias("g"))
+    lines = lines.select("doc_id", "page", F.struct("first", F.array_join("g.ch", "").alias("text")).alias("line"))
+    by_page = lines.groupBy("doc_id", "page").agg(F.sort_array(F.collect_list("line")).alias("l"))
+    return by_page.select("doc_id", "page", F.array_join("l.text", "|").alias("content"))

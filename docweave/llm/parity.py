@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame, functions as F
 from docweave.llm.census import PACKED_SCHEMA, census, packed_rows
 from docweave.llm.components import components
 from docweave.llm.tables import drop_table, fill, keyed, real_id, shielded
-from docweave.llm.texts import BYTE_CODE, LOWER, mix, prefix_sums, ranges, slices, span_hash, word_spans
+from docweave.llm.texts import BYTE_CODE, LOWER, give_back, mix, prefix_sums, ranges, slices, span_hash, word_spans
 from docweave.session import cut_lineage
 
 # Sets of one task when a group of candidates is too large for one.
 TILE = 4096
-PART_KEYS = 1 << 18
+# Bytes of sketches in a task, and sets in a task that compares sets.
+CELL_BYTES = 8 << 20
+SETS_PER_TASK = 1000
 SET_SCHEMA = "_id long, _key long, n_shingles long, sid binary"
 
 
@@ -113,11 +115,19 @@ def _folded(words: np.ndarray) -> np.ndarray:
     return words.astype(np.uint16)
 
 
-def _block_keys(words: np.ndarray, band: int, allowed: int) -> np.ndarray:
-    """Join keys of the blocks; empty ones only where too few others are left."""
-    keys = mix(mix(words ^ np.uint64(band + 1 << 40)) + np.arange(len(words), dtype=np.uint64))
-    full = words != 0
-    return keys[full] if full.sum() > allowed else keys
+def _block_keys(hashes: np.ndarray, blocks: int, band: int, allowed: int) -> np.ndarray:
+    """Join keys of the blocks, the xor of all hashes in each; empty ones only where too few others are left.
+
+    A block that no difference falls in has the same shingles, so the same xor;
+    the whole hashes keep blocks of few shingles apart, whose sketch words are
+    often alike by chance.
+    """
+    block = ((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    used, first = np.unique(block, return_index=True)
+    out = np.zeros(blocks, np.uint64)
+    out[used.astype(np.int64)] = np.bitwise_xor.reduceat(mix(hashes), first)
+    keys = mix(mix(out ^ np.uint64(band + 1 << 40)) + np.arange(blocks, dtype=np.uint64))
+    return keys[used.astype(np.int64)] if len(used) > allowed else keys
 
 
 class _Forest:
@@ -180,102 +190,128 @@ def candidate_links(rows: DataFrame, size: int, bands: Bands) -> DataFrame:
                     words = sketch(hashes[begin[i] : begin[i + 1]], bands.blocks(band))
                     at.append(i)
                     metas.append(names[i] + np.array([band, n], np.int64).tobytes() + _folded(words).tobytes())
-                    out.append(_block_keys(words, band, bands.allowed(band)))
+                    out.append(_block_keys(hashes[begin[i] : begin[i + 1]], bands.blocks(band), band, bands.allowed(band)))
             if at:
                 yield packed_rows(batch, metas, out, at)
 
-    found = census(rows.mapInArrow(keys, PACKED_SCHEMA), "twice", exact=False, values=True)
+    answers = census(rows.mapInArrow(keys, PACKED_SCHEMA), "twice", exact=False, values=True)
     # One row per set and band: equal sets have equal keys.
-    answers = found
-    found = found.groupBy("meta").agg(F.first("bits").alias("bits"))
+    name = F.expr("substring(meta, 1, 24)").alias("name")
+    found = answers.groupBy(name).agg(F.first("meta").alias("meta"), F.first("bits").alias("bits"))
     found = found.select(
-        F.expr("substring(meta, 1, 16)").alias("sid"),
-        F.expr("substring(meta, 17, 8)").alias("band"),
+        F.expr("substring(name, 1, 16)").alias("sid"),
+        F.expr("substring(name, 17, 8)").alias("band"),
         F.expr("substring(meta, 25)").alias("meta"),
         "bits",
     )
     found = cut_lineage(found, "sketches")
     drop_table(answers)
-    # A band is cut by key where it is large; a set goes once to each part. There are some sixty bands.
-    volume = {r.band: r.n for r in found.groupBy("band").agg(F.sum(F.octet_length("bits")).alias("n")).collect()}
-    parts_of = {bytes(band): -(-n // (8 * PART_KEYS)) for band, n in volume.items()}
-    hot = _hot_keys(found, max(4 * TILE, sum(volume.values()) // (8 * 100_000)))
-
-    hot_keys = np.array(sorted(hot), np.uint64)
+    met = cut_lineage(_shared_keys(found), "shared-keys")
+    sketches = found.select("sid", "band", "meta")
+    # Copies share nearly all their keys: three keys a set find most of them.
+    low = [F.min(F.struct(F.xxhash64("key", F.lit(k)), "key", "n"))["key"] for k in (1, 2)]
+    few = met.groupBy("sid", "band", "size").agg(F.array_distinct(F.array(*low, F.max(F.struct("n", "key"))["key"])).alias("keys"))
+    near = cut_lineage(_close_links(few.select("sid", "band", "size", F.explode("keys").alias("key")), sketches, bands), "near")
+    # A key that only sets of one component hold can link nothing more.
+    roots = components(near).withColumnRenamed("node", "sid")
+    placed = met.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    split = placed.groupBy("key").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).filter("_least <> _most")
+    rest = met.join(split.select("key"), "key", "left_semi").select("sid", "band", "size", "key")
+    return near.union(_close_links(rest, sketches, bands))
+
+
+def _shared_keys(found: DataFrame) -> DataFrame:
+    """(sid, band, size, key, n): the block keys that several sets hold, without their sketches.
+
+    A row per set and key, so rows grow as the keys do. Of keys that the very
+    same sets hold (told by number and two xors of hashes, which are summed where
+    the keys are) the least one stands for all.
+    """
 
-    def parted(batches):
+    def entries(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            out: list[tuple] = []
-            for sid, band, meta, bits in zip(*(batch.column(c).to_pylist() for c in ("sid", "band", "meta", "bits"))):
-                values = np.frombuffer(bits, np.uint64)
-                if hot:
-                    is_hot = np.isin(values, hot_keys)
-                    for key in values[is_hot].tolist():
-                        n = -(-hot[key] // TILE)
-                        own = int.from_bytes(sid[:8], "little") % n
-                        out += [(sid, band, f"{key}-{min(own, i)}-{max(own, i)}", meta, np.uint64(key).tobytes()) for i in range(n)]
-                    values = values[~is_hot]
-                to = (values % np.uint64(parts_of[band])).astype(np.int64)
-                out += [(sid, band, str(u), meta, values[to == u].tobytes()) for u in np.unique(to)]
-            kinds = [pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.binary()]
-            names = ["sid", "band", "part", "meta", "keys"]
-            for a in range(0, len(out), 10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[a : a + 10_000]), kinds)], names)
+            bits = batch.column("bits").to_pylist()
+            counts = np.array([len(b) // 8 for b in bits], np.int64)
+            at = pa.array(np.repeat(np.arange(len(bits)), counts))
+            keys = np.frombuffer(b"".join(bits), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sid").take(at), batch.column("band").take(at), batch.column("size").take(at), pa.array(keys)],
+                ["sid", "band", "size", "key"],
+            )
 
-    def linked(table: pa.Table) -> pa.Table:
-        names = table.column("sid").to_pylist()
-        metas = table.column("meta").to_pylist()
-        sizes = np.array([np.frombuffer(m, np.int64, 1)[0] for m in metas])
-        words = np.array([np.frombuffer(m, np.uint16, offset=8) for m in metas])
-        keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-        who = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-        flat = np.concatenate(keys)
-        order = np.argsort(flat, kind="stable")
-        flat, who = flat[order], who[order]
-        begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-        count = np.diff(np.append(begin, len(flat)))
-        forest = _Forest(len(names))
-        # Pairs and small groups: all at once.
-        pairs = []
-        for n in np.unique(count[(count > 1) & (count <= 16)]):
-            group = who[begin[count == n][:, None] + np.arange(n)]
-            i, j = np.triu_indices(n, 1)
-            pairs.append(np.stack([group[:, i].ravel(), group[:, j].ravel()], 1))
-        if pairs:
-            pairs = np.concatenate(pairs)
-            pairs = np.unique(np.minimum(pairs[:, 0], pairs[:, 1]) * len(names) + np.maximum(pairs[:, 0], pairs[:, 1]))
-            for a in range(0, len(pairs), 1 << 16):
-                x, y = pairs[a : a + (1 << 16)] // len(names), pairs[a : a + (1 << 16)] % len(names)
-                small, large = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
-                fit = 100 * small >= bands.percent * large
-                x, y, small = x[fit], y[fit], small[fit]
-                far = np.zeros(len(x), np.int64)
-                for b in range(0, len(x), 4096):
-                    s = slice(b, b + 4096)
-                    far[s] = np.bitwise_count(words[x[s]] ^ words[y[s]]).sum(axis=1, dtype=np.int64)
-                near = far <= bands.apart(small)
-                for i, j in zip(x[near].tolist(), y[near].tolist()):
-                    forest.join(i, j)
-        for s, n in zip(begin[count > 16].tolist(), count[count > 16].tolist()):
-            group = np.unique(who[s : s + n])
-            _spread(group, forest, lambda one, others: _close(words, sizes, one, others, bands))
-        return _star(names, forest)
-
-    split = found.mapInArrow(parted, "sid binary, band binary, part string, meta binary, keys binary")
-    return split.groupBy("band", "part").applyInArrow(linked, "a binary, b binary")
-
-
-def _hot_keys(found: DataFrame, most: int) -> dict[int, int]:
-    """Keys of more than ``most`` sets and their number; ``most`` is chosen so that 100,000 at most can be."""
-
-    def count(batches):
-        for batch in batches:
-            keys = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64)
-            keys, n = np.unique(keys, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
+    sized = found.select("sid", "band", F.octet_length("meta").alias("size"), "bits")
+    each = sized.mapInArrow(entries, "sid binary, band binary, size int, key long")
+    marks = [F.bit_xor(F.xxhash64("sid")).alias("one"), F.bit_xor(F.xxhash64(F.lit(7), "sid")).alias("two")]
+    groups = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *marks).filter("n > 1")
+    groups = cut_lineage(groups.groupBy("n", "one", "two").agg(F.min("key").alias("key")).select("key", "n"), "groups")
+    return each.join(groups, "key").select("sid", "band", "size", "key", "n")
+
+
+def _close_links(entries: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
+    """(a, b): forests of the sets that are close by sketch, of those that share a key of (sid, band, size, key).
 
-    each = found.select("bits").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return {r.key & (1 << 64) - 1: r.n for r in each.filter(F.col("n") > most).collect()}
+    A sketch is sent once for each key of its set. A group beyond ``TILE`` sets
+    is cut into tiles and every two tiles meet in a cell.
+    """
+    n = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).filter("n > 1")
+    n = cut_lineage(n, "sizes")
+    volume = n.agg(F.sum("bytes").alias("b")).first().b or 0
+    tasks = max(fill(entries), -(-volume // CELL_BYTES))
+    met = entries.join(n.select("key", "n"), "key").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+    met = met.withColumn("tile", F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int"))
+    # (i, j) for all j: each tile meets each other once.
+    met = met.withColumn("_other", F.explode(F.expr("sequence(0, tiles - 1)")))
+    cell = F.xxhash64("key", F.least("tile", "_other"), F.greatest("tile", "_other"))
+    met = met.select("sid", "band", cell.alias("cell"))
+    dealt = met.join(sketches, ["sid", "band"]).withColumn("task", F.pmod("cell", F.lit(tasks)))
+
+    def linked(table: pa.Table) -> pa.Table:
+        bands_here = table.column("band").to_pylist()
+        out = []
+        for band in sorted(set(bands_here)):
+            out.append(_linked(table.filter(pa.array([b == band for b in bands_here])), bands))
+        give_back()
+        return pa.concat_tables(out)
+
+    return dealt.groupBy("task").applyInArrow(linked, "a binary, b binary")
+
+
+def _linked(table: pa.Table, bands: Bands) -> pa.Table:
+    """Forests of the sets of one band that are close by sketch within their cells."""
+    names = table.column("sid").to_pylist()
+    metas = table.column("meta").to_pylist()
+    sizes = np.array([np.frombuffer(m, np.int64, 1)[0] for m in metas])
+    words = np.array([np.frombuffer(m, np.uint16, offset=8) for m in metas])
+    flat = table.column("cell").combine_chunks().dictionary_encode().indices.to_numpy()
+    who = np.argsort(flat, kind="stable")
+    flat = flat[who]
+    begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+    count = np.diff(np.append(begin, len(flat)))
+    forest = _Forest(len(names))
+    # Pairs and small groups: all at once.
+    pairs = []
+    for n in np.unique(count[(count > 1) & (count <= 16)]):
+        group = who[begin[count == n][:, None] + np.arange(n)]
+        i, j = np.triu_indices(n, 1)
+        pairs.append(np.stack([group[:, i].ravel(), group[:, j].ravel()], 1))
+    if pairs:
+        pairs = np.concatenate(pairs)
+        for a in range(0, len(pairs), 1 << 16):
+            x, y = pairs[a : a + (1 << 16), 0], pairs[a : a + (1 << 16), 1]
+            small, large = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
+            fit = 100 * small >= bands.percent * large
+            x, y, small = x[fit], y[fit], small[fit]
+            far = np.zeros(len(x), np.int64)
+            for b in range(0, len(x), 4096):
+                s = slice(b, b + 4096)
+                far[s] = np.bitwise_count(words[x[s]] ^ words[y[s]]).sum(axis=1, dtype=np.int64)
+            near = far <= bands.apart(small)
+            for i, j in zip(x[near].tolist(), y[near].tolist()):
+                forest.join(i, j)
+    for s, n in zip(begin[count > 16].tolist(), count[count > 16].tolist()):
+        group = who[s : s + n]
+        _spread(group, forest, lambda one, others: _close(words, sizes, one, others, bands))
+    return _star(names, forest)
 
 
 def exact_links(rows: DataFrame, groups: DataFrame, size: int, bands: Bands) -> DataFrame:
@@ -325,10 +361,13 @@ def exact_links(rows: DataFrame, groups: DataFrame, size: int, bands: Bands) ->
 
             _spread(np.arange(len(at)), forest, near)
             found.append(_star([names[i] for i in at], forest))
+        give_back()
         return pa.concat_tables(found)
 
+    # As many tasks as the sets need, by number: a set is some kilobytes.
+    tasks = max(4 * fill(rows), -(-groups.count() // SETS_PER_TASK))
     held = rows.join(tiles, "sid").mapInArrow(sets, "sid binary, root binary, tiles int, tile int, hashes binary")
-    one = held.filter("tiles = 1").withColumn("task", F.pmod(F.hash("root"), F.lit(4 * fill(rows))).cast("string"))
+    one = held.filter("tiles = 1").withColumn("task", F.pmod(F.xxhash64("root"), F.lit(tasks)).cast("string"))
     # (i, j) for all j: each tile meets each other once.
     many = held.filter("tiles > 1").withColumn("_other", F.explode(F.expr("sequence(0, tiles - 1)")))
     many = many.withColumn("task", F.concat_ws("-", F.hex("root"), F.least("tile", "_other"), F.greatest("tile", "_other")))

@@ -8,6 +8,8 @@ has none.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +49,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at), data[offs[at] : offs[to]], offs[at : to + 1] - offs[at]
             at = to
-    pa.default_memory_pool().release_unused()  # workers are kept between tasks
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that a task has freed goes back to the system: workers are kept between tasks."""
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray, kind: np.ndarray | None = None):

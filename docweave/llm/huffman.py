@@ -17,16 +17,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from docweave.llm.tables import fill, keyed, real_id
+from docweave.llm.tables import drop_table, fill, keyed, real_id
+from docweave.llm.texts import give_back
 from docweave.llm.tokens import encoded
 from docweave.session import cut_lineage, new_path
 
 EVERY = 128
 BLOCK_IDS = 1 << 19
 
-RAW_SCHEMA = (
-    "part long, block long, first_id long, first_key long, n_ids long, docs binary, counts binary, width long, raw binary"
-)
 FILE_SCHEMA = (
     "part long, block long, first_id long, first_key long, n_ids long, docs binary, counts binary, "
     "lengths binary, bits binary, checkpoints binary"
@@ -117,87 +115,94 @@ def unpack(bits: bytes, checkpoints: np.ndarray, n: int, table) -> np.ndarray:
     return out.reshape(-1)[:n]
 
 
-def token_blocks(docs: DataFrame) -> DataFrame:
-    """Ids of keyed documents in blocks of whole documents, by ascending id; ids as they are."""
+def document_ids(docs: DataFrame) -> DataFrame:
+    """(_id, _key, width, raw): the ids of each keyed document, encoded where its text is read."""
 
-    def blocks(batches: Iterator[pa.RecordBatch]):
-        part, block, held, size = TaskContext.get().partitionId(), 0, [], 0
+    def encode(batches: Iterator[pa.RecordBatch]):
+        for batch, ids, upto in encoded(batches):
+            raw, width = ids.tobytes(), ids.itemsize
+            ends = (upto * width).tolist()
+            body = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+            width = pa.array(np.full(batch.num_rows, width, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), batch.column("_key"), width, pa.array(body, pa.binary())], ["_id", "_key", "width", "raw"]
+            )
 
-        def built():
-            doc, key, ids = zip(*held)
-            counts = np.array([len(i) for i in ids], np.int64)
-            raw = np.concatenate(ids)
-            values = [
-                part, block, doc[0], key[0], len(raw), np.array(doc, np.int64).tobytes(), counts.tobytes(),
-                raw.itemsize, pa.compress(raw.tobytes(), codec="zstd", asbytes=True),
-            ]
-            kinds = [pa.binary() if isinstance(v, bytes) else pa.int64() for v in values]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], _names(RAW_SCHEMA))
+    return docs.mapInArrow(encode, "_id long, _key long, width long, raw binary")
 
-        for batch, ids, upto in encoded(batches):
-            parts = np.split(ids, upto[:-1])
-            for row in zip(batch.column("_id").to_pylist(), batch.column("_key").to_pylist(), parts):
-                if held and size + len(row[2]) > BLOCK_IDS:
-                    yield built()
-                    block, held, size = block + 1, [], 0
-                held.append(row)
-                size += len(row[2])
-        if held:
-            yield built()
 
-    ordered = docs.repartitionByRange(fill(docs), "_id", "_key").sortWithinPartitions("_id", "_key")
-    return ordered.mapInArrow(blocks, RAW_SCHEMA)
+def _ids(raw: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(raw, np.dtype(f"u{width}"))
 
 
 def _names(schema: str) -> list[str]:
     return [f.split()[0] for f in schema.split(", ")]
 
 
-def _raw_ids(body: bytes, n: int, width: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(body, n * width, codec="zstd"), np.dtype(f"u{width}"))
-
-
-def id_counts(blocks: DataFrame) -> np.ndarray:
-    """How often each token id occurs over all blocks."""
+def id_counts(rows: DataFrame) -> np.ndarray:
+    """How often each token id occurs in all documents."""
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("raw", "n_ids", "width"))):
-                more = np.bincount(_raw_ids(*row), minlength=len(total))
+            widths = batch.column("width").to_numpy()
+            raw = batch.column("raw").to_pylist()
+            for width in np.unique(widths).tolist():
+                body = b"".join(r for r, w in zip(raw, widths.tolist()) if w == width)
+                more = np.bincount(_ids(body, width), minlength=len(total))
                 more[: len(total)] += total
                 total = more
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    each = blocks.select("raw", "n_ids", "width").mapInArrow(count, "id long, n long")
-    rows = each.groupBy("id").agg(F.sum("n").alias("n")).collect()  # no more than the vocabulary has
-    out = np.zeros(max([r.id for r in rows], default=0) + 1, np.int64)
-    for r in rows:
+    each = rows.select("width", "raw").mapInArrow(count, "id long, n long")
+    found = each.groupBy("id").agg(F.sum("n").alias("n")).collect()  # no more than the vocabulary has
+    out = np.zeros(max([r.id for r in found], default=0) + 1, np.int64)
+    for r in found:
         out[r.id] = r.n
     return out
 
 
 def write_ids(docs: DataFrame, path: str) -> None:
-    """Write the ids of all documents (doc_id, text) to ``path``, by ascending id."""
-    blocks = cut_lineage(token_blocks(keyed(docs)), "token-blocks")
-    lengths = code_lengths(id_counts(blocks))
+    """Write the ids of all documents (doc_id, text) to ``path``, by ascending id.
 
-    def coded(batches):
+    Texts are encoded once, where they are read; what is counted, dealt out by
+    ranges of ids and coded are the token ids.
+    """
+    rows = cut_lineage(document_ids(keyed(docs)), "token-ids")
+    lengths = code_lengths(id_counts(rows))
+
+    def blocks(batches: Iterator[pa.RecordBatch]):
         codes = canonical_codes(lengths)
-        for batch in batches:
-            for raw, n, width in zip(*(batch.column(c).to_pylist() for c in ("raw", "n_ids", "width"))):
-                bits, checkpoints = pack(_raw_ids(raw, n, width), lengths, codes)
-                yield bits, checkpoints.astype(np.int64).tobytes()
+        part, block, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def built():
+            doc, key, ids = zip(*held)
+            counts = np.array([len(i) for i in ids], np.int64)
+            flat = np.concatenate(ids)
+            bits, checkpoints = pack(flat, lengths, codes)
+            values = [
+                part, block, doc[0], key[0], len(flat), np.array(doc, np.int64).tobytes(), counts.tobytes(),
+                lengths.tobytes(), bits, checkpoints.astype(np.int64).tobytes(),
+            ]
+            kinds = [pa.binary() if isinstance(v, bytes) else pa.int64() for v in values]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], _names(FILE_SCHEMA))
 
-    def rows(batches):
         for batch in batches:
-            bits, checkpoints = zip(*coded([batch])) if batch.num_rows else ((), ())
-            keep = [batch.column(c) for c in _names(FILE_SCHEMA)[:7]]
-            last = [[lengths.tobytes()] * len(bits), bits, checkpoints]
-            yield pa.RecordBatch.from_arrays([*keep, *(pa.array(v, pa.binary()) for v in last)], _names(FILE_SCHEMA))
+            for doc, key, width, raw in zip(*(batch.column(c).to_pylist() for c in ("_id", "_key", "width", "raw"))):
+                ids = _ids(raw, width)
+                if held and size + len(ids) > BLOCK_IDS:
+                    yield built()
+                    block, held, size = block + 1, [], 0
+                held.append((doc, key, ids))
+                size += len(ids)
+        if held:
+            yield built()
+        give_back()
 
-    blocks.mapInArrow(rows, FILE_SCHEMA).write.parquet(path)
+    ordered = rows.repartitionByRange(fill(docs), "_id", "_key").sortWithinPartitions("_id", "_key")
+    ordered.mapInArrow(blocks, FILE_SCHEMA).write.parquet(path)
+    drop_table(rows)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

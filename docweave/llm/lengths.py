@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from docweave.llm.tokens import encoded
+from docweave.session import cut_lineage
 
 BLOCK = 1024
 
@@ -110,4 +111,5 @@ def token_counts(docs: DataFrame) -> DataFrame:
     as they occur, ids and other columns are ignored, an empty table gives no
     rows.
     """
-    return answers(with_sums(length_histogram(docs)))
+    # the sums read the histogram twice: it is stored, so that texts are encoded once
+    return answers(with_sums(cut_lineage(length_histogram(docs), "lengths")))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from docweave.functions import media
 from docweave.plans.inputs import documents_of, spread, sql_id, table
@@ -343,7 +343,7 @@ def _script_cases(sql: bool) -> str:
 _CHARSET_OF = "CASE doc_id % 8 " + " ".join(f"WHEN {k} THEN '{c}'" for k, (c, _, _) in enumerate(_SCRIPTS)) + " END"
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _written(text: pd.Series, charset: pd.Series) -> pd.Series:
     from docweave.functions.charsets import CODECS
 

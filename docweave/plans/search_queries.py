@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.operators import search
-from docweave.plans.inputs import documents_of, spread, sql_id, table, union_all
+from docweave.plans.inputs import TABLES, documents_of, spread, sql_id, table, union_all
 from docweave.plans.registry import query
 from docweave.session import new_path
 
-FACETED = ("customer", "supplier", "part", "orders", "lineitem", "events", "nation", "region")
 DATED = ("orders", "lineitem", "events")
 PRICED = ("customer", "supplier", "part", "orders", "lineitem")
 
@@ -21,14 +20,14 @@ def unified(spark, d, names):
 
 @query(
     "facet_terms",
-    "WITH t AS (" + " UNION ALL ".join(f"SELECT '{t}' AS table_nm FROM {t}" for t in FACETED) + """)
+    "WITH t AS (" + " UNION ALL ".join(f"SELECT '{t}' AS table_nm FROM {t}" for t in TABLES) + """)
     SELECT 'table_nm' AS facet, table_nm AS value, count(*) AS n FROM t GROUP BY 2
     UNION ALL SELECT 'database_nm', 'warehouse', count(*) FROM t
     UNION ALL SELECT 'source_nm', 'warehouse', count(*) FROM t
     UNION ALL SELECT 'media_format', 'Database', count(*) FROM t""",
 )
 def facet_terms(spark, d):
-    return search.facet_terms(unified(spark, d, FACETED))
+    return search.facet_terms(unified(spark, d, TABLES))
 
 
 @query(

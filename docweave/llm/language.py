@@ -6,8 +6,10 @@ multiplication, the trigrams of a text are bundled by addition. Languages are
 bundles of the texts known to be in them; a text gets the language whose bundle
 has the largest cosine with its own.
 
-As bundling is addition, a text's vector is its trigram counts times the table of
-trigram vectors, and a language's bundle is the sum of counts times that table.
+A letter's vector is made from a hash of its code point, so every letter of every
+script has its own. As bundling is addition, a text's vector is its trigram counts
+times the vectors of its distinct trigrams, and a language's bundle is the sum of
+those of its texts.
 """
 
 from __future__ import annotations
@@ -19,43 +21,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from docweave.llm.tables import held_out
-from docweave.llm.texts import slices
+from docweave.llm.texts import BASE, mix, slices
 
 SIZE = 512
-SYMBOLS = 32
-GRAMS = SYMBOLS**3
-# Texts whose counts are multiplied with the table at once.
+# Bits of a code point; a trigram is three of them in one long.
+BITS = 21
+POINT = (1 << BITS) - 1
+# Texts, and distinct trigrams, multiplied with each other at once.
 TOGETHER = 128
+CHUNK = 8192
 
-
-def _symbols() -> np.ndarray:
-    """Symbol of each code point of the basic plane: 0 no letter, a to z, five classes of other letters."""
-    out = np.zeros(1 << 16, np.uint8)
-    for point in range(1 << 16):
-        c = chr(point)
-        if c.isalpha():
-            low = c.lower()[0]
-            out[point] = ord(low) - 96 if "a" <= low <= "z" else 27 + ord(low) % 5
-    return out
+_symbols: list[np.ndarray] = []
 
 
-_tables: dict[str, np.ndarray] = {}
+def _letter(point: int) -> int:
+    """The lower-case letter of a code point, 0 for other characters."""
+    c = chr(point)
+    return ord(c.lower()[0]) if c.isalpha() else 0
 
 
 def symbol_table() -> np.ndarray:
-    if "symbols" not in _tables:
-        _tables["symbols"] = _symbols()
-    return _tables["symbols"]
-
-
-def gram_vectors() -> np.ndarray:
-    """Vectors of all trigrams: permuted letters, bound."""
-    if "grams" not in _tables:
-        letters = np.random.default_rng(41).choice(np.array([-1, 1], np.int8), (SYMBOLS, SIZE))
-        first, second = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
-        bound = first[:, None, None] * second[None, :, None] * letters[None, None]
-        _tables["grams"] = bound.reshape(GRAMS, SIZE).astype(np.float32)
-    return _tables["grams"]
+    """Letters of all code points of the basic plane."""
+    if not _symbols:
+        _symbols.append(np.array([_letter(point) for point in range(1 << 16)], np.int64))
+    return _symbols[0]
+
+
+def letter_vectors(points: np.ndarray) -> np.ndarray:
+    """A vector of +1 and -1 for each code point, from a hash of it; 0 is the boundary."""
+    places = np.arange(1, SIZE // 64 + 1, dtype=np.uint64)
+    words = mix((points.astype(np.uint64)[:, None] * np.uint64(SIZE // 64) + places) * BASE)
+    return np.unpackbits(words.view(np.uint8), axis=1).astype(np.int8) * 2 - 1
+
+
+def gram_vectors(used: np.ndarray) -> np.ndarray:
+    """Vectors of trigrams: permuted letters, bound."""
+    points, at = np.unique(np.stack([used >> 2 * BITS, used >> BITS & POINT, used & POINT]), return_inverse=True)
+    letters = letter_vectors(points)
+    first, second, third = at.reshape(3, -1)
+    return (np.roll(letters, 2, axis=1)[first] * np.roll(letters, 1, axis=1)[second] * letters[third]).astype(np.float32)
+
+
+def bundles_of(group: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the trigram vectors of n groups."""
+    out = np.zeros((n, SIZE), np.float64)
+    used, column = np.unique(gram, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    group, column = group[order], column[order]
+    cuts = np.searchsorted(column, np.arange(0, len(used) + CHUNK, CHUNK))
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        some = used[k * CHUNK : (k + 1) * CHUNK]
+        cell = group[a:b] * len(some) + column[a:b] - k * CHUNK
+        counts = np.bincount(cell, minlength=n * len(some)).reshape(n, len(some))
+        out += counts.astype(np.float32) @ gram_vectors(some)
+    return out
 
 
 def grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,16 +82,18 @@ def grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     upto = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offs]
     symbol = symbol_table()[np.minimum(points, 0xFFFF)]
-    for point in np.unique(points[points > 0xFFFF]).tolist():
-        symbol[points == point] = 27 + point % 5 if chr(point).isalpha() else 0
+    beyond = points > 0xFFFF
+    if beyond.any():
+        rare, which = np.unique(points[beyond], return_inverse=True)
+        symbol[beyond] = np.array([_letter(point) for point in rare.tolist()], np.int64)[which]
     # A boundary begins every text and ends the one before it.
     symbol = np.append(np.insert(symbol, upto[:-1], 0), 0)
     begin = np.zeros(len(symbol), bool)
     begin[upto + np.arange(len(upto))] = True
     keep = (symbol > 0) | begin
     keep[1:] |= (symbol[:-1] > 0) & ~np.append(begin[2:], False)
-    symbol, begin = symbol[keep].astype(np.int64), np.flatnonzero(begin[keep])
-    gram = (symbol[:-2] << 10) | (symbol[1:-1] << 5) | symbol[2:]
+    symbol, begin = symbol[keep], np.flatnonzero(begin[keep])
+    gram = (symbol[:-2] << 2 * BITS) | (symbol[1:-1] << BITS) | symbol[2:]
     at = np.arange(len(gram))
     text = np.searchsorted(begin, at, side="right") - 1
     inside = at + 2 <= begin[np.minimum(text + 1, len(begin) - 1)]
@@ -83,15 +104,13 @@ def profiles(docs: DataFrame) -> dict[str, np.ndarray]:
     """Bundle of each language: over all rows (text, lang) that are not held out."""
 
     def bundled(batches: Iterator[pa.RecordBatch]):
-        counts: dict[str, np.ndarray] = {}
+        sums: dict[str, np.ndarray] = {}
         for batch, data, offs in slices(batches):
             names, which = np.unique(np.array(batch.column("lang").to_pylist(), object).astype(str), return_inverse=True)
             text, gram = grams(data, offs)
-            both = np.bincount(which[text] * GRAMS + gram, minlength=len(names) * GRAMS).reshape(len(names), GRAMS)
-            for name, row in zip(names.tolist(), both):
-                counts[name] = counts.get(name, 0) + row
-        for name, row in counts.items():
-            vector = row.astype(np.float64) @ gram_vectors()
+            for name, row in zip(names.tolist(), bundles_of(which[text], gram, len(names))):
+                sums[name] = sums.get(name, 0) + row
+        for name, vector in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * SIZE), pa.array(np.arange(SIZE), pa.int32()), pa.array(vector, pa.float64())],
                 ["lang", "place", "value"],
@@ -116,23 +135,19 @@ def identify(docs: DataFrame) -> DataFrame:
     """
     known = profiles(docs)
     names = list(known)
-    bundles = np.array([v / max(np.linalg.norm(v), 1e-12) for v in known.values()]).reshape(-1, SIZE).astype(np.float32)
+    bundles = np.array([v / max(np.linalg.norm(v), 1e-12) for v in known.values()]).reshape(-1, SIZE)
 
     def predict(batches):
         for batch, data, offs in slices(batches):
             text, gram = grams(data, offs)
-            lettered = np.bincount(text, (gram & 31) > 0, batch.num_rows) + np.bincount(text, gram >= 1024, batch.num_rows) > 0
-            lettered |= np.bincount(text, (gram >> 5 & 31) > 0, batch.num_rows) > 0
+            lettered = np.bincount(text, gram > 0, batch.num_rows) > 0
             best, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             upto = np.searchsorted(text, np.arange(0, batch.num_rows + TOGETHER, TOGETHER))
             for k, (a, b) in enumerate(zip(upto[:-1], upto[1:])):
-                used, column = np.unique(gram[a:b], return_inverse=True)
                 n = min(TOGETHER, batch.num_rows - k * TOGETHER)
-                if n <= 0 or not len(used) or not names:
+                if n <= 0 or a == b or not names:
                     continue
-                cell = (text[a:b] - k * TOGETHER) * len(used) + column
-                counts = np.bincount(cell, minlength=n * len(used)).reshape(n, len(used)).astype(np.float32)
-                vectors = counts @ gram_vectors()[used]
+                vectors = bundles_of(text[a:b] - k * TOGETHER, gram[a:b], n)
                 length = np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
                 cosine = np.round((vectors @ bundles.T) / length[:, None], 6)
                 best[k * TOGETHER : k * TOGETHER + n] = cosine.argmax(axis=1)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docweave.llm.tables import labelled_sample
+from docweave.llm.tables import labelled_sample, prior_shift
 from docweave.llm.texts import (
     BLANK, BYTE_CODE, covered, mix, prefix_sums, slices, span_hash, window_hashes, word_hashes, word_spans,
 )
@@ -219,7 +219,10 @@ def train(lines: Lines, labels: np.ndarray, rounds: int = 80, rate: float = 0.5,
 
 
 def learned(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Chain:
-    """A chain learned from lines of documents labelled good (content) or bad (boilerplate)."""
+    """A chain learned from lines of documents labelled good (content) or bad (boilerplate).
+
+    The score of a first line is set to the share of good documents among all labelled ones.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]):
         for batch, data, offs in slices(batches):
@@ -238,7 +241,9 @@ def learned(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Chain:
     features = [np.frombuffer(f, np.uint8).reshape(-1, len(STEPS)) for f, _ in rows]
     counts = np.array([len(f) for f in features], np.int64)
     lines = Lines(np.concatenate(([0], np.cumsum(counts))), np.empty(0), np.concatenate(features).astype(np.int64) if rows else np.empty((0, len(STEPS)), np.int64))
-    return train(lines, np.repeat(np.array([y for _, y in rows], np.int64), counts))
+    chain = train(lines, np.repeat(np.array([y for _, y in rows], np.int64), counts))
+    chain.start[CONTENT] += prior_shift(docs, labels, "quality", most)
+    return chain
 
 
 def judged(docs: DataFrame, chain: Chain) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.session import remove_path
@@ -51,20 +53,37 @@ def held_out(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 5 == 0, F.lit(True))
 
 
+def _known(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, _label) of the documents that are labelled 0 or 1 and not held out."""
+    known = labels.select("doc_id", F.col(label).cast("int").alias("_label")).filter("doc_id is not null")
+    known = known.filter(F.col("_label").isin(0, 1) & ~held_out()).dropDuplicates(["doc_id"])
+    return known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """(text, label) of at most ``most`` documents of each label 0 and 1 that are not held out.
 
     The documents with the least hash of their id are taken, so the choice
     neither depends on partitions nor on the order of rows.
     """
-    known = labels.select("doc_id", F.col(label).cast("int").alias("_label")).filter("doc_id is not null")
-    known = known.filter(F.col("_label").isin(0, 1) & ~held_out()).dropDuplicates(["doc_id"])
-    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = _known(docs, labels, label)
     rank = F.xxhash64(F.col("doc_id").cast("string"))
     parts = [known.filter(F.col("_label") == v).orderBy(rank, "doc_id").limit(most) for v in (0, 1)]
     return docs.select("doc_id", "text").join(parts[0].union(parts[1]), "doc_id").select("text", F.col("_label").alias("label"))
 
 
+def prior_shift(docs: DataFrame, labels: DataFrame, label: str, most: int) -> float:
+    """What the log odds of label 1 differ by between all labelled documents and ``labelled_sample``.
+
+    Added to a model of the sample, it makes a score of one half mean the same
+    whether the bound was reached or not. 0 where a label has no documents.
+    """
+    n = {r["_label"]: r["count"] for r in _known(docs, labels, label).groupBy("_label").count().collect()}
+    if len(n) < 2:
+        return 0.0
+    return log(n[1] / n[0]) - log(min(n[1], most) / min(n[0], most))
+
+
 def drop_table(table: DataFrame) -> None:
     """Delete the files of a stored intermediate table that nothing reads any more."""
     for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:

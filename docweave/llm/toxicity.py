@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from docweave.llm.tables import held_out, labelled_sample, shielded
+from docweave.llm.tables import held_out, labelled_sample, prior_shift, shielded
 from docweave.llm.texts import BYTE_CODE, LOWER, mix, prefix_sums, slices, span_hash, word_spans
 
 # Documents of each label to learn from, at most.
@@ -131,7 +131,10 @@ def train(
 
 
 def learned(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Machine:
-    """A machine learned from lower-cased documents labelled toxic or not, held-out ones left aside."""
+    """A machine learned from lower-cased documents labelled toxic or not, held-out ones left aside.
+
+    Its bias is set to the share of toxic labels among all that are not held out.
+    """
 
     def features(batches: Iterator[pa.RecordBatch]):
         for batch, data, offs in slices(batches):
@@ -144,7 +147,9 @@ def learned(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Machine:
 
     sample = labelled_sample(docs, labels, "toxic", most).mapInArrow(features, "hashes binary, label int")
     rows = sorted((bytes(r.hashes), r.label) for r in sample.collect())  # at most 2 * most rows
-    return train([(np.frombuffer(h, np.uint64), y) for h, y in rows])
+    machine = train([(np.frombuffer(h, np.uint64), y) for h, y in rows])
+    machine.bias += prior_shift(docs, labels, "toxic", most)
+    return machine
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:

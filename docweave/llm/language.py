@@ -29,7 +29,9 @@ BITS = 21
 POINT = (1 << BITS) - 1
 # Texts, and distinct trigrams, multiplied with each other at once.
 TOGETHER = 128
-CHUNK = 8192
+CHUNK = 16384
+# Letters up to which every possible trigram has a cell while distinct ones are sought.
+ALPHABET = 128
 
 _symbols: list[np.ndarray] = []
 
@@ -62,16 +64,41 @@ def gram_vectors(used: np.ndarray) -> np.ndarray:
     return (np.roll(letters, 2, axis=1)[first] * np.roll(letters, 1, axis=1)[second] * letters[third]).astype(np.float32)
 
 
+def distinct(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct trigrams, ascending, and the place of each among them."""
+    seen = np.zeros(1 << 16, bool)
+    letters = [gram >> 2 * BITS, gram >> BITS & POINT, gram & POINT]
+    if not len(gram) or max(x.max() for x in letters) >= len(seen):
+        return np.unique(gram, return_inverse=True)
+    for x in letters:
+        seen[x] = True
+    points = np.flatnonzero(seen)
+    n = len(points)
+    if n > ALPHABET:
+        return np.unique(gram, return_inverse=True)
+    # few letters: a cell for every triple instead of a sort
+    place = np.zeros(len(seen), np.int32)
+    place[points] = np.arange(n)
+    triple = (place[letters[0]] * n + place[letters[1]]) * n + place[letters[2]]
+    cells = np.zeros(n**3, bool)
+    cells[triple] = True
+    used = np.flatnonzero(cells)
+    column = np.zeros(n**3, np.int32)
+    column[used] = np.arange(len(used))
+    return points[used // n**2] << 2 * BITS | points[used // n % n] << BITS | points[used % n], column[triple]
+
+
 def bundles_of(group: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
     """Sums of the trigram vectors of n groups."""
     out = np.zeros((n, SIZE), np.float64)
-    used, column = np.unique(gram, return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    group, column = group[order], column[order]
-    cuts = np.searchsorted(column, np.arange(0, len(used) + CHUNK, CHUNK))
-    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-        some = used[k * CHUNK : (k + 1) * CHUNK]
-        cell = group[a:b] * len(some) + column[a:b] - k * CHUNK
+    used, column = distinct(gram)
+    if len(used) > CHUNK:
+        order = np.argsort(column)
+        group, column = group[order], column[order]
+    for k in range(0, len(used), CHUNK):
+        some = used[k : k + CHUNK]
+        a, b = np.searchsorted(column, (k, k + CHUNK)) if len(used) > CHUNK else (0, len(column))
+        cell = group[a:b] * len(some) + (column[a:b] - k)
         counts = np.bincount(cell, minlength=n * len(some)).reshape(n, len(some))
         out += counts.astype(np.float32) @ gram_vectors(some)
     return out

@@ -66,6 +66,31 @@ def _text_file(spark, rows, label):
     return path
 
 
+LONGEST = 4096
+
+
+@query(
+    "csv_quoted_records",
+    f"""
+    SELECT 'row' AS kind, CAST(doc_id AS VARCHAR) AS key, replace(coalesce(text, ''), chr(13), ' ') AS value, CAST(1 AS BIGINT) AS n FROM documents
+    UNION ALL SELECT 'stray', source, 'open', count(DISTINCT source) FROM documents GROUP BY source
+    UNION ALL SELECT 'plain', 'x', '', {LONGEST} * count(DISTINCT source) FROM documents
+    """,
+)
+def csv_quoted_records(spark, d):
+    """A file per source: whole texts with their line breaks as quoted fields, and a stray quote before many plain lines."""
+    docs = table(spark, d, "documents")
+    text = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("\r"), F.lit(" ")), F.lit("\\"), F.lit("\\\\"))
+    rows = docs.select("source", _concat(F.col("doc_id").cast("string"), ',"', F.replace(text, F.lit('"'), F.lit('""')), '",', F.col("lang")).alias("value"))
+    stray = docs.select("source").distinct().select("source", _concat(F.col("source"), ',"open', "\nx" * LONGEST).alias("value"))
+    path = new_path(spark, "records")
+    rows.union(stray).repartition("source").write.partitionBy("source").text(path)
+    records = delimited.read_csv(spark, f"{path}/*", multi_line=True, most=LONGEST)
+    key, value = F.get("fields", F.lit(0)), F.coalesce(F.get("fields", F.lit(1)), F.lit(""))
+    kind = F.when(F.col("error").isNotNull(), "stray").when(F.size("fields") == 1, "plain").otherwise("row")
+    return records.groupBy(kind.alias("kind"), key.alias("key"), value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "csv_skip_lines",
     "SELECT source, count(*) - 3 AS n, count(*) AS last FROM documents GROUP BY 1 HAVING count(*) > 4",
@@ -129,7 +154,7 @@ def _mailboxes(spark, d):
     # a document is a mailbox, each of its lines a message, quoted where it looks like a separator
     lines = F.split(F.regexp_replace("text", "(?m)^From ", ">From "), "\n", -1)
     message = lambda x, i: _concat(
-        "From author@", F.col("source"), " Mon Jan 1\nSubject: line ", i.cast("string"), "\nReceived: from xxx\n   by ",
+        "From author@", F.col("source"), " Mon Jan 1\nSubject: line ", i.cast("string"), "\nX-Route: over two\n   lines to ",
         F.col("lang"), "\n\n", x, "\n",
     )
     return table(spark, d, "documents").select(
@@ -141,7 +166,7 @@ def _mailboxes(spark, d):
     "mbox_messages",
     """
     SELECT CAST(doc_id AS VARCHAR) AS path, CAST(i AS INTEGER) AS msg_no, 'author@' || source || ' Mon Jan 1' AS envelope,
-           'Subject: line ' || (i - 1) || chr(10) || 'Received: from xxx by ' || lang AS headers,
+           'Subject: line ' || (i - 1) || chr(10) || 'X-Route: over two lines to ' || lang AS headers,
            CASE WHEN line LIKE 'From %' THEN '>' ELSE '' END || line || chr(10) AS body
     FROM (SELECT doc_id, source, lang, unnest(ls) AS line, unnest(generate_series(1, len(ls))) AS i
           FROM (SELECT *, string_split(text, chr(10)) AS ls FROM documents) a) b
@@ -245,9 +270,9 @@ def feed_items(spark, d):
 def dc_xml_metadata(spark, d):
     """Dublin Core of a document: subject occurs twice, a comment holds an element."""
     xml = _concat(
-        '<?xml version="1.0"?>\n<oaidc:dc xmlns:dc="http://purl.org/dc/elements/1.1/"><!-- <dc:date>1</dc:date> -->\n<dc:title>',
+        '<?xml version="1.0"?>\n<record xmlns:dc="http://purl.org/dc/elements/1.1/"><!-- <dc:date>1</dc:date> -->\n<dc:title>',
         _safe(F.substring_index("text", "\n", 1)), '</dc:title><dc:subject>', F.col("lang"), "</dc:subject>\n<dc:subject>", F.col("source"),
-        '</dc:subject><dc:language lang="x">', F.col("lang"), "</dc:language></oaidc:dc>",
+        '</dc:subject><dc:language lang="x">', F.col("lang"), "</dc:language></record>",
     )
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("path"), xml.alias("content"))
     out = markup.xml_metadata(docs).select(F.col("path").alias("doc_id"), F.explode("metadata").alias("key", "v"))

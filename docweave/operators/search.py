@@ -55,15 +55,16 @@ def filter_any_date(documents: DataFrame, low: str, high: str) -> DataFrame:
     Stored documents have bounds, and those reach the scan; rows stored without them are read.
     """
     lo, hi = F.lit(low).cast("timestamp"), F.lit(high).cast("timestamp")
-    if "date_max" in documents.columns:
-        documents = documents.where(F.col("date_max").isNull() | ((F.col("date_max") >= lo) & (F.col("date_min") < hi)))
+    if "bounded" in documents.columns:
+        over = (F.col("micros_max") >= F.unix_micros(lo)) & (F.col("micros_min") < F.unix_micros(hi))
+        documents = documents.where(F.col("bounded").isNull() | over)
     return documents.where(F.exists("date_text", lambda d: (d >= lo) & (d < hi)))
 
 
 def filter_any_money(documents: DataFrame, low: float, high: float) -> DataFrame:
     """Documents with any amount in ``[low, high)``, whatever its column; bounds as for dates."""
-    if "money_max" in documents.columns:
-        documents = documents.where(F.col("money_max").isNull() | ((F.col("money_max") >= low) & (F.col("money_min") < high)))
+    if "bounded" in documents.columns:
+        documents = documents.where(F.col("bounded").isNull() | ((F.col("money_max") >= low) & (F.col("money_min") < high)))
     return documents.where(F.exists("money_text", lambda v: (v >= low) & (v < high)))
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.operators import search
-from docweave.plans.inputs import TABLES, documents_of, spread, sql_id, table, union_all
+from docweave.plans.inputs import KEYS, TABLES, documents_of, spread, sql_id, table, union_all
 from docweave.plans.registry import query
 from docweave.session import new_path
+from docweave.sinks import store
 
 DATED = ("orders", "lineitem", "events")
 PRICED = ("customer", "supplier", "part", "orders", "lineitem")
@@ -51,28 +52,48 @@ def facet_money_range(spark, d):
     return out.select(F.col("bucket_low").cast("long").alias("bucket_low"), "n_docs")
 
 
-@query(
-    "filter_any_date",
-    f"SELECT {sql_id('orders')} AS unique_id, 'orders' AS table_nm FROM orders "
-    "WHERE o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-09-01' "
-    f"UNION ALL SELECT {sql_id('events')}, 'events' FROM events "
-    "WHERE ts >= TIMESTAMP '1997-03-01' AND ts < TIMESTAMP '1997-09-01'",
-)
+DATE_COLUMNS = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
+MONEY_COLUMNS = (
+    ("customer", "c_acctbal"), ("supplier", "s_acctbal"), ("part", "p_retailprice"), ("orders", "o_totalprice"), ("lineitem", "l_extendedprice"),
+)
+
+
+def _sql_within(columns, low: str, high: str) -> str:
+    """Ids and tables of the rows in a range; rows of a table without a key have no id here."""
+    parts = [
+        f"SELECT {sql_id(t) if t in KEYS else 'NULL'} AS unique_id, '{t}' AS table_nm FROM {t} WHERE {c} >= {low} AND {c} < {high}"
+        for t, c in columns
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _found(documents):
+    keyed = F.col("table_nm").isin(*KEYS)
+    return documents.select(F.when(keyed, F.col("unique_id")).alias("unique_id"), "table_nm")
+
+
+_SQL_DATES = _sql_within(DATE_COLUMNS, "TIMESTAMP '1997-03-01'", "TIMESTAMP '1997-09-01'")
+_SQL_MONEY = _sql_within(MONEY_COLUMNS, "1000", "2500")
+
+
+@query("filter_any_date", _SQL_DATES)
 def filter_any_date(spark, d):
-    found = search.filter_any_date(unified(spark, d, ("orders", "events")), "1997-03-01", "1997-09-01")
-    return found.select("unique_id", "table_nm")
+    return _found(search.filter_any_date(unified(spark, d, DATED), "1997-03-01", "1997-09-01"))
 
 
-@query(
-    "filter_any_money",
-    " UNION ALL ".join(
-        f"SELECT {sql_id(t)} AS unique_id, '{t}' AS table_nm FROM {t} WHERE {c} >= 1000 AND {c} < 2500"
-        for t, c in (("customer", "c_acctbal"), ("supplier", "s_acctbal"), ("part", "p_retailprice"), ("orders", "o_totalprice"))
-    ),
-)
+@query("filter_any_money", _SQL_MONEY)
 def filter_any_money(spark, d):
-    found = search.filter_any_money(unified(spark, d, ("customer", "supplier", "part", "orders")), 1000, 2500)
-    return found.select("unique_id", "table_nm")
+    return _found(search.filter_any_money(unified(spark, d, PRICED), 1000, 2500))
+
+
+@query("filter_stored", f"SELECT 'date' AS kind, * FROM ({_SQL_DATES}) t UNION ALL SELECT 'money', * FROM ({_SQL_MONEY}) t")
+def filter_stored(spark, d):
+    """Both filters over stored documents of all tables with dates or amounts, in the order that serves both."""
+    path = new_path(spark, "clustered")
+    store.write_documents(store.clustered(unified(spark, d, sorted({*DATED, *PRICED}))), path)
+    held = store.read_documents(spark, path)
+    dates = _found(search.filter_any_date(held, "1997-03-01", "1997-09-01")).select(F.lit("date").alias("kind"), "*")
+    return dates.union(_found(search.filter_any_money(held, 1000, 2500)).select(F.lit("money").alias("kind"), "*"))
 
 
 _HITS = "CAST(len(list_filter(regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}]+'), lambda x: x = 'ring')) AS BIGINT)"

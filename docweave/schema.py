@@ -43,10 +43,13 @@ DOCUMENT = T.StructType(
 )
 
 
-# What a stored document has besides: the least and greatest of its dates and amounts.
+# What a stored document has besides: the least and greatest of its dates and amounts. Dates are
+# microseconds, as Spark by default stores timestamps in a form that has no statistics. ``bounded``
+# tells rows that have no date or amount from rows stored without bounds.
 BOUNDS = {
-    "date_min": "array_min(date_text)",
-    "date_max": "array_max(date_text)",
+    "bounded": "true",
+    "micros_min": "unix_micros(array_min(date_text))",
+    "micros_max": "unix_micros(array_max(date_text))",
     "money_min": "array_min(money_text)",
     "money_max": "array_max(money_text)",
 }
@@ -60,7 +63,9 @@ def with_bounds(documents: DataFrame) -> DataFrame:
 STORED = T.StructType(
     [
         *DOCUMENT.fields,
-        *[T.StructField(n, T.TimestampType() if n.startswith("date") else T.DoubleType()) for n in BOUNDS],
+        T.StructField("bounded", T.BooleanType()),
+        *[T.StructField(n, T.LongType()) for n in ("micros_min", "micros_max")],
+        *[T.StructField(n, T.DoubleType()) for n in ("money_min", "money_max")],
     ]
 )
 

@@ -58,7 +58,7 @@ def test_range_filters_reach_the_scan(spark, tmp_path):
     money = search.filter_any_money(held, 100, 200)
     dates = search.filter_any_date(held, "1970-01-05", "1970-01-08")
     assert money.count() == 10 and dates.count() == 3
-    for found, column in ((money, "money_max"), (dates, "date_max")):
+    for found, column in ((money, "money_max"), (dates, "micros_max")):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert f"GreaterThanOrEqual({column}" in plan.partition("PushedFilters")[2]
 
@@ -70,7 +70,7 @@ def test_range_filters_keep_rows_stored_without_bounds(spark, tmp_path):
         F.array((F.col("id") * 10).cast("double")).alias("money_text"),
         F.array(F.timestamp_seconds(F.col("id") * 86400)).alias("date_text"),
     )
-    conform(rows).drop("date_min", "date_max", "money_min", "money_max").write.parquet(path)
+    conform(rows).drop("micros_min", "micros_max", "money_min", "money_max").write.parquet(path)
     held = store.read_documents(spark, path)
     assert search.filter_any_money(held, 100, 150).count() == 5
     assert search.filter_any_date(held, "1970-01-05", "1970-01-08").count() == 3

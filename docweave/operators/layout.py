@@ -2,8 +2,10 @@
 
 Input is ``glyphs(doc_id, page, seq, ch, x, y, w, h, space_w, font, font_size)``.
 The rules carry running state from glyph to glyph, so each page is read in
-order. :func:`arrange` brings pages together with one shuffle and one sort;
-every step after it is narrow and works on whole pages of Arrow batches at once.
+order. :func:`arrange` brings the pages of loose glyph rows together with one
+shuffle and one sort; a :class:`Source` gives the glyphs of rows that hold them
+inside the task, so that only those rows travel.
+Every step after it is narrow and works on whole pages of Arrow batches at once.
 What depends on the glyph before is an array operation over all of them; only
 glyphs with an equal one close by, accents with their neighbours, and changes of
 height within a line are looked at one by one.
@@ -66,18 +68,27 @@ class Stage:
     schema: T.StructType
 
 
+@dataclass(frozen=True)
+class Source:
+    """Glyphs from rows that hold many: ``run`` takes batches of rows, gathered and in order, and gives glyphs in order."""
+
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+    schema: T.StructType
+
+
 # Glyphs of whole pages worked on at once, at least.
 ROWS = 1 << 16
 
 
-def scan_pages(arranged: DataFrame, *builders: Callable[[T.StructType], Stage]) -> DataFrame:
+def scan_pages(arranged: DataFrame, *builders: Callable[[T.StructType], Stage], source: Source | None = None) -> DataFrame:
     """Run rules over arranged pages, all in one pass over the Arrow batches.
 
     Each builder gets the schema it reads and gives its stage; tables go from one
     stage to the next without leaving the task. A page that a batch ends in is
-    held back until it is whole.
+    held back until it is whole. With a ``source`` the rows are not glyphs but
+    what it takes them from.
     """
-    schema = arranged.schema
+    schema = source.schema if source else arranged.schema
     stages = []
     for build in builders:
         stages.append(build(schema))
@@ -95,7 +106,7 @@ def scan_pages(arranged: DataFrame, *builders: Callable[[T.StructType], Stage])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
-        for batch in batches:
+        for batch in source.run(batches) if source else batches:
             held.append(batch)
             rows += batch.num_rows
             if rows >= ROWS:
@@ -120,6 +131,9 @@ def changes(table: pa.Table, names) -> np.ndarray:
         if pa.types.is_floating(column.type):
             values = column.to_numpy()
             out[1:] |= (values[1:] != values[:-1]) & ~(np.isnan(values[1:]) & np.isnan(values[:-1]))
+        elif pa.types.is_integer(column.type) and not column.null_count:
+            values = column.to_numpy()
+            out[1:] |= values[1:] != values[:-1]
         else:
             codes = column.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
             out[1:] |= codes[1:] != codes[:-1]
@@ -145,6 +159,19 @@ def _replaced(table: pa.Table, name: str, values: pa.Array) -> pa.Table:
     return table.set_column(table.schema.get_field_index(name), name, values)
 
 
+def count_stage(*keys: str) -> Callable[[T.StructType], Stage]:
+    """Rows of each page counted by ``keys``, which name the page too; pages are whole, so these are all of them."""
+
+    def build(schema: T.StructType) -> Stage:
+        def run(table: pa.Table) -> pa.Table:
+            counts = table.group_by(list(keys), use_threads=False).aggregate([([], "count_all")])
+            return pa.table({**{k: counts.column(k) for k in keys}, "n": counts.column("count_all")})
+
+        return Stage(run, T.StructType([*(schema[k] for k in keys), T.StructField("n", T.LongType())]))
+
+    return build
+
+
 def rank_stage(schema: T.StructType) -> Stage:
     def run(table: pa.Table) -> pa.Table:
         first = changes(table, PAGE)
@@ -202,7 +229,22 @@ def overprint_stage(schema: T.StructType) -> Stage:
             at = at[_with_equal_close(page[at], code[at], x[at], y[at], float(near[at].max()))]
             if not len(at):
                 return table
-        drop = []
+        # glyphs far from all others of their kind in height, or in place, stand apart
+        kind, order = page[at] * (int(code.max()) + 1) + code[at], np.arange(len(at))
+        for value in (y[at], x[at]):
+            order = order[np.lexsort((value[order], kind[order]))]
+            parts = np.ones(len(at), bool)
+            parts[1:] = (np.diff(kind[order]) != 0) | (np.diff(value[order]) > 1.5 * near[at].max())
+            kind[order] = np.cumsum(parts)
+        size = np.bincount(kind)[kind]
+        # of two that meet the first is kept, whatever the others are
+        pairs = np.flatnonzero(size == 2)
+        pairs = pairs[np.argsort(kind[pairs], kind="stable")]
+        one, two = at[pairs[::2]], at[pairs[1::2]]
+        n = near[two]
+        close = [(v[two] - n <= v[one]) & (v[one] < v[two] + n) for v in (x, y)]
+        drop = two[close[0] & close[1]].tolist()
+        at = at[size > 2]
         kept: dict[tuple, list] = {}
         current = None
         # in order, as only kept glyphs count
@@ -460,11 +502,13 @@ def lines(placed: DataFrame) -> DataFrame:
     return scan_pages(placed, line_stage)
 
 
-def page_lines(ordered: DataFrame, overprints: bool = True, marks: bool = True) -> DataFrame:
-    """From glyphs in order to lines, in one pass over the columns that the rules read."""
-    ordered = ordered.drop("seq")
+def page_lines(
+    ordered: DataFrame, overprints: bool = True, marks: bool = True, *after: Callable[[T.StructType], Stage], source: Source | None = None
+) -> DataFrame:
+    """From glyphs in order to lines, in one pass over the columns that the rules read; ``after``: rules over the lines."""
+    ordered = ordered if source else ordered.drop("seq")
     before = [overprint_stage] * overprints + [mark_stage] * marks
-    return scan_pages(ordered, *before, place_stage, line_stage)
+    return scan_pages(ordered, *before, place_stage, line_stage, *after, source=source)
 
 
 # How a line stands to the one before it, and what that makes of it. States: plain,

@@ -14,7 +14,7 @@ height within a line are looked at one by one.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,9 +55,15 @@ def reorder(arranged: DataFrame, by_position: bool = False) -> DataFrame:
     return arranged.sortWithinPartitions(*PAGE, *section, *order)
 
 
-def sort_glyphs(glyphs: DataFrame) -> DataFrame:
-    """Glyphs with their rank by position on the page."""
-    return scan_pages(reorder(gather_pages(glyphs), by_position=True), rank_stage)
+def sort_glyphs(
+    glyphs: DataFrame, *before: Callable[[T.StructType], Stage], after: Sequence[Callable[[T.StructType], Stage]] = (), source: Source | None = None
+) -> DataFrame:
+    """Glyphs with their rank by position on the page; ``before`` and ``after``: rules of the same pass, over glyphs as drawn and as ranked.
+
+    Loose glyphs are gathered in drawing order; each page is then put in order by itself.
+    """
+    arranged = glyphs if source else arrange(glyphs)
+    return scan_pages(arranged, *before, order_stage("y", "x", "seq"), rank_stage, *after, source=source)
 
 
 @dataclass(frozen=True)
@@ -172,6 +178,25 @@ def count_stage(*keys: str) -> Callable[[T.StructType], Stage]:
     return build
 
 
+def order_stage(*columns: str) -> Callable[[T.StructType], Stage]:
+    """Glyphs of each page in order by section, if there is one, and by numeric ``columns``: nulls first, not-a-numbers last."""
+
+    def build(schema: T.StructType) -> Stage:
+        order = (["section"] if "section" in schema.fieldNames() else []) + list(columns)
+
+        def run(table: pa.Table) -> pa.Table:
+            keys = [np.cumsum(changes(table, PAGE))]
+            for name in order:
+                column = table.column(name).combine_chunks()
+                known = column.is_valid().to_numpy(zero_copy_only=False)
+                keys += [known, column.fill_null(0).to_numpy(zero_copy_only=False)] if column.null_count else [column.to_numpy()]
+            return table.take(pa.array(np.lexsort(keys[::-1])))
+
+        return Stage(run, schema)
+
+    return build
+
+
 def rank_stage(schema: T.StructType) -> Stage:
     def run(table: pa.Table) -> pa.Table:
         first = changes(table, PAGE)
@@ -303,6 +328,36 @@ def assign_sections(glyphs: DataFrame, beads: str | None = "beads") -> DataFrame
     return glyphs.withColumn("section", F.coalesce(first(inside), first(beside), F.size(beads) * 2, F.lit(0))).drop(beads)
 
 
+def section_stage(schema: T.StructType) -> Stage:
+    """As ``assign_sections`` by column ``beads``, over whole batches of glyphs."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, y = _floats(table, "x"), _floats(table, "y")
+        beads = table.column("beads").combine_chunks()
+        begin, none = beads.offsets.to_numpy()[:-1], beads.is_null().to_numpy(zero_copy_only=False)
+        size = np.where(none, 0, np.diff(beads.offsets.to_numpy()))
+        edge = {e: beads.values.field(e).cast(pa.float64()).to_numpy(zero_copy_only=False) for e in ("left", "bottom", "right", "top")}
+        missing = beads.values.is_null().to_numpy(zero_copy_only=False)
+        for values in edge.values():
+            if missing.any():
+                values[missing] = np.nan
+        inside, beside = np.full(len(x), -1, np.int32), np.full(len(x), -1, np.int32)
+        for i in range(int(size.max(initial=0))):
+            at = np.flatnonzero(size > i)
+            k = begin[at] + i
+            left, bottom, right, top = (edge[e][k] for e in ("left", "bottom", "right", "top"))
+            gx, gy = x[at], y[at]
+            hit = (gx >= left) & (gx <= right) & (gy >= bottom) & (gy <= top)
+            found = np.where(missing[k], 0, np.where(hit, 2 * i + 1, -1))
+            inside[at] = np.where(inside[at] < 0, found, inside[at])
+            beside[at] = np.where((beside[at] < 0) & ((gx < left) | (gy < top)), 2 * i, beside[at])
+        section = np.where(inside >= 0, inside, np.where(beside >= 0, beside, 2 * size)).astype(np.int32)
+        return table.drop_columns(["beads"]).append_column("section", pa.array(section))
+
+    rest = [f for f in schema.fields if f.name != "beads"]
+    return Stage(run, T.StructType([*rest, T.StructField("section", T.IntegerType())]))
+
+
 def is_mark(ch: str) -> bool:
     """A single accent: combining mark, modifier letter or modifier symbol."""
     return len(ch) == 1 and (ch > "\x7f" or ch in "^`") and unicodedata.category(ch) in ("Mn", "Lm", "Sk")

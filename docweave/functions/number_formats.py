@@ -350,7 +350,11 @@ def format_cells(cells: DataFrame, rules: DataFrame) -> DataFrame:
     own, so that nothing is computed twice.
     """
     own = cells.columns
-    joined = cells.join(rules.select(F.col("code").alias("_code"), "rules"), F.col("code") == F.col("_code"), "left")
+    # cells without a code, and those of a code that most cells have, are dealt over all tasks
+    salts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rules.select(F.col("code").alias("_code"), "rules", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_dealt"))
+    salted = cells.withColumn("_salt", F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int"))
+    joined = salted.join(dealt, (F.col("code") == F.col("_code")) & (F.col("_salt") == F.col("_dealt")), "left")
     number, section = F.col("_number"), F.col("_section")
     steps = joined.withColumn("_number", F.when(F.col("number"), F.col("value").try_cast("double")))
     steps = steps.withColumn("_section", _chosen(number, F.col("rules")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from docweave.functions.text import strip
 from docweave.operators.upsert import latest_of
@@ -73,10 +73,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def in_folders(rows: DataFrame, folders: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Rows in the folders listed; a missing database or table name is a folder too."""
-    named = folders.select(*[F.col(c).alias(f"_{c}") for c in PARTITIONS])
-    return rows.join(named, [rows[c].eqNullSafe(named[f"_{c}"]) for c in PARTITIONS], how)
+def folders_of(rows: DataFrame) -> list[tuple]:
+    """Database and table names that rows have: one entry a folder."""
+    return [tuple(r) for r in rows.select(*PARTITIONS).distinct().collect()]
+
+
+def in_folders(folders: list[tuple]) -> Column:
+    """Whether a row is in one of the folders; a missing database or table name is a folder too.
+
+    A condition on the names alone, so that a scan reads these folders only and no
+    rows are brought together by folder.
+    """
+    tables: dict = {}
+    for database, name in folders:
+        tables.setdefault(database, []).append(name)
+    database, name = (F.col(c) for c in PARTITIONS)
+    held = F.lit(False)
+    for key, names in tables.items():
+        named = F.coalesce(name.isin([n for n in names if n is not None]), F.lit(False))
+        held = held | (database.eqNullSafe(F.lit(key)) & (named | name.isNull() if None in names else named))
+    return held
 
 
 def upsert_documents(
@@ -100,13 +116,13 @@ def upsert_documents(
     ids = newest.select("unique_id")
     stored = read_documents(spark, path)
     touched = stored.select("unique_id", *PARTITIONS).join(ids, "unique_id", "left_semi").select(*PARTITIONS)
-    touched = touched.union(newest.select(*PARTITIONS)).distinct()
-    kept = in_folders(stored, touched).join(ids, "unique_id", "left_anti").select(*newest.columns)
+    touched = in_folders(folders_of(touched.union(newest.select(*PARTITIONS))))
+    kept = stored.where(touched).join(ids, "unique_id", "left_anti").select(*newest.columns)
     merged = kept.unionByName(newest).hint("rebalance", *PARTITIONS)
     write_documents(merged, f"{staging}/merged", mode="errorifexists")
     merged = read_documents(spark, f"{staging}/merged")
-    left = in_folders(stored.select(*PARTITIONS, F.col("_metadata.file_path").alias("file")), touched)
-    emptied = in_folders(left, merged.select(*PARTITIONS).distinct(), "left_anti").select("file").distinct().collect()
+    left = stored.select(*PARTITIONS, F.col("_metadata.file_path").alias("file")).where(touched)
+    emptied = left.where(~in_folders(folders_of(merged))).select("file").distinct().collect()
     merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *PARTITIONS
     ).parquet(path)

@@ -283,11 +283,14 @@ def quoted_records(
     entries = blocks.join(_entries(blocks, block, most), ["path", "block"])
     special = cut_lineage(_open_lines(entries, block, most), "open-lines")
     error = F.when(F.col("stray"), F.lit(f"quote not closed within {most} lines"))
-    alone = lines.join(special, ["path", "line_no"], "left").where("record IS NULL OR stray").select("path", "line_no", "line", error.alias("error"))
+    # lines meet their records once, then the other lines of their record; those of no record stay single
+    joins = F.col("record").isNotNull() & ~F.col("stray")
+    met = lines.join(special, ["path", "line_no"], "left").select("path", "line_no", "line", joins.alias("joins"), error.alias("error"), "record")
+    first = F.when(F.col("joins"), F.col("record")).otherwise(F.col("line_no")).alias("first")
     parts = F.sort_array(F.collect_list(F.struct("line_no", "line")))
-    several = lines.join(special.where("NOT stray"), ["path", "line_no"]).groupBy("path", "record").agg(parts.alias("l"))
-    several = several.select("path", F.col("record").alias("line_no"), F.array_join("l.line", "\n").alias("line"), F.lit(None).cast("string").alias("error"))
-    return alone.union(several)
+    rows = met.groupBy("path", first, "joins", "error").agg(parts.alias("l"))
+    texts = F.when(F.col("joins"), F.array(F.array_join("l.line", "\n"))).otherwise(F.col("l.line"))
+    return rows.select("path", F.col("first").alias("line_no"), F.explode(texts).alias("line"), "error")
 
 
 def skip_records(records: DataFrame, skip: int, most: int) -> DataFrame:

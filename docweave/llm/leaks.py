@@ -25,8 +25,6 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 # Share of an item's best possible score from which a passage counts as a copy.
 THRESHOLD = 0.6
 TABLE_BITS = 1 << 22
-# One document in so many is counted to find an item's common seeds.
-COUNTED = 16
 
 WORD = np.zeros(256, bool)
 WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -150,6 +148,26 @@ def seed_places(docs: DataFrame, table: np.ndarray, sizes: list[int]) -> DataFra
     return docs.mapInArrow(read, "_id long, _key long, place long, seed long")
 
 
+def seed_counts(docs: DataFrame, table: np.ndarray, sizes: list[int]) -> DataFrame:
+    """(seed, n): how often each seed of the items stands in keyed texts, in all of them.
+
+    Counted in the task first, so a seed travels once for each slice of documents.
+    """
+    packed = np.packbits(table)
+
+    def read(batches: Iterator[pa.RecordBatch]):
+        bits = np.unpackbits(packed).astype(bool)
+        for _, data, offs in slices(batches):
+            words, first = _words(data, offs)
+            for size in sizes:
+                grams = _grams(words, first, size)[1]
+                seed, n = np.unique(grams[_marked(grams, bits)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(n, pa.int64())], ["seed", "n"])
+
+    counts = docs.select(F.lower("text").alias("text")).mapInArrow(read, "seed long, n long")
+    return counts.groupBy("seed").agg(F.sum("n").alias("n"))
+
+
 def marked_texts(docs: DataFrame, table: np.ndarray) -> DataFrame:
     """(_id, _key, words): word hashes of the keyed texts whose key may be in the bit table."""
     packed = np.packbits(table)
@@ -219,9 +237,8 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
     grams = grams.select("item_id", "version", "need", "span", F.col("each.seeds").alias("seed"), F.col("each.times").alias("times"))
     sizes = items.agg(F.min("size"), F.max("size")).first()
     sizes = list(range(sizes[0] or 1, (sizes[1] or 0) + 1))
-    # A part of the documents tells which seeds are common; that decides on the work only.
-    some = seed_places(docs.filter(f"pmod(_key, {COUNTED}) = 0"), bit_table(grams), sizes)
-    grams = cut_lineage(rare_seeds(grams, some.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))), "seeds")
+    # Which seeds are common decides on the work only; all documents are counted.
+    grams = cut_lineage(rare_seeds(grams, seed_counts(docs, bit_table(grams), sizes)), "seeds")
     places = seed_places(docs, bit_table(grams), sizes)
     # Windows of two spans that begin at each multiple of the span: a copy lies within one of them.
     slot = F.expr("place div span")

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from docweave.functions.text import TOKEN, bind, extract_tokens, running_total, tokens
+from docweave.functions.text import extract_tokens, tokens
+
+# Tokens whose places are held at once, or those of one document.
+VECTOR_TOKENS = 1 << 18
 
 FACETS = ("database_nm", "table_nm", "source_nm", "media_format")
 
@@ -104,45 +110,77 @@ def leading_wildcard(token_table: DataFrame, suffix: str) -> DataFrame:
 def term_vectors(docs: DataFrame, key: str, text: str, offsets: bool = True) -> DataFrame:
     """Token, frequency, positions and character offsets per document.
 
-    Tokens of a document are sorted and cut into runs inside its row, so a
-    document of any length costs about n log n and nothing is shuffled.
+    Texts are taken apart by Spark, the places of equal tokens are gathered inside
+    the task, many documents at once: a document of any length costs as much as its
+    tokens are sorted for, and nothing is shuffled.
     """
-
-    def placed(words: Column, gaps: Column | None) -> Column:
-        parts = [words.alias("token"), F.sequence(F.lit(0), F.size(words) - 1).alias("pos")]
-        if gaps is not None:
-            steps = F.zip_with(words, F.slice(gaps, 1, F.size(words)), lambda w, g: F.length(w) + F.length(g))
-            starts = F.zip_with(
-                running_total(steps.cast("array<bigint>")), F.slice(gaps, 1, F.size(words)), lambda n, g: n + F.length(g)
-            )
-            parts.append(starts.alias("offset"))
-        return F.arrays_zip(*parts)
-
-    def runs(s: Column) -> Column:
-        # where a new token begins among the sorted ones, closed by the length
-        opens = F.filter(
-            F.sequence(F.lit(0), F.size(s) - 1),
-            lambda i: (i == 0) | (F.get(s, i)["token"] != F.get(s, i - 1)["token"]),
-        )
-        return bind(
-            F.concat(opens, F.array(F.size(s))),
-            lambda cut: F.transform(
-                F.slice(cut, 1, F.size(cut) - 1),
-                lambda a, k: F.slice(s, a + 1, F.get(cut, k + 1) - a),
-            ),
-        )
-
-    def vector(words: Column) -> Column:
-        gaps = F.split(F.col("_low"), TOKEN, -1) if offsets else None
-        return F.when(F.size(words) > 0, bind(F.sort_array(placed(words, gaps)), runs))
-
-    low = docs.select(key, F.lower(F.col(text)).alias("_low"))
-    run = low.select(key, F.explode(bind(extract_tokens(F.col("_low")), vector)).alias("_run"))
-    return run.select(
-        key,
-        F.col("_run")[0]["token"].alias("token"),
-        F.size("_run").cast("long").alias("freq"),
-        F.col("_run")[0]["pos"].cast("long").alias("first_pos"),
-        F.col("_run")["pos"].alias("positions"),
-        *([F.col("_run")["offset"].alias("offsets")] if offsets else []),
-    )
+    low = docs.select(F.col(key).alias("key"), F.lower(F.col(text)).alias("low"))
+    words = low.select("key", extract_tokens(F.col("low")).alias("words"), *(["low"] if offsets else []))
+    fields = [T.StructField("key", low.schema["key"].dataType), T.StructField("token", T.StringType())]
+    fields += [T.StructField(name, T.LongType()) for name in ("freq", "first_pos")]
+    fields += [T.StructField("positions", T.ArrayType(T.IntegerType()))]
+    fields += [T.StructField("offsets", T.ArrayType(T.LongType()))] if offsets else []
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            upto = np.cumsum([0, *pc.fill_null(pc.list_value_length(batch.column("words")), 0).to_pylist()])
+            at = 0
+            while at < batch.num_rows:  # so many documents at once that their tokens stay few
+                to = max(at + 1, int(np.searchsorted(upto, upto[at] + VECTOR_TOKENS, side="right")) - 1)
+                part = batch.slice(at, to - at)
+                yield _vectors(part.column("key"), part.column("words"), part.column("low") if offsets else None)
+                at = to
+
+    out = words.mapInArrow(vectors, T.StructType(fields))
+    return out.withColumnRenamed("key", key)
+
+
+def _points(column: pa.Array) -> np.ndarray:
+    """Code points of all strings, one after the other."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    _, ends, body = column.buffers()
+    first, last = np.frombuffer(ends, np.int64)[[column.offset, column.offset + len(column)]].tolist()
+    text = body.slice(first, last - first).to_pybytes() if last > first else b""
+    return np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
+
+
+def _starts(distinct: pa.Array, lows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where tokens begin, and where each text does, in code points of all texts.
+
+    A token is a whole run, so a character is part of one if some token has it.
+    """
+    part = np.zeros(0x110000, bool)
+    part[_points(distinct)] = True
+    inside = part[_points(lows)]
+    first = np.cumsum([0, *pc.fill_null(pc.utf8_length(lows), 0).to_pylist()])
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    border = first[:-1][first[:-1] < len(inside)]
+    opens[border] = inside[border]
+    return np.flatnonzero(opens), first
+
+
+def _vectors(keys: pa.Array, words: pa.Array, lows: pa.Array | None) -> pa.RecordBatch:
+    """A row for each distinct token of each document."""
+    counts = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    named = words.flatten().dictionary_encode()
+    doc = np.repeat(np.arange(len(counts)), counts)
+    pos = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+    group = doc * len(named.dictionary) + named.indices.to_numpy()
+    order = np.argsort(group, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = group[order][1:] != group[order][:-1]
+    begin = np.flatnonzero(new)
+    ends, first = np.append(begin, len(order)), order[begin]
+    lists = pa.array(ends, pa.int32())
+    columns = {
+        "key": keys.take(pa.array(doc[first])),
+        "token": named.dictionary.take(named.indices.take(pa.array(first))),
+        "freq": pa.array(np.diff(ends), pa.int64()),
+        "first_pos": pa.array(pos[first], pa.int64()),
+        "positions": pa.ListArray.from_arrays(lists, pa.array(pos[order], pa.int32())),
+    }
+    if lows is not None:
+        at, text = _starts(named.dictionary, lows)
+        columns["offsets"] = pa.ListArray.from_arrays(lists, pa.array((at - text[doc])[order], pa.int64()))
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))

@@ -254,6 +254,18 @@ def table_to_documents(
     )
 
 
+def greatest_sql(df: DataFrame, kinds: Mapping[str, str] | None = None, dialect: str = "spark") -> tuple[str, str]:
+    """Greatest date (microseconds) and greatest amount of the document of a row, before it is one."""
+    plans = plan_columns(df, kinds, dialect=dialect)
+
+    def greatest(columns: list[str], kind: str) -> str:
+        values = [f"CAST({quoted(c)} AS {kind})" for c in columns]
+        return f"array_max(array({', '.join(values)}))" if values else f"CAST(NULL AS {kind})"
+
+    date = greatest([p.column for p in plans if p.route.date], "TIMESTAMP")
+    return f"unix_micros({date})", greatest([p.column for p in plans if p.route.money], "DOUBLE")
+
+
 def typed_fields(df: DataFrame, key: str, kinds: Mapping[str, str] | None = None, dialect: str = "spark") -> DataFrame:
     """Long form of the routing: one row per row and column with a value."""
     types = {f.name: f.dataType for f in df.schema.fields}

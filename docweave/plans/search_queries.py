@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from docweave.functions import text as tx
 from docweave.operators import search
-from docweave.plans.inputs import KEYS, TABLES, documents_of, spread, sql_id, table, union_all
+from docweave.plans.inputs import KEYS, KINDS, TABLES, documents_of, spread, sql_id, table, union_all
 from docweave.plans.registry import query
 from docweave.session import new_path
 from docweave.sinks import store
@@ -90,7 +92,9 @@ def filter_any_money(spark, d):
 def filter_stored(spark, d):
     """Both filters over stored documents of all tables with dates or amounts, in the order that serves both."""
     path = new_path(spark, "clustered")
-    store.write_documents(store.clustered(unified(spark, d, sorted({*DATED, *PRICED}))), path)
+    names = sorted({*DATED, *PRICED})
+    tables = [(table(spark, d, n), KINDS.get(n), partial(documents_of, spark, d, n)) for n in names]
+    store.write_documents(store.clustered_tables(tables), path, folders=len(names))
     held = store.read_documents(spark, path)
     dates = _found(search.filter_any_date(held, "1997-03-01", "1997-09-01")).select(F.lit("date").alias("kind"), "*")
     return dates.union(_found(search.filter_any_money(held, 1000, 2500)).select(F.lit("money").alias("kind"), "*"))

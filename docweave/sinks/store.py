@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from docweave.functions.text import strip
+from docweave.operators.tables import greatest_sql, quoted
 from docweave.operators.upsert import latest_of
 from docweave.schema import BOUNDS, DOCUMENT, STORED, with_bounds
 from docweave.session import new_path, remove_path
 
 PARTITIONS = ("database_nm", "table_nm")
+# Names while rows are put in order; no column is called these.
+_DATE, _MONEY, _PLACE = "__docweave_date", "__docweave_money", "__docweave_place"
 
 
 def clustered(documents: DataFrame, bits: int = 6) -> DataFrame:
@@ -29,34 +33,77 @@ def clustered(documents: DataFrame, bits: int = 6) -> DataFrame:
     # nothing of the id is added: a constant name would be folded out of the order, with the same effect
     nothing = F.left(F.coalesce("unique_id", F.lit("")), F.lit(0))
     named = documents.withColumns({c: F.concat(F.coalesce(c, F.lit("")), nothing) for c in PARTITIONS})
-    bounded = named.selectExpr("*", f"double({BOUNDS['micros_max']}) AS _date", f"{BOUNDS['money_max']} AS _money")
+    bounded = named.selectExpr("*", f"double({BOUNDS['micros_max']}) AS {_DATE}", f"{BOUNDS['money_max']} AS {_MONEY}")
+    keyed = bounded.withColumn(_PLACE, _place(_cuts(bounded, bits), bits))
+    ranged = keyed.repartitionByRange(*PARTITIONS, _PLACE, "unique_id")
+    return ranged.sortWithinPartitions(*PARTITIONS, _PLACE).drop(_DATE, _MONEY, _PLACE)
+
+
+def clustered_tables(
+    tables: Sequence[tuple[DataFrame, Mapping[str, str] | None, Callable[[DataFrame], DataFrame]]], bits: int = 6
+) -> DataFrame:
+    """Documents of whole tables in the order of ``clustered``; what travels are the rows of the tables.
+
+    For each table its rows, the kinds of its columns, and what makes documents of
+    rows, a projection. A document is many times its row, so rows are put in order
+    and documents are made behind the shuffle. Ties are split by a hash of the row.
+    Each task has documents of one table: write them with ``folders``, else the
+    writer sorts them anew.
+    """
+    bounded = []
+    for rows, kinds, _ in tables:
+        date, money = greatest_sql(rows, kinds)
+        bounded.append(rows.selectExpr("*", f"double({date}) AS {_DATE}", f"{money} AS {_MONEY}"))
+    place = _place(_cuts(reduce(DataFrame.union, [b.select(_DATE, _MONEY) for b in bounded]), bits), bits)
+    parts = []
+    for keyed, (rows, _, documents) in zip(bounded, tables):
+        plain = [quoted(f.name) for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        keyed = keyed.withColumn(_PLACE, place).drop(_DATE, _MONEY)
+        ranged = keyed.repartitionByRange(_PLACE, F.xxhash64(*plain) if plain else F.lit(0))
+        parts.append(documents(ranged.sortWithinPartitions(_PLACE).drop(_PLACE)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cuts(bounded: DataFrame, bits: int):
+    """Quantiles of the greatest dates and amounts."""
     parts = 1 << bits
     shares = [i / parts for i in range(1, parts)]
-    cuts = bounded.agg(*[F.percentile_approx(c, shares, 100 * parts).alias(c) for c in ("_date", "_money")]).first()
+    return bounded.agg(*[F.percentile_approx(c, shares, 100 * parts).alias(c) for c in (_DATE, _MONEY)]).first()
+
+
+def _place(cuts, bits: int) -> Column:
+    """Places among the quantiles of both columns, their bits taking turns."""
 
     def place(name: str):
         if not cuts[name]:
             return F.lit(0)
         return F.when(F.col(name).isNull(), 0).otherwise(F.size(F.filter(F.lit(cuts[name]), lambda cut: cut <= F.col(name))))
 
-    places = [F.shiftright(place(c), i).bitwiseAND(1) * (1 << (2 * i + k)) for k, c in enumerate(("_date", "_money")) for i in range(bits)]
-    keyed = bounded.withColumn("_place", sum(places[1:], places[0]))
-    ranged = keyed.repartitionByRange(*PARTITIONS, "_place", "unique_id")
-    return ranged.sortWithinPartitions(*PARTITIONS, "_place").drop("_date", "_money", "_place")
+    places = [F.shiftright(place(c), i).bitwiseAND(1) * (1 << (2 * i + k)) for k, c in enumerate((_DATE, _MONEY)) for i in range(bits)]
+    return sum(places[1:], places[0])
 
 
-def write_documents(documents: DataFrame, path: str, mode: str = "append", row_group: int | None = None) -> None:
+def write_documents(documents: DataFrame, path: str, mode: str = "append", row_group: int | None = None, folders: int | None = None) -> None:
     """Store documents, a folder per database and table.
 
     Facets and delta counts then read only the folders they name. Rows are not
     gathered by table first: every task writes its own files, so a table holding
     most rows is no bottleneck. Bounds of dates and amounts are stored beside them;
     ``clustered`` documents let a range filter leave out most files and row groups.
-    ``row_group``: bytes of a row group, where the default is not wanted.
+    ``row_group``: bytes of a row group, where the default is not wanted. ``folders``:
+    a task with documents of so many folders at most writes them as they come,
+    without sorting them by folder; one with more sorts.
     """
     documents = with_bounds(documents.drop(*BOUNDS))
-    sized = {"parquet.block.size": row_group} if row_group else {}
-    documents.write.mode(mode).options(**sized).partitionBy(*PARTITIONS).parquet(path)
+    # ids are hex digits, which only an entropy coder makes smaller
+    sized = {"compression": "zstd"} | ({"parquet.block.size": row_group} if row_group else {})
+    conf, name = documents.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    try:
+        conf.set(name, str(folders or before))
+        documents.write.mode(mode).options(**sized).partitionBy(*PARTITIONS).parquet(path)
+    finally:
+        conf.set(name, before)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

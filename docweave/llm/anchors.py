@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docweave.llm.census import PACKED_SCHEMA, census, packed_rows, unpacked
+from docweave.llm.census import census, packed_rows, unpacked
 from docweave.llm.tables import keyed, real_id, shielded
 from docweave.llm.texts import covered, ranges, slices, window_hashes, word_hashes, word_spans
 
@@ -86,10 +86,10 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             upto = np.cumsum([len(k) for k in keys])[:-1]
             yield packed_rows(batch, metas, np.split(flat, upto))
 
-    shared = census(docs.mapInArrow(anchors, PACKED_SCHEMA), "twice", exact=False)
+    shared = census(docs, "twice", exact=False, make=anchors)
     shared = shared.select("_id", "_key", "bits").dropDuplicates(["_id", "_key"])
     near = docs.dropDuplicates(["_id", "_key"]).join(shared, ["_id", "_key"])
-    return census(near.mapInArrow(extended, PACKED_SCHEMA), "earlier")
+    return census(near, "earlier", make=extended)
 
 
 def _removal(data, offs, metas, bits, window):

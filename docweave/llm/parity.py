@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docweave.llm.census import PACKED_SCHEMA, census, packed_rows
+from docweave.llm.census import census, packed_rows
 from docweave.llm.components import components
 from docweave.llm.tables import drop_table, fill, keyed, real_id, shielded
 from docweave.llm.texts import BYTE_CODE, LOWER, give_back, mix, prefix_sums, ranges, slices, span_hash, word_spans
@@ -194,7 +194,7 @@ def candidate_links(rows: DataFrame, size: int, bands: Bands) -> DataFrame:
             if at:
                 yield packed_rows(batch, metas, out, at)
 
-    answers = census(rows.mapInArrow(keys, PACKED_SCHEMA), "twice", exact=False, values=True)
+    answers = census(rows, "twice", exact=False, values=True, make=keys)
     # One row per set and band: equal sets have equal keys.
     name = F.expr("substring(meta, 1, 24)").alias("name")
     found = answers.groupBy(name).agg(F.first("meta").alias("meta"), F.first("bits").alias("bits"))

@@ -16,11 +16,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from docweave.llm.tables import held_out, labelled_sample, prior_shift, shielded
-from docweave.llm.texts import BYTE_CODE, LOWER, mix, prefix_sums, slices, span_hash, word_spans
+from docweave.llm.tables import drop_table, held_out, labelled_sample, prior_shift, shielded
+from docweave.llm.texts import BYTE_CODE, LOWER, give_back, mix, prefix_sums, slices, span_hash, word_spans
+from docweave.session import cut_lineage
 
 # Documents of each label to learn from, at most.
 SAMPLE = 3000
+# Documents of the sample that a feature needs to be learned.
+LEAST = 5
+# Parts in which the sample is put in order and fetched.
+PARTS = 8
 FACTORS = 4
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 
@@ -79,25 +84,37 @@ def terms(data: np.ndarray, offs: np.ndarray, known: np.ndarray | None) -> tuple
     return doc[new], out[new]
 
 
-def train(
-    rows: list[tuple[np.ndarray, int]],
+def places(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where in ``known`` (sorted) the hashes stand; those not in it are left out."""
+    at = np.searchsorted(known, hashes)
+    has = at < len(known)
+    has[has] = known[at[has]] == hashes[has]
+    return at[has]
+
+
+def train(rows: list[tuple[np.ndarray, int]], least: int = LEAST, **how) -> Machine:
+    """``fit`` to (feature hashes, label); features of fewer than ``least`` rows are left out."""
+    flat = np.concatenate([r[0] for r in rows]) if rows else np.empty(0, np.uint64)
+    features, n = np.unique(flat, return_counts=True)
+    features = features[n >= least]
+    return fit(features, [places(features, r[0]) for r in rows], np.array([r[1] for r in rows], np.float64), **how)
+
+
+def fit(
+    features: np.ndarray,
+    sets: list[np.ndarray],
+    labels: np.ndarray,
     epochs: int = 6,
     rate: float = 0.05,
-    least: int = 5,
     shrink: float = 0.05,
     factor_share: float = 0.02,
 ) -> Machine:
-    """Fit to (feature hashes, label) by stochastic gradient on the logistic loss.
+    """Fit by stochastic gradient on the logistic loss; ``sets``: places in ``features`` for each label.
 
-    Features of fewer than ``least`` rows are left out. After each epoch weights
-    are shrunk towards 0 (``shrink``), which clears those that only fit single
-    documents. Factors learn at ``factor_share`` of the rate: a text has many more
-    pairs than terms. The order is fixed.
+    After each epoch weights are shrunk towards 0 (``shrink``), which clears those
+    that only fit single documents. Factors learn at ``factor_share`` of the rate:
+    a text has many more pairs than terms. The order is fixed.
     """
-    labels = np.array([r[1] for r in rows], np.float64)
-    flat = np.concatenate([r[0] for r in rows]) if rows else np.empty(0, np.uint64)
-    features, n = np.unique(flat, return_counts=True)
-    features = features[n >= least]
     rng = np.random.default_rng(17)
     share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.25
     machine = Machine(
@@ -106,13 +123,9 @@ def train(
     if len(features) == 0 or len(set(labels)) < 2:
         machine.bias = min(machine.bias, -0.01) if not labels.all() or not len(labels) else machine.bias
         return machine
-    sets = []
-    for hashes, _ in rows:
-        place = np.minimum(np.searchsorted(features, hashes), len(features) - 1)
-        sets.append(place[features[place] == hashes])
     for epoch in range(epochs):
         step = rate / (1 + epoch / 2)
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(sets))
         for a in range(0, len(order), 16):
             some = order[a : a + 16]
             doc = np.repeat(np.arange(len(some)), [len(sets[i]) for i in some])
@@ -134,6 +147,9 @@ def learned(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Machine:
     """A machine learned from lower-cased documents labelled toxic or not, held-out ones left aside.
 
     Its bias is set to the share of toxic labels among all that are not held out.
+    Features are counted, and documents put in order, by Spark: the driver gets
+    the features of at least ``LEAST`` documents, and four bytes for each that a
+    document has, part by part.
     """
 
     def features(batches: Iterator[pa.RecordBatch]):
@@ -145,10 +161,38 @@ def learned(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Machine:
                 ["hashes", "label"],
             )
 
+    def counts(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            hashes = np.frombuffer(b"".join(batch.column("hashes").to_pylist()), np.int64)
+            feature, n = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(feature), pa.array(n)], ["feature", "n"])
+
+    def packed(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column("feature").to_numpy().tobytes()], pa.binary())], ["packed"])
+
+    def placed(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            at = [places(known, np.frombuffer(h, np.uint64)) for h in batch.column("hashes").to_pylist()]
+            at = pa.array([x.astype(np.uint32).tobytes() for x in at], pa.binary())
+            yield pa.RecordBatch.from_arrays([at, batch.column("label")], ["places", "label"])
+
     sample = labelled_sample(docs, labels, "toxic", most).mapInArrow(features, "hashes binary, label int")
-    rows = sorted((bytes(r.hashes), r.label) for r in sample.collect())  # at most 2 * most rows
-    machine = train([(np.frombuffer(h, np.uint64), y) for h, y in rows])
+    sample = cut_lineage(sample, "sample")  # at most 2 * most rows
+    common = sample.mapInArrow(counts, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    common = common.filter(F.col("n") >= LEAST).select("feature").mapInArrow(packed, "packed binary")
+    known = np.sort(np.frombuffer(b"".join(bytes(r.packed) for r in common.toLocalIterator()), np.uint64))
+    # Ranges are dealt by a prefix: the bounds of an order by all hashes would be a sample of whole rows in the driver.
+    ordered = sample.repartitionByRange(PARTS, F.substring("hashes", 1, 16)).sortWithinPartitions("hashes", "label")
+    sets, toxic = [], []
+    for row in ordered.mapInArrow(placed, "places binary, label int").toLocalIterator():
+        sets.append(np.frombuffer(row.places, np.uint32))
+        toxic.append(row.label)
+    drop_table(sample)
+    machine = fit(known, sets, np.array(toxic, np.float64))
     machine.bias += prior_shift(docs, labels, "toxic", most)
+    del sets
+    give_back()
     return machine
 
 

@@ -47,6 +47,9 @@ EXTENSIONS = [
     ("txt", "text/plain"),
 ]
 
+# Leading bytes that are looked at.
+HEAD = 64
+
 # Bytes (hex) that text does not have: control bytes but blanks, form feed and escape.
 CONTROL = "^(?:..)*(?:0[0-8EF]|1[0-9ACDEF]|7F)"
 
@@ -69,7 +72,7 @@ def media_type(content: Column, path: Column) -> Column:
 
     ``content`` is binary. Only the first bytes are looked at.
     """
-    head = F.hex(F.substring(content, 1, 64))
+    head = F.hex(F.substring(content, 1, HEAD))
     ext = F.lower(F.regexp_extract(path, r"\.([^./?#]+)(?:[?#].*)?$", 1))
     by_ext = F.lit(None).cast("string")
     for name, kind in reversed(EXTENSIONS):

@@ -15,11 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from docweave.llm.census import census, packed_rows, unpacked
 from docweave.llm.tables import keyed, real_id, shielded
-from docweave.llm.texts import covered, ranges, slices, window_hashes, word_hashes, word_spans
+from docweave.llm.texts import batch_slices, covered, give_back, ranges, slices, window_hashes, word_hashes, word_spans
 
 # Perfect difference sets (fixed values): period and cover places.
 COVERS = {
@@ -42,7 +43,9 @@ def _anchor_places(counts: np.ndarray, window: int, period: int, cover: tuple[in
     usable = np.where(counts >= window, counts - size + 1, 0)
     text = np.repeat(np.arange(len(counts)), usable)
     place = ranges(np.zeros(len(counts), np.int64), usable)
-    at = np.isin(place % period, cover)
+    here = np.zeros(period, bool)
+    here[list(cover)] = True
+    at = here[place % period]
     return text[at], place[at]
 
 
@@ -88,7 +91,8 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
 
     shared = census(docs, "twice", exact=False, make=anchors)
     shared = shared.select("_id", "_key", "bits").dropDuplicates(["_id", "_key"])
-    near = docs.dropDuplicates(["_id", "_key"]).join(shared, ["_id", "_key"])
+    # Joined first: only texts that share an anchor are told apart from their copies.
+    near = docs.join(shared, ["_id", "_key"]).dropDuplicates(["_id", "_key"])
     return census(near, "earlier", make=extended)
 
 
@@ -158,31 +162,40 @@ def cut_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     such a column, follows the new text. Null texts stay null.
     """
 
-    def cut(batches):
-        for batch, data, offs in slices(batches):
-            metas, bits = batch.column("meta").to_pylist(), batch.column("bits").to_pylist()
+    def cut_texts(batch: pa.RecordBatch) -> list[bytes]:
+        texts = []
+        for part, data, offs in batch_slices(batch):
+            metas, bits = part.column("meta").to_pylist(), part.column("bits").to_pylist()
             starts, ends, first, gone = _removal(data, offs, metas, bits, window)
-            body, texts = data.tobytes(), []
-            for i in range(batch.num_rows):
+            body = data.tobytes()
+            for i in range(part.num_rows):
                 a, b = first[i], first[i + 1]
                 at, end = offs[i], offs[i + 1]
                 edges = np.append(starts[a:b], end)
                 keep = np.flatnonzero(np.diff(np.concatenate(([0], (~gone[a:b]).astype(np.int8), [0]))))
                 head = body[at : edges[0]] if b > a and not gone[a] else b""
                 texts.append(head + b"".join(body[edges[s] : edges[e]] for s, e in zip(keep[::2], keep[1::2])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_key"), pa.array(texts, pa.binary()).cast(pa.string())],
-                ["_id", "_key", "_cut"],
-            )
+        return texts
+
+    def cut(batches):
+        for batch in batches:
+            told = batch.column("bits").is_valid()
+            texts = pa.array(cut_texts(batch.filter(told)), pa.binary()).cast(batch.column("text").type)
+            new = pc.replace_with_mask(batch.column("text"), told, texts)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), new, told], [*names, "text", "_cut"])
+        give_back()
 
-    rows = keyed(docs)
-    found = repeated_windows(rows, window).dropDuplicates(["_id", "_key"])
-    new = rows.dropDuplicates(["_id", "_key"]).join(found, ["_id", "_key"])
-    new = new.mapInArrow(cut, "_id long, _key long, _cut string")
     own, back = shielded(docs)
-    out = own.join(new, ["_id", "_key"], "left")
-    changed = {"text": F.coalesce("_cut", "text")}
+    names = [f"own{i}" for i, c in enumerate(docs.columns) if c != "text"]
+    found = repeated_windows(keyed(docs), window).dropDuplicates(["_id", "_key"])
+    # One join and one pass over whole rows: texts are shuffled once, copies of a row are cut alike.
+    rows = own.select(*names, "_id", "_key", "text").join(found, ["_id", "_key"], "left")
+    fields = [own.schema[c] for c in (*names, "text")]
+    out = rows.select(*names, "text", "meta", "bits").mapInArrow(
+        cut, T.StructType([*fields, T.StructField("_cut", T.BooleanType())])
+    )
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        length = F.length("_cut").cast(docs.schema["n_chars"].dataType)
-        changed["n_chars"] = F.when(F.col("_cut").isNull(), F.col(f"own{docs.columns.index('n_chars')}")).otherwise(length)
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("_cut"), length).otherwise(F.col(f"own{docs.columns.index('n_chars')}"))
     return back(out, **changed)

@@ -27,6 +27,8 @@ from docweave.session import cut_lineage
 
 # Sets of one task when a group of candidates is too large for one.
 TILE = 4096
+# Pairs of sketches that are compared at once.
+PAIRS = 1 << 13
 # Bytes of sketches in a task, and sets in a task that compares sets.
 CELL_BYTES = 8 << 20
 SETS_PER_TASK = 1000
@@ -82,8 +84,9 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndar
     begin = ranges(first[:-1], usable)
     end = np.minimum(begin + size, first[1:][text])
     hashes = span_hash(prefix_sums(words), begin, end)
-    order = np.lexsort((hashes, text))
-    text, hashes = text[order], hashes[order]
+    ends = np.cumsum(usable).tolist()
+    for a, b in zip([0, *ends], ends):
+        hashes[a:b].sort()
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
     text, hashes = text[new], hashes[new]
@@ -99,12 +102,20 @@ def set_ids(hashes: np.ndarray, begin: np.ndarray) -> list[bytes]:
     return [a.tobytes() + b.tobytes() for a, b in zip(*halves)]
 
 
-def sketch(hashes: np.ndarray, blocks: int) -> np.ndarray:
-    """Parity sketch of a set: a 64-bit word per block of hash space."""
+def _used_blocks(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks of hash space that sorted hashes fall in, and where those of each begin."""
     block = ((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    new = np.ones(len(block), bool)
+    np.not_equal(block[1:], block[:-1], out=new[1:])
+    first = new.nonzero()[0]
+    return block[first].astype(np.int64), first
+
+
+def sketch(hashes: np.ndarray, blocks: int, at: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Parity sketch of a set: a 64-bit word per block of hash space. ``at``: its used blocks, if known."""
     out = np.zeros(blocks, np.uint64)
-    used, first = np.unique(block, return_index=True)  # hashes are sorted, so blocks are
-    out[used.astype(np.int64)] = np.bitwise_xor.reduceat(np.uint64(1) << (hashes & np.uint64(63)), first)
+    used, first = at or _used_blocks(hashes, blocks)
+    out[used] = np.bitwise_xor.reduceat(np.uint64(1) << (hashes & np.uint64(63)), first)
     return out
 
 
@@ -115,19 +126,18 @@ def _folded(words: np.ndarray) -> np.ndarray:
     return words.astype(np.uint16)
 
 
-def _block_keys(hashes: np.ndarray, blocks: int, band: int, allowed: int) -> np.ndarray:
-    """Join keys of the blocks, the xor of all hashes in each; empty ones only where too few others are left.
+def _block_keys(mixed: np.ndarray, at: tuple[np.ndarray, np.ndarray], blocks: int, band: int, allowed: int) -> np.ndarray:
+    """Join keys of the blocks, the xor of all mixed hashes in each; empty ones only where too few others are left.
 
     A block that no difference falls in has the same shingles, so the same xor;
     the whole hashes keep blocks of few shingles apart, whose sketch words are
     often alike by chance.
     """
-    block = ((hashes >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-    used, first = np.unique(block, return_index=True)
+    used, first = at
     out = np.zeros(blocks, np.uint64)
-    out[used.astype(np.int64)] = np.bitwise_xor.reduceat(mix(hashes), first)
+    out[used] = np.bitwise_xor.reduceat(mixed, first)
     keys = mix(mix(out ^ np.uint64(band + 1 << 40)) + np.arange(blocks, dtype=np.uint64))
-    return keys[used.astype(np.int64)] if len(used) > allowed else keys
+    return keys[used] if len(used) > allowed else keys
 
 
 class _Forest:
@@ -147,12 +157,27 @@ class _Forest:
         self.up[max(a, b)] = min(a, b)
 
 
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which rows of sketches differ."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+
+
 def _close(sketches: np.ndarray, sizes: np.ndarray, one: int, others: np.ndarray, bands: Bands) -> np.ndarray:
-    """Which of ``others`` may link with ``one`` by size and sketch."""
+    """Which of ``others`` may link with ``one`` by size and sketch.
+
+    Most sets that only share a block differ too much in the first part of their
+    sketches already; the rest is looked at for the others.
+    """
     small, large = np.minimum(sizes[one], sizes[others]), np.maximum(sizes[one], sizes[others])
-    fit = others[100 * small >= bands.percent * large]
-    far = np.bitwise_count(sketches[fit] ^ sketches[one]).sum(axis=1, dtype=np.int64)
-    return fit[far <= bands.apart(np.minimum(sizes[one], sizes[fit]))]
+    sized = 100 * small >= bands.percent * large
+    fit, most = others[sized], bands.apart(small[sized])
+    part = -(-sketches.shape[1] // 3)
+    far = _differing(sketches[fit, :part], sketches[one, :part])
+    near = far <= most
+    fit, most, far = fit[near], most[near], far[near]
+    if not len(fit):
+        return fit
+    return fit[far + _differing(sketches[fit, part:], sketches[one, part:]) <= most]
 
 
 def _spread(members: np.ndarray, forest: _Forest, near) -> None:
@@ -173,6 +198,52 @@ def _spread(members: np.ndarray, forest: _Forest, near) -> None:
             rest = rest[~np.isin(rest, found)] if len(found) else rest
 
 
+def _near_pairs(words: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, bands: Bands):
+    """The pairs of places ``x`` and ``y`` that may link by size and sketch."""
+    part = -(-words.shape[1] // 3)
+    for a in range(0, len(x), PAIRS):
+        i, j = x[a : a + PAIRS], y[a : a + PAIRS]
+        small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+        fit = 100 * small >= bands.percent * large
+        i, j, most = i[fit], j[fit], bands.apart(small[fit])
+        far = _differing(words[i, :part], words[j, :part])
+        near = far <= most
+        i, j, most, far = i[near], j[near], most[near], far[near]
+        near = far + _differing(words[i, part:], words[j, part:]) <= most
+        yield i[near], j[near]
+
+
+def _spread_many(members: np.ndarray, forest: _Forest, words: np.ndarray, sizes: np.ndarray, bands: Bands) -> None:
+    """As ``_spread`` by size and sketch, many members at a time.
+
+    The members that were reached look at those not yet reached; where none is
+    left to look, the next ones start. They are more each time that nothing is
+    found, so sets that have nothing but a block in common are done in few steps,
+    and in a large group of copies few look at all others.
+    """
+    rest, front, n = members, members[:0], 16
+    while len(rest):
+        n = max(1, min(n, PAIRS // len(rest)))
+        if len(front):
+            some, front = front[:n], front[n:]
+            x, y = np.repeat(some, len(rest)), np.tile(rest, len(some))
+        else:
+            some, rest = rest[:n], rest[n:]
+            x, y = np.repeat(some, len(rest)), np.tile(rest, len(some))
+            if n > 1:  # with each other too
+                i, j = np.triu_indices(len(some), 1)
+                x, y = np.concatenate([some[i], x]), np.concatenate([some[j], y])
+        found = members[:0]
+        for i, j in _near_pairs(words, sizes, x, y, bands):
+            for a, b in zip(i.tolist(), j.tolist()):
+                forest.join(a, b)
+            found = np.concatenate([found, j])
+        n = 16 if len(found) else 2 * n
+        if len(found):
+            reached = np.isin(rest, found)
+            front, rest = np.concatenate([front, rest[reached]]), rest[~reached]
+
+
 def _star(names: list[bytes], forest: _Forest) -> pa.Table:
     pairs = [(names[i], names[forest.root(i)]) for i in range(len(names)) if forest.root(i) != i]
     return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
@@ -185,12 +256,15 @@ def candidate_links(rows: DataFrame, size: int, bands: Bands) -> DataFrame:
         for batch, data, offs in slices(batches):
             hashes, begin = shingle_sets(data, offs, size)
             names, at, metas, out = set_ids(hashes, begin), [], [], []
-            for i, n in enumerate(np.diff(begin).tolist()):
-                for band in bands.of(n):
-                    words = sketch(hashes[begin[i] : begin[i + 1]], bands.blocks(band))
+            mixed, upto = mix(hashes), begin.tolist()
+            for i, (a, b) in enumerate(zip(upto[:-1], upto[1:])):
+                for band in bands.of(b - a):
+                    blocks = bands.blocks(band)
+                    used = _used_blocks(hashes[a:b], blocks)
+                    words = sketch(hashes[a:b], blocks, used)
                     at.append(i)
-                    metas.append(names[i] + np.array([band, n], np.int64).tobytes() + _folded(words).tobytes())
-                    out.append(_block_keys(hashes[begin[i] : begin[i + 1]], bands.blocks(band), band, bands.allowed(band)))
+                    metas.append(names[i] + np.array([band, b - a], np.int64).tobytes() + _folded(words).tobytes())
+                    out.append(_block_keys(mixed[a:b], used, blocks, band, bands.allowed(band)))
             if at:
                 yield packed_rows(batch, metas, out, at)
 
@@ -266,10 +340,12 @@ def _close_links(entries: DataFrame, sketches: DataFrame, bands: Bands) -> DataF
     dealt = met.join(sketches, ["sid", "band"]).withColumn("task", F.pmod("cell", F.lit(tasks)))
 
     def linked(table: pa.Table) -> pa.Table:
-        bands_here = table.column("band").to_pylist()
-        out = []
-        for band in sorted(set(bands_here)):
-            out.append(_linked(table.filter(pa.array([b == band for b in bands_here])), bands))
+        here = table.column("band").combine_chunks().dictionary_encode()
+        names, which = here.dictionary.to_pylist(), here.indices.to_numpy()
+        out = [
+            _linked(table.take(pa.array(np.flatnonzero(which == k))), bands)
+            for k in sorted(range(len(names)), key=names.__getitem__)
+        ]
         give_back()
         return pa.concat_tables(out)
 
@@ -279,9 +355,12 @@ def _close_links(entries: DataFrame, sketches: DataFrame, bands: Bands) -> DataF
 def _linked(table: pa.Table, bands: Bands) -> pa.Table:
     """Forests of the sets of one band that are close by sketch within their cells."""
     names = table.column("sid").to_pylist()
-    metas = table.column("meta").to_pylist()
-    sizes = np.array([np.frombuffer(m, np.int64, 1)[0] for m in metas])
-    words = np.array([np.frombuffer(m, np.uint16, offset=8) for m in metas])
+    # Sizes, then sketches: in one band all are of one length, here filled up to whole 64-bit words.
+    metas = np.frombuffer(b"".join(table.column("meta").to_pylist()), np.uint8).reshape(len(names), -1)
+    whole = np.zeros((len(names), -(-metas.shape[1] // 8) * 8), np.uint8)
+    whole[:, : metas.shape[1]] = metas
+    whole = whole.view(np.uint64)
+    sizes, words = whole[:, 0].astype(np.int64), np.ascontiguousarray(whole[:, 1:])
     flat = table.column("cell").combine_chunks().dictionary_encode().indices.to_numpy()
     who = np.argsort(flat, kind="stable")
     flat = flat[who]
@@ -296,21 +375,11 @@ def _linked(table: pa.Table, bands: Bands) -> pa.Table:
         pairs.append(np.stack([group[:, i].ravel(), group[:, j].ravel()], 1))
     if pairs:
         pairs = np.concatenate(pairs)
-        for a in range(0, len(pairs), 1 << 16):
-            x, y = pairs[a : a + (1 << 16), 0], pairs[a : a + (1 << 16), 1]
-            small, large = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
-            fit = 100 * small >= bands.percent * large
-            x, y, small = x[fit], y[fit], small[fit]
-            far = np.zeros(len(x), np.int64)
-            for b in range(0, len(x), 4096):
-                s = slice(b, b + 4096)
-                far[s] = np.bitwise_count(words[x[s]] ^ words[y[s]]).sum(axis=1, dtype=np.int64)
-            near = far <= bands.apart(small)
-            for i, j in zip(x[near].tolist(), y[near].tolist()):
+        for x, y in _near_pairs(words, sizes, pairs[:, 0], pairs[:, 1], bands):
+            for i, j in zip(x.tolist(), y.tolist()):
                 forest.join(i, j)
     for s, n in zip(begin[count > 16].tolist(), count[count > 16].tolist()):
-        group = who[s : s + n]
-        _spread(group, forest, lambda one, others: _close(words, sizes, one, others, bands))
+        _spread_many(who[s : s + n], forest, words, sizes, bands)
     return _star(names, forest)
 
 

@@ -65,18 +65,22 @@ def terms(data: np.ndarray, offs: np.ndarray, known: np.ndarray | None) -> tuple
     doc, which = pairs // max(len(words), 1), pairs % max(len(words), 1)
     docs, out = [], []
     for k in (0, *BEGINNINGS):
-        long = ends[at] - starts[at] > k
+        long = np.flatnonzero(ends[at] - starts[at] > k)
         a = starts[at[long]]
-        h = np.zeros(len(words), np.uint64)
-        h[long] = mix(span_hash(sums, a, a + k) + np.uint64(k)) if k else words
+        h = mix(span_hash(sums, a, a + k) + np.uint64(k)) if k else words[long]
         if known is not None:
             place = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
-            long &= known[place] == h if len(known) else False
-            h = place
-        has = long[which]
+            found = known[place] == h if len(known) else np.zeros(len(h), bool)
+            long, h = long[found], place[found]
+        held, value = np.zeros(len(words), bool), np.zeros(len(words), h.dtype)
+        held[long], value[long] = True, h
+        has = held[which]
         docs.append(doc[has])
-        out.append(h[which[has]])
+        out.append(value[which[has]])
     doc, out = np.concatenate(docs), np.concatenate(out)
+    if known is not None:  # places are small: one number holds document and place
+        pairs = np.sort(doc * max(len(known), 1) + out)
+        return np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]], max(len(known), 1))
     order = np.lexsort((out, doc))
     doc, out = doc[order], out[order]
     new = np.ones(len(doc), bool)
@@ -196,20 +200,20 @@ def learned(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Machine:
     return machine
 
 
-def scored(docs: DataFrame, machine: Machine) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on) from their text."""
-    names = docs.columns
+def scored(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
+    """``docs`` without ``text``, by which they are scored, with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
+    names = [c for c in docs.columns if c != text]
 
     def score(batches):
-        for batch, data, offs in slices(batches, "text"):
+        for batch, data, offs in slices(batches, text):
             doc, feature = terms(data, offs, machine.features)
             p = sigmoid(machine.logits(doc, feature, batch.num_rows))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*names, "score", "predicted"]
+                [*(batch.column(c) for c in names), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*names, "score", "predicted"]
             )
 
     more = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, *more]))
+    return docs.mapInArrow(score, T.StructType([*(docs.schema[c] for c in names), *more]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
@@ -230,4 +234,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFr
     """``docs`` without the documents predicted toxic; columns as they are."""
     machine = learned(docs.select("doc_id", F.lower("text").alias("text")), labels, most)
     own, back = shielded(docs)
-    return back(scored(own.withColumn("text", F.lower("text")), machine).filter("predicted = 0"))
+    rows = own.select(*(f"own{i}" for i in range(len(docs.columns))), F.lower("text").alias("text"))
+    return back(scored(rows, machine).filter("predicted = 0"))

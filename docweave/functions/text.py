@@ -64,6 +64,45 @@ def bind(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def running_total(c: Column) -> Column:
+    """Sum of all elements before each element of an array of integers.
+
+    Spark has no prefix sum over an array and folding into a growing array
+    copies it each step, so totals are taken per block and then within blocks:
+    about n**(4/3) additions, no shuffle and no growing accumulator.
+    """
+    zero = F.lit(0).cast("long")
+
+    def total(a: Column) -> Column:
+        return F.aggregate(a, zero, lambda acc, x: acc + x)
+
+    def blocks_of(a: Column) -> Column:
+        width = F.greatest(F.lit(8), F.ceil(F.cbrt(F.size(a))).cast("int"))
+        return bind(
+            width,
+            lambda w: F.transform(
+                F.sequence(F.lit(0), F.ceil(F.size(a) / w).cast("int") - 1),
+                lambda b: F.slice(a, b * w + 1, w),
+            ),
+        )
+
+    def bases_of(blocks: Column) -> Column:
+        return bind(
+            F.transform(blocks, total),
+            lambda sums: F.transform(sums, lambda _, b: total(F.slice(sums, 1, b))),
+        )
+
+    def within(block: Column, base: Column) -> Column:
+        return F.transform(block, lambda _, k: base + total(F.slice(block, 1, k)))
+
+    return bind(
+        c,
+        lambda a: F.when(F.size(a) == 0, F.array().cast("array<bigint>")).otherwise(
+            bind(blocks_of(a), lambda bl: F.flatten(F.zip_with(bl, bases_of(bl), within)))
+        ),
+    )
+
+
 def list_item_kind(c: Column) -> Column:
     """Kind of list-item opening a word is, first match wins; null for none."""
     kind = F.lit(None).cast("string")
